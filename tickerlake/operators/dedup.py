@@ -21,8 +21,11 @@ def dedup_by_key(
 ) -> DataFrame:
     """Keep, per key, the row that is first in ``order`` (ascending, NULLs first).
 
-    ``order`` defaults to every non-key column, so the winner is a total
-    function of the rows whatever their arrival order.
+    ``order`` holds plain column expressions compared ascending, NULL lowest
+    (write ``-x`` for a descending number, ``x.isNull()`` first to put NULLs
+    last); sort directions such as ``x.desc()`` are not accepted. It defaults
+    to every non-key column, so the winner is a total function of the rows
+    whatever their arrival order.
 
     Expressed as ``min(struct(order…, row))`` per key rather than a
     ``row_number`` window: the minimum is an aggregate, so each map task keeps

@@ -101,7 +101,8 @@ def run_daily_load(
         loaded = flat if dates is None else flat.where(
             F.col("ingestion_date").isin([dt.date.fromisoformat(d) for d in dates])
         )
-        upsert_fact(spark, dedup_by_key(loaded), warehouse.fact, update_columns)
+        days = None if dates is None else [dt.date.fromisoformat(d) for d in dates]
+        upsert_fact(spark, dedup_by_key(loaded), warehouse.fact, update_columns, dates=days)
         refresh_dimension(flat, warehouse.dimension, dimension_mode)
         loaded_days = loaded.select("ingestion_date").distinct()
         _log(spark, warehouse, SUCCESS, loaded_days, dag_id)

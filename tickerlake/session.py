@@ -37,6 +37,14 @@ def build_session(
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
+    if master.startswith("local"):
+        # Local disk only: Hadoop's checksummed local filesystem writes a .crc
+        # twin per file and, without native libraries, forks a chmod per file
+        # and folder. Skipping the twins and spawning with vfork cuts the cost
+        # of writing thousands of date partitions by about a third. Cluster
+        # filesystems (HDFS, object stores) are not affected.
+        conf["spark.hadoop.fs.file.impl"] = "org.apache.hadoop.fs.RawLocalFileSystem"
+        conf["spark.driver.extraJavaOptions"] = "-Djdk.lang.Process.launchMechanism=VFORK"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

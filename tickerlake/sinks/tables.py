@@ -110,18 +110,27 @@ def to_fact_columns(flat: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- K3 --
 
+def source_dates(source: DataFrame) -> list:
+    """The distinct dates of a load: one small job returning a set bounded by
+    the calendar (one value per day loaded), never the rows themselves."""
+    return sorted(r[0] for r in source.select(PARTITION_COLUMN).distinct().collect())
+
+
 def upsert_fact(
     spark: SparkSession,
     source_flat: DataFrame,
     fact_path: str,
     update_columns: Sequence[str] = tuple(UPDATE_COLUMNS_FULL),
+    dates: Sequence | None = None,
 ) -> None:
     """K3: merge flat rows into the fact table by (ticker_id, ingestion_date).
 
-    Only the fact partitions whose dates occur in the source are read (a
-    left-semi join on the partition column, which the optimiser turns into
-    partition pruning) and only those partitions are rewritten (dynamic
-    partition overwrite). Untouched dates are never read nor written.
+    Only the fact partitions of the loaded dates are read — a literal
+    partition filter, so the scan prunes at planning time (``PartitionFilters``
+    in the plan) — and only those partitions are rewritten (dynamic partition
+    overwrite). Untouched dates are never read nor written. ``dates`` may be
+    passed when the caller knows them (the daily load does); otherwise they
+    are taken from the source.
 
     Not atomic across partitions: load one date (or one batch of dates) per
     call, and re-run the same call after a failure — the merge is
@@ -129,8 +138,10 @@ def upsert_fact(
     """
     ensure_fact_table(spark, fact_path)
     src = _require_date(to_fact_columns(source_flat))
-    src_dates = src.select(PARTITION_COLUMN).distinct()
-    target = read_fact(spark, fact_path).join(src_dates, PARTITION_COLUMN, "left_semi")
+    days = list(dates) if dates is not None else source_dates(src)
+    if not days:
+        return
+    target = read_fact(spark, fact_path).where(F.col(PARTITION_COLUMN).isin(days))
     merged = merge_plan(target, src, update_columns, KEY_COLUMNS)
     (
         _clustered(merged)
