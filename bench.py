@@ -62,8 +62,6 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        pass
     spark = build_session(
         master=f"local[{cpus}]", app_name="tickerlake-bench", shuffle_partitions=2 * cpus, extra=extra
     )
@@ -110,6 +108,12 @@ def main() -> None:
     q["q5_daily_load_one_day"] = timed(
         lambda: run_daily_load(spark, raw_base, wh, last_day.isoformat()), 1
     )
+    q["q5_daily_load_one_day_incremental_dimension"] = timed(
+        lambda: run_daily_load(
+            spark, raw_base, wh, last_day.isoformat(), dimension_refresh="incremental"
+        ),
+        1,
+    )
 
     total = round(sum(q.values()), 3)
     print(

@@ -522,6 +522,16 @@ def oracle_queries() -> dict[str, str]:
     )
     out["Q5_daily_load"] = with_base("SELECT * FROM fact")
     out["R3_incremental_stream"] = with_base("SELECT * FROM fact")
+    w5 = "PARTITION BY ticker_id ORDER BY ingestion_date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW"
+    out["V1_moving_average_5"] = with_base(
+        f"SELECT ticker_id, ingestion_date, currentPrice, {R(f'avg(currentPrice) OVER ({w5})', 6)} AS ma_5 "
+        "FROM fact"
+    )
+    out["V2_volatility_5"] = with_base(
+        "SELECT ticker_id, ingestion_date, currentPrice, " + R("r", 6) + " AS daily_return, "
+        + R(f"stddev_samp(r) OVER ({w5})", 6) + " AS volatility_5 FROM (SELECT *, currentPrice / "
+        "lag(currentPrice) OVER (PARTITION BY ticker_id ORDER BY ingestion_date) - 1 AS r FROM fact)"
+    )
     out["V3_relative_52w_change"] = with_base(
         "SELECT ticker_id, ingestion_date, week52_change - sandp_52week_change AS relative_52w_change "
         "FROM fact"

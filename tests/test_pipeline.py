@@ -137,3 +137,19 @@ def test_ledger_reads(spark, tmp_uri):
         [(dt.date(2026, 1, d),) for d in (1, 2, 3, 3)], "ingestion_date date")
     todo = sorted(r.ingestion_date.day for r in dates_to_process(landed, led, "load").collect())
     assert todo == [3]
+
+
+def test_incremental_dimension_equals_full(spark, tmp_uri):
+    raw = f"{tmp_uri}/raw"
+    day3 = {"AAA": dict(sector="Tech", exchange="NSE2", currentPrice=1.0), "EEE": dict(sector="Bank")}
+    _land(raw, "2026-04-22", DAY1)
+    _land(raw, "2026-04-23", DAY2)
+    _land(raw, "2026-04-24", day3)
+    for mode in ("latest", "distinct"):
+        full, inc = Warehouse(f"{tmp_uri}/full-{mode}"), Warehouse(f"{tmp_uri}/inc-{mode}")
+        for day in ("2026-04-22", "2026-04-23", "2026-04-24"):
+            run_daily_load(spark, raw, full, day, dimension_mode=mode)
+            run_daily_load(spark, raw, inc, day, dimension_mode=mode, dimension_refresh="incremental")
+        a = sorted(map(tuple, read_dimension(spark, full.dimension).collect()), key=str)
+        b = sorted(map(tuple, read_dimension(spark, inc.dimension).collect()), key=str)
+        assert a == b and len(a) >= 5

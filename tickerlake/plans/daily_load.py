@@ -24,6 +24,7 @@ from tickerlake.schema import LEDGER_SCHEMA, UPDATE_COLUMNS_FULL
 from tickerlake.sinks.tables import (
     read_flat,
     refresh_dimension,
+    update_dimension,
     upsert_fact,
     write_flat,
 )
@@ -80,6 +81,7 @@ def run_daily_load(
     update_columns: Sequence[str] = tuple(UPDATE_COLUMNS_FULL),
     flat_mode: str = "replace_dates",
     dimension_mode: str = "latest",
+    dimension_refresh: str = "full",
     dag_id: str = DAG_ID,
 ) -> None:
     """Load ``process_dates`` (a date, a list, or ``None`` for every landed
@@ -88,6 +90,11 @@ def run_daily_load(
     The flat rows are written once and read back from parquet for the
     upsert: the raw JSON is scanned exactly once, and the upsert's lineage
     starts at the compact flat files, not at thousands of small documents.
+
+    ``dimension_refresh`` is ``full`` (rebuild from the whole flat history, as
+    the warehouse statement does) or ``incremental`` (fold the loaded rows
+    into the existing dimension: daily cost proportional to the number of
+    tickers, not to the history).
     """
     try:
         if process_dates is None:
@@ -103,7 +110,12 @@ def run_daily_load(
         )
         days = None if dates is None else [dt.date.fromisoformat(d) for d in dates]
         upsert_fact(spark, dedup_by_key(loaded), warehouse.fact, update_columns, dates=days)
-        refresh_dimension(flat, warehouse.dimension, dimension_mode)
+        if dimension_refresh == "full":
+            refresh_dimension(flat, warehouse.dimension, dimension_mode)
+        elif dimension_refresh == "incremental":
+            update_dimension(spark, loaded, warehouse.dimension, dimension_mode)
+        else:
+            raise ValueError(f"unknown dimension refresh {dimension_refresh!r}")
         loaded_days = loaded.select("ingestion_date").distinct()
         _log(spark, warehouse, SUCCESS, loaded_days, dag_id)
     except Exception:

@@ -25,7 +25,7 @@ from tickerlake.operators.dimension import dimension_distinct, dimension_latest
 from tickerlake.operators.latest import latest_dates, latest_rows
 from tickerlake.operators.ledger import dates_to_process, ledger_status
 from tickerlake.operators.ranking import top_n_per_group
-from tickerlake.operators.timeseries import relative_52w_change
+from tickerlake.operators.timeseries import moving_average, relative_52w_change, volatility
 from tickerlake.plans.daily_load import Warehouse, run_daily_load
 from tickerlake.plans.market import LINEAGE_ORDER, ledger_from_orders, raw_snapshots
 from tickerlake.plans.views import (
@@ -314,7 +314,7 @@ def r3_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
         wh,
         checkpoint=scratch_path(spark, "stream-checkpoint"),
         archive_dir=scratch_path(spark, "stream-archive"),
-        max_files_per_trigger=25_000,
+        max_files_per_trigger=40_000,
     )
     query.awaitTermination()
     if query.exception() is not None:
@@ -322,6 +322,17 @@ def r3_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
     return read_fact(spark, wh.fact)
 
 
+# Block of 16 positions: small enough that histories of the test tables span
+# several blocks, so the halo path is exercised; any block >= n gives the
+# same rows.
+def v1_moving_average(spark: SparkSession, sf: str) -> DataFrame:
+    return moving_average(read_fact(spark, warehouse(spark, sf).fact), 5, block=16)
+
+
+def v2_volatility(spark: SparkSession, sf: str) -> DataFrame:
+    return volatility(read_fact(spark, warehouse(spark, sf).fact), 5, block=16)
+
+
 def v3_relative_52w(spark: SparkSession, sf: str) -> DataFrame:
     return relative_52w_change(read_fact(spark, warehouse(spark, sf).fact))
 
@@ -357,5 +368,7 @@ QUERIES: dict[str, Query] = {
     "R4_dates_to_process": r4_dates_to_process,
     "Q5_daily_load": q5_daily_load,
     "R3_incremental_stream": r3_incremental_stream,
+    "V1_moving_average_5": v1_moving_average,
+    "V2_volatility_5": v2_volatility,
     "V3_relative_52w_change": v3_relative_52w,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,12 +31,17 @@ CLUSTER_COLUMN = "ticker_id"
 
 def _require_date(df: DataFrame) -> DataFrame:
     """Fail the job on a NULL partition date instead of writing it to the
-    default partition. The check is part of the write's own plan."""
+    default partition. The check is a filter inside the write's own plan
+    (no extra pass); being a filter, it leaves the column — and so any hash
+    partitioning on it — untouched."""
     d = F.col(PARTITION_COLUMN)
-    guarded = F.when(
-        d.isNull(), F.raise_error(F.lit("NULL ingestion_date cannot be written"))
-    ).otherwise(d)
-    return df.withColumn(PARTITION_COLUMN, guarded.cast(T.DateType()))
+    if not isinstance(df.schema[PARTITION_COLUMN].dataType, T.DateType):
+        df = df.withColumn(PARTITION_COLUMN, d.cast(T.DateType()))
+    return df.where(
+        F.when(d.isNull(), F.raise_error(F.lit("NULL ingestion_date cannot be written"))).otherwise(
+            F.lit(True)
+        )
+    )
 
 
 def _clustered(df: DataFrame) -> DataFrame:
@@ -103,8 +109,14 @@ def to_fact_columns(flat: DataFrame) -> DataFrame:
     """Project flat rows onto the fact contract by name, casting each column
     to its declared type (two integer counts widen to bigint, the date is
     cast as the warehouse statement does)."""
+    types = {f.name: f.dataType for f in flat.schema.fields}
     return flat.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in FACT_SCHEMA.fields]
+        *[
+            F.col(f"`{f.name}`")
+            if types.get(f.name) == f.dataType
+            else F.col(f"`{f.name}`").cast(f.dataType).alias(f.name)
+            for f in FACT_SCHEMA.fields
+        ]
     )
 
 
@@ -155,12 +167,67 @@ def upsert_fact(
 # ------------------------------------------------------------------- K4 --
 
 DIMENSION_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in DIMENSION_COLUMNS])
+AS_OF = "as_of_date"
+BUCKET = "bucket"
+DIMENSION_BUCKETS = 16
+# Stored layout of the dimension: the 17 columns, the date each row was seen
+# at, and a hash bucket of the ticker used as the partition column.
+DIMENSION_STORED_SCHEMA = T.StructType(
+    DIMENSION_SCHEMA.fields
+    + [T.StructField(AS_OF, T.DateType(), True), T.StructField(BUCKET, T.IntegerType(), True)]
+)
+
+
+def _with_bucket(df: DataFrame, buckets: int) -> DataFrame:
+    return df.withColumn(BUCKET, F.pmod(F.xxhash64("ticker_id"), F.lit(buckets)).cast("int"))
+
+
+def _write_dimension(df: DataFrame, path: str, dynamic: bool) -> None:
+    writer = df.select(*[f.name for f in DIMENSION_STORED_SCHEMA.fields]).write.partitionBy(BUCKET)
+    if dynamic:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").parquet(path)
 
 
 def refresh_dimension(flat: DataFrame, path: str, mode: str = "latest") -> None:
     """K4: full refresh of the dimension from the whole flat history."""
-    build_dimension(flat, mode).write.mode("overwrite").parquet(path)
+    dim = build_dimension(flat, mode, keep_date=True)
+    _write_dimension(_with_bucket(dim, DIMENSION_BUCKETS), path, dynamic=False)
+
+
+def update_dimension(spark: SparkSession, new_rows: DataFrame, path: str, mode: str = "latest") -> None:
+    """K4, incremental: fold the rows of a load into the existing dimension.
+
+    Both dimensions are associative over the history — the latest attributes
+    are a ``max(struct(date, attrs…))`` and the distinct rows a set union — so
+    ``dim(history + day) = dim(dim(history) + day)``. The daily cost is the
+    size of the dimension plus the day, not the whole flat history. Only the
+    buckets holding tickers of the load are rewritten (dynamic partition
+    overwrite), each from its old rows and the new ones.
+
+    A re-load of a date whose attributes changed keeps, for that date, the
+    greater attribute tuple of the two loads until the next full refresh.
+    """
+    days_rows = new_rows.select("ingestion_date", *DIMENSION_COLUMNS)
+    try:
+        old = read_table(spark, path, DIMENSION_STORED_SCHEMA)
+    except AnalysisException:  # PATH_NOT_FOUND — first load, nothing to fold into
+        refresh_dimension(days_rows, path, mode)
+        return
+    touched = sorted(
+        r[0]
+        for r in _with_bucket(days_rows.select("ticker_id").distinct(), DIMENSION_BUCKETS)
+        .select(BUCKET)
+        .distinct()
+        .collect()
+    )  # at most DIMENSION_BUCKETS values
+    old_rows = old.where(F.col(BUCKET).isin(touched)).select(
+        F.col(AS_OF).alias("ingestion_date"), *DIMENSION_COLUMNS
+    )
+    merged = build_dimension(old_rows.unionByName(days_rows), mode, keep_date=True)
+    _write_dimension(_with_bucket(merged, DIMENSION_BUCKETS), path, dynamic=True)
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, DIMENSION_SCHEMA)
+    """The 17 dimension columns (storage columns left out)."""
+    return read_table(spark, path, DIMENSION_STORED_SCHEMA).select(*DIMENSION_COLUMNS)
