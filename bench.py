@@ -22,6 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tickerlake.operators.dedup import dedup_by_key  # noqa: E402
 from tickerlake.operators.dimension import dimension_latest  # noqa: E402
+from tickerlake.operators.timeseries import moving_average, volatility  # noqa: E402
 from tickerlake.plans.daily_load import Warehouse, run_daily_load  # noqa: E402
 from tickerlake.plans.market import LINEAGE_ORDER  # noqa: E402
 from tickerlake.plans.registry import deduped, flat_rows, flat_with_lineage  # noqa: E402
@@ -96,6 +97,10 @@ def main() -> None:
     q["q3_analyst_view"] = timed(lambda: noop(analyst_view(fact, dim)), repeat)
     q["q4_undervalued_stocks_view"] = timed(lambda: noop(undervalued_stocks_view(fact, dim)), repeat)
 
+    # --- trend analytics over the whole fact (bounded windows) --------------
+    q["v1_moving_average_20"] = timed(lambda: noop(moving_average(fact, 20)), repeat)
+    q["v2_volatility_20"] = timed(lambda: noop(volatility(fact, 20)), repeat)
+
     # --- restatement: upsert revision-1 rows of every date into the fact ----
     restated = dedup_by_key(flat_with_lineage(spark, sf_dir, 1), order=LINEAGE_ORDER).drop(*LINEAGE_ORDER)
     q["k3_upsert_all_dates"] = timed(lambda: upsert_fact(spark, restated, wh.fact), 1)

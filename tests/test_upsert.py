@@ -125,3 +125,18 @@ def test_dimension_latest_vs_distinct(spark):
     latest = {r.ticker_id: (r.sector, r.exchange) for r in dimension_latest(df, cols).collect()}
     assert latest == {"A": ("Tech", "Z"), "B": (None, None)}
     assert FACT_SCHEMA["ingestion_date"].dataType.simpleString() == "date"
+
+
+def test_merge_plan_shuffles_each_side_once(spark, tmp_uri):
+    """De-dup, per-key copy count and the merge join share one hash
+    partitioning on the key: one exchange per side, plus the write's
+    rebalance."""
+    from tickerlake.sinks.tables import _clustered, _require_date, to_fact_columns
+
+    path = f"{tmp_uri}/fact"
+    upsert_fact(spark, flat(spark, [("A", D1, 1.0, 1.0, 1.0)]), path)
+    src = _require_date(to_fact_columns(dedup_by_key(flat(spark, [("A", D1, 2.0, 1.0, 1.0)]))))
+    target = read_fact(spark, path).where(F.col("ingestion_date").isin([D1]))
+    text = plan_text(_clustered(merge_plan(target, src, UPDATE_COLUMNS_FULL)), "simple")
+    exchanges = [x for x in text.splitlines() if "Exchange " in x]
+    assert len(exchanges) == 3, text  # source key, target key, rebalance by date
