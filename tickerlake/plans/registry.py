@@ -24,7 +24,6 @@ from tickerlake.operators.dedup import dedup_by_key
 from tickerlake.operators.dimension import dimension_distinct, dimension_latest
 from tickerlake.operators.latest import latest_dates, latest_rows
 from tickerlake.operators.ledger import dates_to_process, ledger_status
-from tickerlake.operators.ranking import top_n_per_group
 from tickerlake.operators.timeseries import moving_average, relative_52w_change, volatility
 from tickerlake.plans.daily_load import Warehouse, run_daily_load
 from tickerlake.plans.market import LINEAGE_ORDER, ledger_from_orders, raw_snapshots
