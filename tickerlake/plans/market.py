@@ -163,6 +163,8 @@ def ledger_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         c("o_orderpriority").alias("dag_id"),
         F.when(c("o_orderstatus") == "F", F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
-        F.timestamp_add("SECOND", c("o_orderkey"), c("o_orderdate")).cast("timestamp").alias("updated_ts"),
+        # kept zone-free (timestamp_ntz): the order of runs must not depend on
+        # the session time zone
+        F.timestamp_add("SECOND", c("o_orderkey"), c("o_orderdate")).alias("updated_ts"),
         c("o_orderdate").cast("date").alias("process_date"),
     )

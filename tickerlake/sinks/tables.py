@@ -183,7 +183,13 @@ def _with_bucket(df: DataFrame, buckets: int) -> DataFrame:
 
 
 def _write_dimension(df: DataFrame, path: str, dynamic: bool) -> None:
-    writer = df.select(*[f.name for f in DIMENSION_STORED_SCHEMA.fields]).write.partitionBy(BUCKET)
+    """One or a few files per bucket (AQE-sized), sorted by ticker."""
+    laid_out = (
+        df.select(*[f.name for f in DIMENSION_STORED_SCHEMA.fields])
+        .hint("rebalance", BUCKET)
+        .sortWithinPartitions(BUCKET, "ticker_id")
+    )
+    writer = laid_out.write.partitionBy(BUCKET)
     if dynamic:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.mode("overwrite").parquet(path)
