@@ -1,6 +1,8 @@
 """Boundary units for E1–E14, P1, P2, P9 (at, below and above each threshold,
 with NULL, NaN, ±inf, zero and negatives)."""
 
+import math
+
 import pytest
 from pyspark.sql import types as T
 
@@ -134,3 +136,23 @@ def test_features_are_one_projection(spark):
     ops = plan_operators(feat.transform(df))
     assert not {"Exchange", "HashAggregate", "SortAggregate", "Window"} & ops
     assert not {"BatchEvalPython", "ArrowEvalPython"} & ops
+
+
+def test_special_values(spark):
+    fields = [("fiftyTwoWeekLow", D), ("fiftyTwoWeekHigh", D), ("currentPrice", D),
+              ("targetMeanPrice", D), ("trailingPE", D)]
+    rows = [
+        (10.0, NAN, 15.0, 20.0, -0.0),   # NaN range compares greater than 0 → NaN score
+        (10.0, INF, 15.0, INF, -INF),    # inf high → NaN discount; inf target → inf upside
+        (-INF, 20.0, 15.0, 10.0, NAN),   # -inf low → span inf → NaN score
+    ]
+    score = _one(spark, feat.week52_position_score(), fields, rows)
+    disc = _one(spark, feat.discount_from_52w_high_pct(), fields, rows)
+    up = _one(spark, feat.analyst_upside_pct(), fields, rows)
+    ey = _one(spark, feat.earnings_yield(), fields, rows)
+    pe = _one(spark, feat.pe_category(), fields, rows)
+    assert math.isnan(score[0]) and math.isnan(score[2]) and score[1] == 0.0
+    assert math.isnan(disc[1]) and disc[2] == 25.0
+    assert up[1] == INF and up[2] == -33.33
+    assert ey[0] is None and ey[1] == -0.0 and math.isnan(ey[2])
+    assert pe == ["LOW", "LOW", "HIGH"]
