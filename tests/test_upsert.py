@@ -140,3 +140,19 @@ def test_merge_plan_shuffles_each_side_once(spark, tmp_uri):
     text = plan_text(_clustered(merge_plan(target, src, UPDATE_COLUMNS_FULL)), "simple")
     exchanges = [x for x in text.splitlines() if "Exchange " in x]
     assert len(exchanges) == 3, text  # source key, target key, rebalance by date
+
+
+def test_mixed_new_and_existing_dates(spark, tmp_uri):
+    from tickerlake.sinks.tables import existing_dates
+
+    path = f"{tmp_uri}/fact"
+    upsert_fact(spark, flat(spark, [("A", D1, 1.0, 10.0, 5.0), ("B", D1, 2.0, 20.0, 6.0)]), path)
+    assert existing_dates(read_fact(spark, path)) == {D1}
+    upsert_fact(spark, flat(spark, [("A", D1, 1.5, 0.0, None), ("A", D2, 7.0, 70.0, 7.0),
+                                    ("C", D2, 8.0, 80.0, 8.0)]), path)
+    got = facts(spark, path)
+    assert got == {("A", D1): (1.5, 10.0, None), ("B", D1): (2.0, 20.0, 6.0),
+                   ("A", D2): (7.0, 70.0, 7.0), ("C", D2): (8.0, 80.0, 8.0)}
+    # duplicates on a new date cannot match anything: inserted, as MERGE does
+    upsert_fact(spark, flat(spark, [("Z", D3, 1.0, 1.0, 1.0), ("Z", D3, 2.0, 2.0, 2.0)]), path)
+    assert read_fact(spark, path).where(F.col("ingestion_date") == D3).count() == 2

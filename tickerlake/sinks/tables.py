@@ -7,6 +7,8 @@ and no footer has to be opened to learn the columns.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -128,6 +130,23 @@ def source_dates(source: DataFrame) -> list:
     return sorted(r[0] for r in source.select(PARTITION_COLUMN).distinct().collect())
 
 
+_PARTITION_IN_PATH = re.compile(rf"/{PARTITION_COLUMN}=(\d{{4}}-\d{{2}}-\d{{2}})/")
+
+
+def existing_dates(target: DataFrame) -> set[dt.date]:
+    """Dates that already have files in a date-partitioned table scan.
+
+    Read from the scan's file list (``inputFiles``: the folder listing the
+    scan already did, pruned by its partition filter), not from the data.
+    """
+    found = set()
+    for f in target.inputFiles():
+        m = _PARTITION_IN_PATH.search(f)
+        if m:
+            found.add(dt.date.fromisoformat(m.group(1)))
+    return found
+
+
 def upsert_fact(
     spark: SparkSession,
     source_flat: DataFrame,
@@ -144,6 +163,12 @@ def upsert_fact(
     passed when the caller knows them (the daily load does); otherwise they
     are taken from the source.
 
+    A loaded date with no fact partition yet cannot match anything, so its
+    rows take the insert-only branch: no target read, no join, no shuffle
+    but the write's rebalance. Only dates that already exist go through the
+    full outer join. Both branches are one job and one write. A normal daily
+    run (a new day) is therefore a plain partitioned write.
+
     Not atomic across partitions: load one date (or one batch of dates) per
     call, and re-run the same call after a failure — the merge is
     idempotent.
@@ -154,7 +179,19 @@ def upsert_fact(
     if not days:
         return
     target = read_fact(spark, fact_path).where(F.col(PARTITION_COLUMN).isin(days))
-    merged = merge_plan(target, src, update_columns, KEY_COLUMNS)
+    present = sorted(existing_dates(target))
+    fresh = [d for d in days if d not in set(present)]
+    parts = []
+    if present:
+        d = F.col(PARTITION_COLUMN)
+        parts.append(
+            merge_plan(
+                target.where(d.isin(present)), src.where(d.isin(present)), update_columns, KEY_COLUMNS
+            )
+        )
+    if fresh:
+        parts.append(src.where(F.col(PARTITION_COLUMN).isin(fresh)).select(*target.columns))
+    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     (
         _clustered(merged)
         .write.mode("overwrite")
