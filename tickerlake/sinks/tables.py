@@ -1,8 +1,10 @@
-"""K1, K2, K3, K4: the flat table, the fact table and the dimension on parquet.
+"""The flat table, the fact table and the dimension on parquet.
 
-Tables are folders of parquet partitioned by ``ingestion_date``; readers
-always pass the declared schema, so an empty table reads as an empty frame
-and no footer has to be opened to learn the columns.
+The flat and fact tables are folders of parquet partitioned by
+``ingestion_date``; the dimension is partitioned by a hash bucket of the
+ticker (so it can be updated bucket by bucket) and carries the date each
+row was seen at. Readers always pass the declared schema, so an empty table
+reads as an empty frame and no footer has to be opened to learn the columns.
 """
 
 from __future__ import annotations
