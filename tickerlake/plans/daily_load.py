@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from tickerlake.functions.features import transform
 from tickerlake.operators.dedup import dedup_by_key
 from tickerlake.operators.ledger import FAILED, SUCCESS
-from tickerlake.schema import LEDGER_SCHEMA, UPDATE_COLUMNS_FULL
+from tickerlake.schema import FLAT_SCHEMA, LEDGER_SCHEMA, UPDATE_COLUMNS_FULL
 from tickerlake.sinks.tables import (
+    read_dates,
     read_flat,
     refresh_dimension,
     update_dimension,
@@ -104,14 +105,16 @@ def run_daily_load(
             dates = [process_dates] if isinstance(process_dates, str) else list(process_dates)
             raw = read_snapshots(spark, raw_base, dates)
         write_flat(transform(raw), warehouse.flat, flat_mode)
-        flat = read_flat(spark, warehouse.flat)
-        loaded = flat if dates is None else flat.where(
-            F.col("ingestion_date").isin([dt.date.fromisoformat(d) for d in dates])
-        )
         days = None if dates is None else [dt.date.fromisoformat(d) for d in dates]
+        if days is None:
+            loaded = read_flat(spark, warehouse.flat)
+        else:  # the day's own folders: listing cost independent of history
+            loaded = read_dates(spark, warehouse.flat, FLAT_SCHEMA, days)
+            if loaded is None:  # nothing was written for these dates
+                loaded = spark.createDataFrame([], FLAT_SCHEMA)
         upsert_fact(spark, dedup_by_key(loaded), warehouse.fact, update_columns, dates=days)
         if dimension_refresh == "full":
-            refresh_dimension(flat, warehouse.dimension, dimension_mode)
+            refresh_dimension(read_flat(spark, warehouse.flat), warehouse.dimension, dimension_mode)
         elif dimension_refresh == "incremental":
             update_dimension(spark, loaded, warehouse.dimension, dimension_mode)
         else:

@@ -94,6 +94,35 @@ def read_flat(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, path, FLAT_SCHEMA)
 
 
+# Up to this many dates, a date-partitioned table is read through the folders
+# of those dates only; beyond it (a backfill) one parallel listing of the
+# whole table is cheaper than globbing each folder from the driver.
+FOLDER_READ_MAX_DATES = 64
+
+
+def read_dates(
+    spark: SparkSession, path: str, schema: T.StructType, dates: Sequence[dt.date]
+) -> DataFrame | None:
+    """The rows of ``dates`` in a date-partitioned table, or ``None`` when none
+    of those dates has a folder yet.
+
+    A daily run lists the folders of its own dates, not the whole history:
+    the cost of finding the files does not grow with the table.
+    """
+    days = sorted(set(dates))
+    if not days:
+        return None
+    if len(days) > FOLDER_READ_MAX_DATES:
+        table = read_table(spark, path, schema)
+        return table.where(F.col(PARTITION_COLUMN).isin(days))
+    glob = f"{path.rstrip('/')}/{PARTITION_COLUMN}={{{','.join(d.isoformat() for d in days)}}}"
+    try:
+        with listing_parallelism(spark):
+            return spark.read.schema(schema).option("basePath", path).parquet(glob)
+    except AnalysisException:  # PATH_NOT_FOUND: no folder for any of the dates
+        return None
+
+
 # ------------------------------------------------------------------- K2 --
 
 def ensure_fact_table(spark: SparkSession, path: str) -> None:
@@ -180,8 +209,8 @@ def upsert_fact(
     days = list(dates) if dates is not None else source_dates(src)
     if not days:
         return
-    target = read_fact(spark, fact_path).where(F.col(PARTITION_COLUMN).isin(days))
-    present = sorted(existing_dates(target))
+    target = read_dates(spark, fact_path, FACT_SCHEMA, days)
+    present = sorted(existing_dates(target)) if target is not None else []
     fresh = [d for d in days if d not in set(present)]
     parts = []
     if present:
@@ -192,7 +221,9 @@ def upsert_fact(
             )
         )
     if fresh:
-        parts.append(src.where(F.col(PARTITION_COLUMN).isin(fresh)).select(*target.columns))
+        parts.append(
+            src.where(F.col(PARTITION_COLUMN).isin(fresh)).select(*FACT_SCHEMA.fieldNames())
+        )
     merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     (
         _clustered(merged)
