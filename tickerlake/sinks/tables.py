@@ -187,10 +187,10 @@ def upsert_fact(
 ) -> None:
     """K3: merge flat rows into the fact table by (ticker_id, ingestion_date).
 
-    Only the fact partitions of the loaded dates are read — a literal
-    partition filter, so the scan prunes at planning time (``PartitionFilters``
-    in the plan) — and only those partitions are rewritten (dynamic partition
-    overwrite). Untouched dates are never read nor written. ``dates`` may be
+    Only the fact partitions of the loaded dates are read — their folders
+    alone for a daily load, a literal partition filter (``PartitionFilters``
+    in the plan) for a large backfill — and only those partitions are
+    rewritten (dynamic partition overwrite). Untouched dates are never read nor written. ``dates`` may be
     passed when the caller knows them (the daily load does); otherwise they
     are taken from the source.
 
