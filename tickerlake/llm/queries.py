@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import fold, table
 from .fingerprints import edited_fingerprints
+from .langid import fit_languages, predict_languages
 from .mixing import mix_sources
 from .packing import pack_documents
+from .toxicity import learn_lexicon, score_toxicity, train_rows
 
 
 def tokenizer_path() -> str:
@@ -17,6 +19,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lexicon = learn_lexicon(docs, train_rows(table(spark, sf_dir, "labels")))
+    return score_toxicity(docs, lexicon).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score", "predicted", "weight", "terms"
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_languages(docs.where(fold(F.col("doc_id")) != 0).select("text", "lang"))
+    return predict_languages(docs, model).select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = edited_fingerprints(table(spark, sf_dir, "documents"))
     return rows.select(
@@ -72,6 +90,8 @@ from ranked
 """
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op4_language_id": op4_language_id,
     "op5_fingerprints": op5_fingerprints,
     "op6_packing": op6_packing,
     "op9_mixing": op9_mixing,
