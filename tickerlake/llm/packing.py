@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import string
+import sys
 import zlib
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pandas as pd
@@ -12,8 +15,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Words whose ids a task remembers before it starts over (bounds its memory).
-WORD_CACHE = 300_000
+#: Distinct runs whose ids a worker process remembers, from task to task; others are tokenised each time.
+REMEMBERED = 1_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -26,30 +29,43 @@ PACKED = (
 
 
 class WordTokenizer:
-    """Ids of whole texts for a tokenizer whose tokens never span a space or line feed.
+    """Ids of whole texts for a tokenizer that cuts at spaces, and letters from ASCII punctuation.
 
     Such a tokenizer gives a text the ids of its space-separated parts in turn,
-    so each distinct part is tokenised once and remembered.
+    and a part of letters and punctuation the ids of both, whatever the case of
+    ASCII letters. So each distinct run is tokenised once and remembered.
     """
 
     def __init__(self, path: str, end_id: int):
-        from tokenizers import Tokenizer
+        kept = sys.modules.setdefault("_packing_tokenizers", ModuleType("_packing_tokenizers")).__dict__
+        if path not in kept:
+            from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+            kept[path] = (Tokenizer.from_file(path).encode, {})
+        self.encode, self.known = kept[path]
         self.end = np.uint32(end_id).astype("<u4").tobytes()
-        self.known: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        known, room = self.known.get, REMEMBERED // 2
+        letters = part.rstrip(string.punctuation)
+        if letters.isalpha() and len(letters) < len(part):
+            marks = part[len(letters) :]
+            got = (known(letters) or self.part(letters)) + (known(marks) or self.part(marks))
+        elif part.isascii() and not part.islower() and part.isalpha():
+            got = known(part.lower()) or self.part(part.lower())
+        else:
+            got, room = np.array(self.encode(part, add_special_tokens=False).ids, "<u4").tobytes(), REMEMBERED
+        if len(self.known) < room:
+            self.known[part] = got
+        return got
 
     def ids(self, text: str | None) -> bytes:
         """The text's ids and the end id, as little-endian unsigned 32-bit numbers."""
-        known, out = self.known, []
-        for word in (text or "").replace("\n", " ").split(" "):
-            got = known.get(word)
-            if got is None:
-                if len(known) >= WORD_CACHE:
-                    known.clear()
-                got = np.asarray(self.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-                known[word] = got
-            out.append(got)
+        parts = (text or "").replace("\n", " ").split(" ")
+        known, out = self.known.get, []
+        for part in parts:
+            got = known(part)
+            out.append(self.part(part) if got is None else got)
         out.append(self.end)
         return b"".join(out)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -90,7 +91,8 @@ def _sums(lexicon: Lexicon, texts: Sequence[str | None], machine) -> tuple[np.nd
     for text in texts:
         clean = folded(text) if isinstance(text, str) else ""
         hits = matches(machine, clean)
-        weight.append(sum(w for _, w in hits))
+        # A term's repeats add less and less.
+        weight.append(sum(w * (1 + math.log(n)) for (_, w), n in Counter(hits).items()))
         words.append(clean.count(" ") + clean.count("\n") + 1)
         terms.append(sorted({t for t, _ in hits}))
     return np.asarray(weight, float), np.asarray(words, float), terms
@@ -112,7 +114,7 @@ def learn_lexicon(
     docs: DataFrame,
     labels: DataFrame,
     sample_rows: int = 20_000,
-    min_share: float = 0.004,
+    min_share: float = 0.01,
     min_docs: int = 4,
     min_weight: float = 2.0,
     max_terms: int = 20_000,
