@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .common import fold, table
 from .fingerprints import edited_fingerprints
 from .langid import fit_languages, predict_languages
 from .mixing import mix_sources
 from .packing import pack_documents
+from .quality import resample
 from .toxicity import learn_lexicon, score_toxicity, train_rows
 
 
@@ -47,6 +49,21 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = train_rows(table(spark, sf_dir, "labels")).where(F.col("quality").isNotNull())
+    good = labels.where(F.col("quality") == 1)
+    counted = labels.agg(F.count("*").alias("n"), F.sum("quality").alias("good")).first()
+    share = counted["good"] / counted["n"] if counted["n"] else 1.0
+    rows = resample(table(spark, sf_dir, "documents"), good.select("doc_id"), keep_share=share)
+    return rows.select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "n_features", "log_weight", "score", "gumbel_key", "selected"
+    )
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target",
@@ -94,6 +111,8 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_fingerprints": op5_fingerprints,
     "op6_packing": op6_packing,
+    "op7_nearest": op7_nearest,
+    "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
 }
 
