@@ -12,6 +12,7 @@ from .langid import fit_languages, predict_languages
 from .mixing import mix_sources
 from .packing import pack_documents
 from .quality import resample
+from .suffix_dedup import remove_repeats
 from .toxicity import learn_lexicon, score_toxicity, train_rows
 
 
@@ -29,6 +30,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = remove_repeats(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_languages(docs.where(fold(F.col("doc_id")) != 0).select("text", "lang"))
@@ -108,6 +117,7 @@ from ranked
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_language_id": op4_language_id,
     "op5_fingerprints": op5_fingerprints,
     "op6_packing": op6_packing,
