@@ -10,6 +10,7 @@ from .common import fold, table
 from .fingerprints import edited_fingerprints
 from .langid import fit_languages, predict_languages
 from .mixing import mix_sources
+from .neardup import near_duplicates
 from .packing import pack_documents
 from .quality import resample
 from .suffix_dedup import remove_repeats
@@ -38,6 +39,10 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("set_key")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_languages(docs.where(fold(F.col("doc_id")) != 0).select("text", "lang"))
@@ -118,6 +123,7 @@ from ranked
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_minhash": op3_minhash,
     "op4_language_id": op4_language_id,
     "op5_fingerprints": op5_fingerprints,
     "op6_packing": op6_packing,
