@@ -9,6 +9,7 @@ from .ann import nearest
 from .common import fold, table
 from .fingerprints import edited_fingerprints
 from .langid import fit_languages, predict_languages
+from .lm import score_documents
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .packing import pack_documents
@@ -85,6 +86,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"), held_out=1).withColumn("held_out", fold(F.col("doc_id")) == 1)
+
+
 OP9_SQL = """
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
@@ -130,6 +135,7 @@ QUERIES = {
     "op7_nearest": op7_nearest,
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
+    "op10_lm_scores": op10_lm_scores,
 }
 
 ORACLES = {"op9_mixing": OP9_SQL}

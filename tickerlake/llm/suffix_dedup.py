@@ -9,15 +9,14 @@ is in one document only are left out before the sort.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import NO_ID, block_bytes, make_blocks
 from .common import stored
 from .text import mixed
 
@@ -25,70 +24,32 @@ LENGTH = 50
 GRAM = 20
 #: Offsets an anchor can have in a string: 0 to OFFSETS - 1.
 OFFSETS = LENGTH - GRAM + 1
-#: Bytes of text in a block (a longer document is a block of its own), and windows hashed at a time.
-BLOCK_BYTES = 1 << 21
+#: String starts hashed at a time.
 SLICE = 1 << 18
 _PLACE_BITS = 20
-_NO_ID = np.iinfo(np.int64).max
 _RNG = np.random.default_rng(50)
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 _ODD = int(_RNG.integers(1, 2**62)) * 2 + 1
 
-BLOCKS = "block_id long, n_bytes long, docs array<struct<id: long, size: long, digest: string>>, data binary"
 
 
 # ---- blocks of documents -------------------------------------------------------------------
 
-def make_blocks(docs: DataFrame) -> DataFrame:
-    """Documents (doc_id, text) in compressed blocks, each written once and read by every later step."""
-
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import zstandard
-
-        squeeze = zstandard.ZstdCompressor(level=3).compress
-        first, made = TaskContext.get().partitionId() << 32, 0
-        held, rows, size = [], [], 0
-
-        def block() -> pd.DataFrame:
-            return pd.DataFrame({"block_id": [first + made], "n_bytes": [size], "docs": [rows], "data": [squeeze(b"".join(held))]})
-
-        for batch in batches:
-            for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
-                if held and size + len(data) > BLOCK_BYTES:
-                    yield block()
-                    held, rows, size, made = [], [], 0, made + 1
-                held.append(data)
-                rows.append({"id": None if doc != doc or doc is None else int(doc), "size": len(data), "digest": hashlib.sha256(data).hexdigest()})
-                size += len(data)
-        if held:
-            yield block()
-
-    # Read as strings: ids of a batch with NULLs would come as floats.
-    typed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return stored(typed.mapInPandas(gather, BLOCKS), "suffix-blocks")
+def block_text(docs: list, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A block's bytes (with LENGTH zeros after), and start, stop and id of each document."""
+    raw, start, stop, ids = block_bytes(docs, data)
+    return np.frombuffer(raw + bytes(LENGTH), np.uint8), start, stop, ids
 
 
 def exact_copies(blocks: DataFrame) -> DataFrame:
     """block_id and place of every document whose whole text is that of a smaller id."""
     rows = blocks.select("block_id", F.posexplode("docs").alias("place", "doc")).select(
-        "block_id", "place", F.coalesce("doc.id", F.lit(_NO_ID)).alias("id"), "doc.size", "doc.digest"
+        "block_id", "place", F.coalesce("doc.id", F.lit(NO_ID)).alias("id"), "doc.size", "doc.digest"
     ).where(F.col("size") >= LENGTH)
     first = rows.groupBy("digest").agg(F.min("id").alias("first"))
     return rows.join(first, "digest").where(F.col("id") > F.col("first")).select("block_id", "place")
 
 
-def block_text(docs: list, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """A block's bytes (with LENGTH zeros after), and start, stop and id of each document."""
-    import zstandard
-
-    size = np.fromiter((d["size"] for d in docs), np.int64, len(docs))
-    ids = np.fromiter((_NO_ID if d["id"] is None else d["id"] for d in docs), np.int64, len(docs))
-    raw = zstandard.ZstdDecompressor().decompress(data) if size.sum() else b""
-    stop = np.cumsum(size)
-    return np.frombuffer(raw + bytes(LENGTH), np.uint8), stop - size, stop, ids
-
-
 # ---- anchors ------------------------------------------------------------------------------
 
 def _gram_hashes(piece: np.ndarray) -> np.ndarray:
@@ -405,7 +366,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranges = ranges or 4 * parts
-    blocks = make_blocks(docs)
+    blocks = make_blocks(docs, "suffix-blocks")
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(parts, total >> 25)
     copies = stored(exact_copies(blocks), "suffix-copies")

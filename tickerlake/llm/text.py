@@ -38,6 +38,11 @@ def chunks(sizes: Sequence[int], limit: int) -> Iterator[slice]:
 
 def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hash of every word (A-Z lower-cased) and how many words each text has."""
+    return words_and_endings(texts)[:2]
+
+
+def words_and_endings(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word, words of each text, and every word's last three bytes as a number."""
     joined = b"\n".join(texts) + b"\n"
     buf = _LOWER[np.frombuffer(joined, np.uint8)]
     inside = ~_SPACE[buf]
@@ -46,13 +51,17 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
     per_text = np.diff(np.searchsorted(starts, ends), prepend=0)
     if not len(starts):
-        return np.zeros(0, np.uint64), per_text
+        return np.zeros(0, np.uint64), per_text, np.zeros(0, np.uint64)
     lengths = stops - starts
     powers = np.cumprod(np.full(lengths.max(), _BASE, np.uint64))
     first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
     place = np.arange(lengths.sum()) - np.repeat(first, lengths)
     hashes = np.add.reduceat(_BYTE[buf[inside]] * powers[place], first)
-    return mixed(hashes + lengths.astype(np.uint64)), per_text
+    ending = np.zeros(len(starts), np.uint64)
+    for back in (1, 2, 3):
+        byte = np.where(lengths >= back, buf[np.maximum(stops - back, 0)], 0)
+        ending = ending << np.uint64(8) | byte.astype(np.uint64)
+    return mixed(hashes + lengths.astype(np.uint64)), per_text, ending
 
 
 def as_bytes(texts: Sequence[str | None]) -> list[bytes]:
