@@ -6,7 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,34 +20,61 @@ NO_ID = np.iinfo(np.int64).max
 BLOCKS = "block_id long, n_bytes long, docs array<struct<id: long, size: long, digest: string>>, data binary"
 
 
-def make_blocks(docs: DataFrame, name: str) -> DataFrame:
-    """Documents (doc_id, text) as blocks: ids, sizes and SHA-256 of the texts, their bytes compressed."""
+def make_blocks(docs: DataFrame, name: str, carry: bool = False) -> DataFrame:
+    """Documents (doc_id, text) as blocks: ids, sizes and SHA-256 of the texts, their bytes compressed.
 
-    def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    With ``carry``, ``rest`` has all of the documents' other columns in Arrow's format.
+    """
+    columns = docs.columns if carry else ["doc_id", "text"]
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         squeeze = zstandard.ZstdCompressor(level=3).compress
         first, made = TaskContext.get().partitionId() << 32, 0
-        held, rows, size = [], [], 0
+        held, rows, rests, size = [], [], [], 0
 
-        def block() -> pd.DataFrame:
-            return pd.DataFrame({"block_id": [first + made], "n_bytes": [size], "docs": [rows], "data": [squeeze(b"".join(held))]})
+        def block() -> pa.RecordBatch:
+            row = {"block_id": first + made, "n_bytes": size, "docs": rows, "data": squeeze(b"".join(held))}
+            if carry:
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rests[0].schema) as writer:
+                    for rest in rests:
+                        writer.write_batch(rest)
+                row["rest"] = squeeze(sink.getvalue().to_pybytes())
+            return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
-            for doc, text in zip(batch["doc_id"].tolist(), batch["text"].tolist()):
-                data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
+            begin = 0
+            for i, (doc, text) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())):
+                data = text.encode("utf-8", "surrogatepass") if text is not None else b""
                 if held and size + len(data) > BLOCK_BYTES:
+                    if carry and i > begin:
+                        rests.append(batch.slice(begin, i - begin).drop_columns(["text"]))
                     yield block()
-                    held, rows, size, made = [], [], 0, made + 1
+                    held, rows, rests, size, made, begin = [], [], [], 0, made + 1, i
                 held.append(data)
-                rows.append({"id": None if doc is None else int(doc), "size": len(data), "digest": hashlib.sha256(data).hexdigest()})
+                rows.append({"id": doc, "size": len(data), "digest": hashlib.sha256(data).hexdigest()})
                 size += len(data)
+            if carry and batch.num_rows > begin:
+                rests.append(batch.slice(begin).drop_columns(["text"]))
         if held:
             yield block()
 
-    # Ids go as strings: those of a batch with NULLs would come as floats.
-    typed = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return stored(typed.mapInPandas(gather, BLOCKS), name)
+    fields = [
+        ("block_id", pa.int64()), ("n_bytes", pa.int64()),
+        ("docs", pa.list_(pa.struct([("id", pa.int64()), ("size", pa.int64()), ("digest", pa.string())]))), ("data", pa.binary()),
+    ]
+    schema = pa.schema(fields + [("rest", pa.binary())] * carry)
+    typed = docs.select(*[F.col(c).cast("long").alias(c) if c == "doc_id" else F.col(f"`{c}`") for c in columns])
+    return stored(typed.mapInArrow(gather, BLOCKS + ", rest binary" * carry), name)
+
+
+def carried(rest: bytes) -> pa.Table:
+    """The other columns of a block's documents."""
+    import zstandard
+
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(rest)).read_all()
 
 
 def block_bytes(docs: list, data: bytes) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:

@@ -25,6 +25,15 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
+#: Most rows of a table of ids that is sent to every task rather than shuffled (some 16 bytes a row).
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, to be sent to every task if its counted rows are few enough; else Spark decides."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh table in the shared scratch folder and read it again.
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,30 +161,53 @@ def fit_languages(docs: DataFrame, sample_rows: int = 5000, grams: Grams = Grams
     return LanguageModel(languages, idf, w, b, temperature, grams)
 
 
-def predict_languages(docs: DataFrame, model: LanguageModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, lang_pred and score of every whole text.
-
-    NULL texts and texts without a letter are ``und`` with score 0. A model of
-    one language gives that with score 1, a model of none ``und``. Repeated
-    rows get the same prediction; an empty table gives an empty result.
-    """
+def predictor(model: LanguageModel) -> Callable[[Sequence[str | None]], tuple[list[str], list[float]]]:
+    """Languages and calibrated scores of texts, for use in a task."""
     weights = model.weights.astype(np.float32)
     languages, idf, bias, temperature, grams = model.languages, model.idf, model.bias, model.temperature, model.grams
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(texts: Sequence[str | None]) -> tuple[list[str], list[float]]:
+        lang, score = [], []
+        for text in texts:
+            if not languages or not isinstance(text, str) or not _LETTER.search(text):
+                lang.append(UNDETERMINED)
+                score.append(0.0)
+                continue
+            places, values = tfidf(grams.counts(text), idf)
+            p = softmax((values @ weights[places] + bias) / temperature)
+            best = int(np.argmax(p))
+            lang.append(languages[best])
+            score.append(float(p[best]))
+        return lang, score
+
+    return predict
+
+
+def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """doc_id, lang_pred and score of every whole text.
+
+    ``docs`` needs doc_id and text; other columns are ignored. NULL texts and
+    texts without a letter are ``und`` with score 0. A model of one language
+    gives that with score 1, a model of none ``und``. Repeated rows get the same
+    prediction; an empty table gives an empty result.
+    """
+    predict = predictor(model)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            lang, score = [], []
-            for text in batch["text"]:
-                if not languages or not isinstance(text, str) or not _LETTER.search(text):
-                    lang.append(UNDETERMINED)
-                    score.append(0.0)
-                    continue
-                places, values = tfidf(grams.counts(text), idf)
-                p = softmax((values @ weights[places] + bias) / temperature)
-                best = int(np.argmax(p))
-                lang.append(languages[best])
-                score.append(float(p[best]))
-            yield batch[list(keep)].assign(lang_pred=lang, score=score)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(predict, f"{schema}, lang_pred string, score double")
+            lang, score = predict(batch["text"].tolist())
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": lang, "score": score})
+
+    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, lang_pred string, score double")
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.5) -> DataFrame:
+    """``docs`` without the rows whose language is undetermined or scored below ``least_score``."""
+    predict = predictor(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, score = predict(batch.column("text").to_pylist())
+            yield batch.filter(pa.array([x != UNDETERMINED and s >= least_score for x, s in zip(lang, score)], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

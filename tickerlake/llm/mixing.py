@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, word_count
+from .common import small, stored, word_count
 
 #: Ranges of the rank's uniform number whose sizes are summed before any row is ranked.
 RANK_BINS = 1024
@@ -136,10 +136,7 @@ def take_copies(docs: DataFrame, **options) -> DataFrame:
 
     Ids should be unique: rows that share an id share the copies of its first row.
     """
-    copies = mix_sources(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return (
-        joined.where(F.col("_copies") > 0)
-        .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies"))))
-        .select(*[docs[c] for c in docs.columns])
-    )
+    copies = mix_sources(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
+    copies = stored(copies.withColumnRenamed("doc_id", "_id"), "mix-copies")
+    joined = docs.join(small(copies, copies.count()), F.col("doc_id").eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import small, stored
 from .components import components
 from .text import as_bytes, chunks, mixed, word_hashes
 
@@ -21,8 +21,6 @@ LEAST_AGREEMENT = 0.58
 #: Bytes of text at a time in a task; rows of a bucket compared at a time.
 CHUNK = 1 << 19
 BLOCK = 1024
-#: Most rows of a table that is sent to every task rather than shuffled (16 bytes a row).
-BROADCAST_ROWS = 1_000_000
 
 _RNG = np.random.default_rng(3)
 _FACTORS = _RNG.integers(1, 2**62, 2 * HALVES * HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -126,11 +124,6 @@ def _agree(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(agreement(a, b))
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """``df``, to be sent to every task if its counted rows are few enough; else Spark decides."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
@@ -256,3 +249,24 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
         .select("doc_id", "set_key", F.col("n").alias("n_shingles"), "component_id",
                 F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
+
+
+def drop_near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one document of each class of near copies: the one of smallest doc_id.
+
+    All columns and rows without an id stay. Repeated rows (same id and text) are
+    one document.
+    """
+    found = near_duplicates(docs, words, percent).where(F.col("doc_id").isNotNull())
+    ids = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
+    ids = stored(ids.where("rows > 1 or not kept"), "neardup-decisions")
+    gone = ids.where("not kept").select(F.col("doc_id").alias("_gone"))
+    left = docs.join(small(gone, gone.count()), F.col("doc_id") == F.col("_gone"), "left_anti")
+    again = ids.where("rows > 1").select(F.col("doc_id").alias("_again"))
+    n = again.count()
+    if not n:
+        return left
+    same = F.col("doc_id") == F.col("_again")
+    return left.join(small(again, n), same, "left_anti").unionByName(
+        left.join(small(again, n), same, "left_semi").dropDuplicates(["doc_id", "text"])
+    )

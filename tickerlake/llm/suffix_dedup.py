@@ -13,10 +13,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, block_bytes, make_blocks
+from .blocks import NO_ID, block_bytes, carried, make_blocks
 from .common import stored
 from .text import mixed
 
@@ -363,39 +364,78 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     range is compared in a last pass of one row a range, string and offset.
     The driver holds ``ranges`` splitters, 4 for each shuffle partition.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = ranges or 4 * parts
     blocks = make_blocks(docs, "suffix-blocks")
-    total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    buckets = max(parts, total >> 25)
-    copies = stored(exact_copies(blocks), "suffix-copies")
-    repeats = repeated_anchors(blocks, buckets, ranges, min(1.0, sample_per_range * ranges * 15 / max(total, 1)))
-    removed = removed_strings(blocks, repeats, copies, buckets)
-    gone = removed.unionByName(copies.select("block_id", F.col("place").alias("doc"), F.lit(-1).alias("place"), F.lit(0).cast("long").alias("mask")))
+    gone = _gone(blocks, ranges, sample_per_range)
 
     def cut(key: tuple, block: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
         out = []
         for docs, data in zip(block["docs"], block["data"]):
-            text, start, stop, _ = block_text(docs, data)
-            cover = np.zeros(len(text) + 1, np.int32)
-            at, mask = start[gone["doc"].to_numpy()] + gone["place"].to_numpy(), gone["mask"].to_numpy()
-            whole = gone["place"].to_numpy() < 0
-            for offset in range(OFFSETS):
-                begin = at[(mask >> offset & 1).astype(bool) & ~whole] - offset
-                np.add.at(cover, begin, 1)
-                np.add.at(cover, begin + LENGTH, -1)
-            drop = np.cumsum(cover)[:-1] > 0
-            for d in gone["doc"].to_numpy()[whole]:
-                drop[start[d] : stop[d]] = True
-            for d, lo, hi in zip(docs, start, stop):
-                part, body = drop[lo:hi], text[lo:hi]
-                edge = np.flatnonzero(np.diff(part.astype(np.int8), prepend=0, append=0))
+            for d, (body, drop) in zip(docs, kept_bytes(docs, data, gone["doc"], gone["place"], gone["mask"])):
+                edge = np.flatnonzero(np.diff(drop.astype(np.int8), prepend=0, append=0))
                 spans = [{"start": int(a), "length": int(b - a)} for a, b in zip(edge[::2], edge[1::2])]
-                out.append((d["id"], d["digest"], int(hi - lo), int(part.sum()), spans, body[~part].tobytes()))
+                out.append((d["id"], d["digest"], len(drop), int(drop.sum()), spans, body))
         table = pd.DataFrame(out, columns=["doc_id", "digest", "n_bytes", "n_removed", "spans", "kept"])
         return table.astype({"doc_id": "Int64"})
 
-    return (
-        blocks.groupBy("block_id").cogroup(gone.groupBy("block_id")).applyInPandas(cut, RESULT)
-    )
+    return blocks.groupBy("block_id").cogroup(gone.groupBy("block_id")).applyInPandas(cut, RESULT)
+
+
+def _gone(blocks: DataFrame, ranges: int | None, sample_per_range: int) -> DataFrame:
+    """What goes of each block: anchors with their offsets, and place -1 for a whole document."""
+    parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = ranges or 4 * parts
+    total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+    buckets = max(parts, total >> 25)
+    copies = stored(exact_copies(blocks), "suffix-copies")
+    repeats = repeated_anchors(blocks, buckets, ranges, min(1.0, sample_per_range * ranges * 15 / max(total, 1)))
+    removed = removed_strings(blocks, repeats, copies, buckets)
+    whole = copies.select("block_id", F.col("place").alias("doc"), F.lit(-1).alias("place"), F.lit(0).cast("long").alias("mask"))
+    return removed.unionByName(whole)
+
+
+def kept_bytes(docs: list, data: bytes, doc: pd.Series, place: pd.Series, mask: pd.Series) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Of each document of a block: the bytes that stay, and which of its bytes go."""
+    text, start, stop, _ = block_text(docs, data)
+    doc, place, mask = (np.asarray(x, np.int64) for x in (doc, place, mask))
+    cover = np.zeros(len(text) + 1, np.int64)
+    at, whole = start[doc] + place, place < 0
+    for offset in range(OFFSETS):
+        begin = at[(mask >> offset & 1).astype(bool) & ~whole] - offset
+        if len(begin):
+            change = np.bincount(begin, minlength=len(cover))
+            cover += change
+            cover[LENGTH:] -= change[:-LENGTH]
+    drop = np.cumsum(cover)[:-1] > 0
+    for d in doc[whole]:
+        drop[start[d] : stop[d]] = True
+    for lo, hi in zip(start, stop):
+        yield text[lo:hi][~drop[lo:hi]].tobytes(), drop[lo:hi]
+
+
+def without_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range: int = 20) -> DataFrame:
+    """``docs`` with the repeats gone from text, and n_chars, where there is one, counted anew.
+
+    Of a character cut in two nothing stays. Documents of which nothing is left
+    go; those that were empty stay as they are.
+    """
+    blocks = make_blocks(docs, "suffix-blocks", carry=True)
+    gone = _gone(blocks.drop("rest"), ranges, sample_per_range)
+    names = docs.columns
+
+    def cut(block: pa.Table, gone: pa.Table) -> pa.Table:
+        gone, tables = gone.to_pandas(), []
+        for row in block.to_pylist():
+            rest, texts = carried(row["rest"]), []
+            keep = []
+            for body, drop in kept_bytes(row["docs"], row["data"], gone["doc"], gone["place"], gone["mask"]):
+                texts.append(body.decode("utf-8", "ignore"))
+                keep.append(bool(texts[-1]) or not drop.any())
+            table = rest.append_column("text", pa.array(texts, pa.string()))
+            if "n_chars" in names:
+                i = table.schema.get_field_index("n_chars")
+                table = table.set_column(i, "n_chars", pa.array([len(t) for t in texts]).cast(table.schema.field(i).type))
+            tables.append(table.select(names).filter(pa.array(keep, pa.bool_())))
+        return pa.concat_tables(tables) if tables else pa.table({n: [] for n in names})
+
+    schema = docs.withColumn("doc_id", F.col("doc_id").cast("long")).schema
+    return blocks.groupBy("block_id").cogroup(gone.groupBy("block_id")).applyInArrow(cut, schema)
