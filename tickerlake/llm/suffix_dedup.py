@@ -362,7 +362,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     repeated anchors are sent. Ranges are dealt by (suffix, id), so one frequent
     passage spreads over as many ranges as it fills; what may go on in another
     range is compared in a last pass of one row a range, string and offset.
-    The driver holds ``ranges`` splitters, 4 for each shuffle partition.
+    The driver holds ``ranges`` splitters, 2 for each shuffle partition.
     """
     blocks = make_blocks(docs, "suffix-blocks")
     gone = _gone(blocks, ranges, sample_per_range)
@@ -383,7 +383,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
 def _gone(blocks: DataFrame, ranges: int | None, sample_per_range: int) -> DataFrame:
     """What goes of each block: anchors with their offsets, and place -1 for a whole document."""
     parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = ranges or 4 * parts
+    ranges = ranges or 2 * parts
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(parts, total >> 25)
     copies = stored(exact_copies(blocks), "suffix-copies")
@@ -397,15 +397,14 @@ def kept_bytes(docs: list, data: bytes, doc: pd.Series, place: pd.Series, mask:
     """Of each document of a block: the bytes that stay, and which of its bytes go."""
     text, start, stop, _ = block_text(docs, data)
     doc, place, mask = (np.asarray(x, np.int64) for x in (doc, place, mask))
-    cover = np.zeros(len(text) + 1, np.int64)
-    at, whole = start[doc] + place, place < 0
-    for offset in range(OFFSETS):
-        begin = at[(mask >> offset & 1).astype(bool) & ~whole] - offset
-        if len(begin):
-            change = np.bincount(begin, minlength=len(cover))
-            cover += change
-            cover[LENGTH:] -= change[:-LENGTH]
-    drop = np.cumsum(cover)[:-1] > 0
+    whole = place < 0
+    at, mask = (start[doc] + place)[~whole], mask[~whole]
+    begins = np.concatenate([at[(mask >> offset & 1).astype(bool)] - offset for offset in range(OFFSETS)])
+    first = np.zeros(len(text), bool)
+    first[begins] = True
+    # The last start at or before each byte: within LENGTH of it, the byte goes.
+    last = np.maximum.accumulate(np.where(first, np.arange(len(text), dtype=np.int32), np.int32(-LENGTH)))
+    drop = np.arange(len(text), dtype=np.int32) - last < LENGTH
     for d in doc[whole]:
         drop[start[d] : stop[d]] = True
     for lo, hi in zip(start, stop):
