@@ -149,7 +149,7 @@ LINEAGE = [
     "l_linestatus",
 ]
 
-# Feature expressions over raw (renamed) columns.
+# --- Fixed values: feature rules over raw (renamed) columns. ---
 FEATURES = {
     "market_cap_cr": f"CASE WHEN marketCap IS NOT NULL THEN {R('marketCap / 1.0E7', 2)} END",
     "dividendYield": "CASE WHEN dividendYield > 100 THEN NULL ELSE dividendYield END",
@@ -206,6 +206,7 @@ FEATURES = {
     ),
 }
 
+# --- Fixed values: column lists of the warehouse tables, views and updates. ---
 FACT_COLUMNS = [
     ("ticker_id", None), ("ingestion_date", None), ("currentPrice", None),
     ("previousClose", None), ("regularMarketChangePercent", None), ("marketCap", None),
@@ -307,9 +308,6 @@ def with_base(select: str) -> str:
     return f"WITH {base_ctes()}\n{select}"
 
 
-FLAT_RAW_NAMES_NOTE = "flat columns = raw columns (renamed) + features"
-
-
 # ------------------------------------------------------------------ statements --
 
 RAW_NAMES = [
@@ -536,6 +534,59 @@ def oracle_queries() -> dict[str, str]:
         "SELECT ticker_id, ingestion_date, week52_change - sandp_52week_change AS relative_52w_change "
         "FROM fact"
     )
+    out["K4_dimension_refresh_twice"] = f"WITH {base_ctes()}\n" + _dim_latest_select(
+        "(SELECT * FROM flat WHERE l_linenumber = 7)"
+    )
+    out["K4_dimension_incremental_reload"] = f"WITH {base_ctes()}\n" + _dim_latest_select(
+        "(SELECT * FROM flat WHERE ingestion_date < DATE '1996-01-01' UNION ALL "
+        "SELECT * REPLACE (industry AS sector) FROM flat "
+        "WHERE ingestion_date >= DATE '1996-01-01' AND l_linenumber <= 3)"
+    )
+    out["K5_catalog_views"] = _screener(1)
+    skipped = "FROM dedup WHERE l_orderkey % 29 <> 0"
+    out["F5_skip_empty"] = with_base(_fact_select("(SELECT * " + skipped + ")"))
+    out["K7_archived_files"] = out["K6_landing_summary"]
+    out["K8_ledger_rows"] = with_base(
+        "SELECT DISTINCT 'daily_snapshot_load' AS dag_id, 'SUCCESS' AS status, "
+        "ingestion_date AS process_date, TRUE AS stamped FROM raw"
+    )
+    out["P7_cast_date"] = with_base("SELECT * FROM fact")
+    out["R5_dedup_latest_load"] = (
+        f"WITH {base_ctes()},\n{base_ctes(1, '1')},\n"
+        f"loads AS (SELECT {_cols(FLAT_NAMES)}, 0 AS seq FROM flat UNION ALL "
+        f"SELECT {_cols(FLAT_NAMES)}, 1 AS seq FROM flat1 WHERE l_linenumber >= 3)\n"
+        f"SELECT {_cols(FLAT_NAMES)} FROM loads QUALIFY row_number() OVER "
+        f"(PARTITION BY ticker_id, ingestion_date ORDER BY seq DESC, {total}) = 1"
+    )
+    out["S4_read_single_date"] = (
+        f"WITH raw AS ({raw_select()}), {RAW_DEDUP}\nSELECT {_cols(RAW_NAMES)} FROM raw_dedup "
+        "WHERE ingestion_date = (SELECT max(ingestion_date) FROM raw)"
+    )
+    out["Q5_daily_load_single_date"] = with_base(
+        "SELECT * FROM fact WHERE ingestion_date = (SELECT max(ingestion_date) FROM fact)"
+    )
+    out["R1_landing_coverage_due_dates"] = (
+        f"WITH landed AS ({out['R1_landing_coverage']}),\n"
+        "due AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS ingestion_date FROM orders),\n"
+        "n AS (SELECT count(DISTINCT p_partkey) AS expected FROM part)\n"
+        "SELECT ingestion_date, n.expected, " + ", ".join(
+            f"coalesce({c}, 0) AS {c}" for c in ("landed", "ok", "empty", "unexpected"))
+        + ", coalesce(missing, n.expected) AS missing FROM n, landed FULL JOIN due USING (ingestion_date)"
+    )
+    gaps = (
+        "gaps AS (SELECT * REPLACE (CASE WHEN trailingPE IS NULL THEN 0.0E0 ELSE currentPrice END AS currentPrice, "
+        "CASE WHEN coalesce(trailingPE, 0) <> 17 THEN ticker_id END AS ticker_id) FROM fact)"
+    )
+    out["V1_moving_average_5_gaps"] = (
+        f"WITH {base_ctes()},\n{gaps}\nSELECT ticker_id, ingestion_date, currentPrice, CASE WHEN ticker_id IS NULL THEN "
+        f"{R('currentPrice', 6)} ELSE {R(f'avg(currentPrice) OVER ({w5})', 6)} END AS ma_5 FROM gaps"
+    )
+    out["V2_volatility_5_gaps"] = (
+        f"WITH {base_ctes()},\n{gaps},\nreturns AS (SELECT *, CASE WHEN ticker_id IS NOT NULL THEN currentPrice / "
+        "nullif(lag(currentPrice) OVER (PARTITION BY ticker_id ORDER BY ingestion_date), 0) - 1 END AS r FROM gaps)\n"
+        "SELECT ticker_id, ingestion_date, currentPrice, " + R("r", 6) + " AS daily_return, "
+        f"CASE WHEN ticker_id IS NOT NULL THEN {R(f'stddev_samp(r) OVER ({w5})', 6)} END AS volatility_5 FROM returns"
+    )
     return out
 
 

@@ -153,3 +153,130 @@ def test_incremental_dimension_equals_full(spark, tmp_uri):
         a = sorted(map(tuple, read_dimension(spark, full.dimension).collect()), key=str)
         b = sorted(map(tuple, read_dimension(spark, inc.dimension).collect()), key=str)
         assert a == b and len(a) >= 5
+
+
+def _dimension(spark, wh):
+    return {r.ticker_id: r.sector for r in read_dimension(spark, wh.dimension).collect()}
+
+
+@pytest.mark.parametrize("mode", ["latest", "distinct"])
+def test_incremental_dimension_after_a_date_is_loaded_again(spark, tmp_uri, mode):
+    raw = f"{tmp_uri}/raw"
+    full, inc = Warehouse(f"{tmp_uri}/full"), Warehouse(f"{tmp_uri}/inc")
+    _land(raw, "2026-04-22", {"A": dict(sector="Tech"), "B": dict(sector="Old")})
+    _land(raw, "2026-04-23", {"A": dict(sector="Tech2"), "B": dict(sector="New")})
+    for wh, how in ((full, "full"), (inc, "incremental")):
+        for day in ("2026-04-22", "2026-04-23"):
+            run_daily_load(spark, raw, wh, day, dimension_mode=mode, dimension_refresh=how)
+    # loaded again: A's sector is restated downwards, B is not there any more
+    os.remove(f"{raw}/date=2026-04-23/B.json")
+    _land(raw, "2026-04-23", {"A": dict(sector="Energy")})
+    for wh, how in ((full, "full"), (inc, "incremental")):
+        run_daily_load(spark, raw, wh, "2026-04-23", dimension_mode=mode, dimension_refresh=how)
+    rows = [sorted((r.ticker_id, r.sector) for r in read_dimension(spark, w.dimension).collect()) for w in (full, inc)]
+    assert rows[0] == rows[1]
+    assert ("A", "Energy") in rows[0] and ("B", "Old") in rows[0] and ("B", "New") not in rows[0]
+
+
+def test_empty_and_truncated_documents_are_skipped(spark, tmp_uri):
+    raw, wh = f"{tmp_uri}/raw", Warehouse(f"{tmp_uri}/wh")
+    _land(raw, "2026-04-22", {"A": dict(currentPrice=100.0), "B": {}})
+    done = run_daily_load(spark, raw, wh, "2026-04-22")
+    assert (done.documents, done.empty) == (2, 1)
+    with open(f"{raw}/date=2026-04-22/A.json", "w") as f:
+        f.write('{"currentPrice": 1')
+    run_daily_load(spark, raw, wh, "2026-04-22", flat_mode="append")
+    assert [(r.ticker_id, r.currentPrice) for r in read_fact(spark, wh.fact).collect()] == [("A", 100.0)]
+
+
+def test_restated_date_in_append_mode(spark, tmp_uri):
+    raw, wh = f"{tmp_uri}/raw", Warehouse(f"{tmp_uri}/wh")
+    for price in (1.0, 101.0):
+        _land(raw, "2026-04-22", {"A": dict(currentPrice=price)})
+        run_daily_load(spark, raw, wh, "2026-04-22", flat_mode="append")
+    assert read_flat(spark, wh.flat).count() == 2
+    assert read_fact(spark, wh.fact).first().currentPrice == 101.0
+
+
+def test_load_of_all_landed_dates_leaves_history_alone(spark, tmp_uri):
+    raw, archive, wh = f"{tmp_uri}/raw", f"{tmp_uri}/archive", Warehouse(f"{tmp_uri}/wh")
+    _land(raw, "2026-01-01", DAY1)
+    run_daily_load(spark, raw, wh, archive_base=archive)
+    assert os.path.exists(f"{archive}/date=2026-01-01/AAA.json") and not os.path.exists(f"{raw}/date=2026-01-01")
+    _land(raw, "2026-01-02", DAY2)
+    assert run_daily_load(spark, raw, wh).dates == (dt.date(2026, 1, 2),)
+    days = [r.process_date.day for r in read_ledger(spark, wh.ledger).collect()]
+    assert sorted(days) == [1, 2]
+
+
+def test_bad_dates_and_generators(spark, tmp_uri):
+    raw, wh = f"{tmp_uri}/raw", Warehouse(f"{tmp_uri}/wh")
+    _land(raw, "2026-01-01", DAY1)
+    with pytest.raises(ValueError):
+        run_daily_load(spark, raw, wh, "2026-13-45")
+    (row,) = read_ledger(spark, wh.ledger).collect()
+    assert row.status == "FAILED" and row.process_date is None
+    assert len(run_daily_load(spark, raw, wh, (d for d in ["2026-01-01"])).dates) == 1
+
+
+def test_stream_takes_documents_landed_again(spark, tmp_uri):
+    from tickerlake.sinks.landing import land_snapshots
+
+    raw, wh, ckpt = f"{tmp_uri}/raw", Warehouse(f"{tmp_uri}/wh"), f"{tmp_uri}/ckpt"
+    doc = lambda price: spark.createDataFrame([("A/B%", dt.date(2026, 4, 22), price)],
+                                              "ticker_id string, ingestion_date date, currentPrice double")
+    for version, price in ((None, 1.0), (2, 50.0)):
+        land_snapshots(doc(price), raw, version)
+        q = start_incremental_load(spark, raw, wh, ckpt)
+        q.awaitTermination()
+        assert q.exception() is None
+    assert [(r.ticker_id, r.currentPrice) for r in read_fact(spark, wh.fact).collect()] == [("A/B%", 50.0)]
+    assert read_flat(spark, wh.flat).count() == 2 and read_ledger(spark, wh.ledger).count() == 2
+    assert read_dimension(spark, wh.dimension).count() == 1
+    # the batch load takes the later version too
+    again = Warehouse(f"{tmp_uri}/batch")
+    run_daily_load(spark, raw, again)
+    assert read_fact(spark, again.fact).first().currentPrice == 50.0
+
+
+def test_null_keys_are_not_landed(spark, tmp_uri):
+    from tickerlake.sinks.landing import land_snapshots
+
+    for row in (("A", None, 1.0), (None, dt.date(2026, 1, 1), 1.0)):
+        df = spark.createDataFrame([row], "ticker_id string, ingestion_date date, currentPrice double")
+        with pytest.raises(Exception, match="cannot be landed"):
+            land_snapshots(df, f"{tmp_uri}/raw")
+
+
+def test_screener_scans_the_fact_once(spark, tmp_uri):
+    raw, wh = f"{tmp_uri}/raw", Warehouse(f"{tmp_uri}/wh")
+    _land(raw, "2026-04-22", DAY1)
+    run_daily_load(spark, raw, wh)
+    text = plan_text(undervalued_stocks_view(read_fact(spark, wh.fact), read_dimension(spark, wh.dimension)), "simple")
+    assert text.count("FileScan") == 2, text  # the fact and the dimension
+
+
+def test_views_in_the_catalog(spark, tmp_uri):
+    from tickerlake.plans.views import store_views
+
+    raw, wh = f"{tmp_uri}/raw", Warehouse(f"{tmp_uri}/wh")
+    _land(raw, "2026-04-22", DAY1)
+    _land(raw, "2026-04-23", DAY2)
+    run_daily_load(spark, raw, wh)
+    names = store_views(spark, wh.fact, wh.dimension, "catalog_test")
+    fact, dim = read_fact(spark, wh.fact), read_dimension(spark, wh.dimension)
+    for name, view in zip(names, (fundamental_view(fact, dim), technical_view(fact), analyst_view(fact, dim), undervalued_stocks_view(fact, dim))):
+        stored = spark.table(name)
+        assert stored.columns == view.columns
+        assert sorted(map(str, stored.collect())) == sorted(map(str, view.collect()))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from tickerlake.session import checkpoint_root
+
+    fake = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                           sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)

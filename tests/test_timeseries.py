@@ -74,3 +74,13 @@ def test_relative_change(spark):
     df = spark.createDataFrame([("A", dt.date(2026, 1, 1), 0.3, 0.1)],
                                "ticker_id string, ingestion_date date, week52_change double, sandp_52week_change double")
     assert relative_52w_change(df).first().relative_52w_change == pytest.approx(0.2)
+
+
+def test_rows_without_ticker_and_prices_of_zero(spark):
+    day = lambda i: dt.date(2026, 1, i)
+    rows = [("A", day(1), 2.0), ("A", day(2), 0.0), ("A", day(3), 4.0), (None, day(1), 7.0), (None, day(1), 8.0)]
+    df = spark.createDataFrame(rows, "ticker_id string, ingestion_date date, currentPrice double")
+    ma = sorted((r.ticker_id or "", r.currentPrice, r.ma_2) for r in moving_average(df, 2).collect())
+    assert ma == [("", 7.0, 7.0), ("", 8.0, 8.0), ("A", 0.0, 1.0), ("A", 2.0, 2.0), ("A", 4.0, 2.0)]
+    vol = {(r.ticker_id, r.currentPrice): r.daily_return for r in volatility(df, 2).collect()}
+    assert vol == {("A", 2.0): None, ("A", 0.0): -1.0, ("A", 4.0): None, (None, 7.0): None, (None, 8.0): None}

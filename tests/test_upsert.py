@@ -143,11 +143,11 @@ def test_merge_plan_shuffles_each_side_once(spark, tmp_uri):
 
 
 def test_mixed_new_and_existing_dates(spark, tmp_uri):
-    from tickerlake.sinks.tables import existing_dates
+    from tickerlake.sinks.tables import dates_of
 
     path = f"{tmp_uri}/fact"
     upsert_fact(spark, flat(spark, [("A", D1, 1.0, 10.0, 5.0), ("B", D1, 2.0, 20.0, 6.0)]), path)
-    assert existing_dates(read_fact(spark, path)) == {D1}
+    assert dates_of(read_fact(spark, path)) == [D1]
     upsert_fact(spark, flat(spark, [("A", D1, 1.5, 0.0, None), ("A", D2, 7.0, 70.0, 7.0),
                                     ("C", D2, 8.0, 80.0, 8.0)]), path)
     got = facts(spark, path)
@@ -156,3 +156,64 @@ def test_mixed_new_and_existing_dates(spark, tmp_uri):
     # duplicates on a new date cannot match anything: inserted, as MERGE does
     upsert_fact(spark, flat(spark, [("Z", D3, 1.0, 1.0, 1.0), ("Z", D3, 2.0, 2.0, 2.0)]), path)
     assert read_fact(spark, path).where(F.col("ingestion_date") == D3).count() == 2
+
+
+@pytest.mark.parametrize("days", [3, 90])
+def test_upsert_reads_named_folders_for_any_number_of_dates(spark, tmp_uri, days):
+    """One code path: only the folders of the loaded dates are in the scan."""
+    from tickerlake.sinks.tables import read_dates
+
+    path = f"{tmp_uri}/fact"
+    dates = [D1 + dt.timedelta(days=i) for i in range(100)]
+    upsert_fact(spark, flat(spark, [("A", d, 1.0, 1.0, 1.0) for d in dates]), path)
+    found = read_dates(spark, path, FACT_SCHEMA, dates[:days])
+    assert found.select("ingestion_date").distinct().count() == days
+    assert len(found.inputFiles()) < 100 or days > 90
+    upsert_fact(spark, flat(spark, [("A", d, 2.0, 1.0, 1.0) for d in dates[:days]]), path)
+    got = [r.currentPrice for r in read_fact(spark, path).collect()]
+    assert sorted(got) == [1.0] * (100 - days) + [2.0] * days
+    assert read_dates(spark, path, FACT_SCHEMA, [D1 - dt.timedelta(days=9)]) is None
+
+
+def test_other_analysis_errors_are_raised(spark, tmp_uri):
+    from tickerlake.sinks.tables import table_exists
+
+    frame = spark.range(1)
+    assert table_exists(lambda: spark.read.parquet(f"{tmp_uri}/nothing")) is None
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        table_exists(lambda: frame.select("absent"))
+
+
+def test_null_keys_spread_and_never_match(spark, tmp_uri):
+    path = f"{tmp_uri}/fact"
+    rows = [(None, D1, float(i), 1.0, 1.0) for i in range(50)] + [("A", D1, 0.0, 1.0, 1.0)]
+    upsert_fact(spark, flat(spark, rows), path)
+    upsert_fact(spark, flat(spark, rows), path)  # NULL keys are inserted again, A is updated
+    assert read_fact(spark, path).count() == 101
+
+
+def test_full_dimension_refresh_forgets(spark, tmp_uri):
+    from tickerlake.sinks.tables import read_dimension, refresh_dimension
+
+    path = f"{tmp_uri}/dimension"
+    refresh_dimension(flat(spark, [(f"T{i}", D1, 1.0, 1.0, 1.0) for i in range(200)]), path)
+    assert read_dimension(spark, path).count() == 200
+    refresh_dimension(flat(spark, [("T7", D2, 1.0, 1.0, 1.0)]), path)
+    assert [r.ticker_id for r in read_dimension(spark, path).collect()] == ["T7"]
+
+
+def test_latest_load_wins(spark, tmp_uri):
+    from tickerlake.operators.dedup import latest_load
+    from tickerlake.sinks.tables import read_flat_loads
+
+    path = f"{tmp_uri}/flat"
+    write_flat(flat(spark, [("A", D1, 1.0, 1.0, 1.0), ("B", D1, 5.0, 1.0, 1.0)]), path)
+    write_flat(flat(spark, [("A", D1, 101.0, 1.0, 1.0), ("A", D1, None, None, None)]), path)
+    got = {r.ticker_id: r.currentPrice for r in latest_load(read_flat_loads(spark, path)).collect()}
+    assert got == {"A": 101.0, "B": 5.0}  # the later load, and not its empty row
+
+
+def test_default_order_carries_each_value_once(spark):
+    df = spark.createDataFrame([("A", D1, 1.0, "x")], "ticker_id string, ingestion_date date, px double, tag string")
+    text = plan_text(dedup_by_key(df), "simple")
+    assert "_row" not in text and text.count("struct(px") <= 2

@@ -7,11 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickerlake.schema import KEY_COLUMNS
+from tickerlake.operators.coverage import is_empty_document
+from tickerlake.schema import (
+    DOC_VERSION,
+    KEY_COLUMNS,
+    LOAD_COLUMNS,
+    LOAD_TIME,
+    PAYLOAD_COLUMNS,
+    RENAMES,
+)
 
-
-def _as_col(x: str | Column) -> Column:
-    return F.col(f"`{x}`") if isinstance(x, str) else x
+FLAT_PAYLOAD = [RENAMES.get(n, n) for n in PAYLOAD_COLUMNS]
 
 
 def dedup_by_key(
@@ -35,13 +41,28 @@ def dedup_by_key(
     """
     keys = list(keys)
     others = [n for n in df.columns if n not in keys]
-    order_cols = [_as_col(o) for o in (order if order is not None else others)]
-    packed = F.struct(
-        *[o.alias(f"_o{i}") for i, o in enumerate(order_cols)],
-        F.struct(*[F.col(f"`{n}`") for n in others]).alias("_row"),
-    )
-    winners = df.groupBy(*keys).agg(F.min(packed).alias("_w"))
-    return winners.select(*[F.col(f"`{k}`") for k in keys], "_w._row.*")
+    first = list(order) if order is not None else others
+    # Columns named in the order lead the struct as themselves: no value travels twice.
+    named = [o for o in first if isinstance(o, str)]
+    fields = [F.col(f"`{o}`") if isinstance(o, str) else o.alias(f"_o{i}") for i, o in enumerate(first)]
+    fields += [F.col(f"`{n}`") for n in others if n not in named]
+    winners = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_w"))
+    return winners.select(*[F.col(f"`{k}`") for k in keys], *[F.col(f"_w.`{n}`").alias(n) for n in others])
+
+
+def latest_load(loads: DataFrame, payload: Sequence[str] = tuple(FLAT_PAYLOAD)) -> DataFrame:
+    """R5 over flat rows of several loads: the last load's row of each key.
+
+    Of one load's rows, the later version of the document wins, then one with
+    any payload beats an empty one, then the total order decides. The load's columns are dropped.
+    """
+    order: list[str | Column] = [
+        -F.coalesce(F.unix_micros(LOAD_TIME), F.lit(0)),
+        -F.coalesce(DOC_VERSION, F.lit(0)),
+        is_empty_document([c for c in payload if c in loads.columns]),
+    ]
+    order += [n for n in loads.columns if n not in (*KEY_COLUMNS, *LOAD_COLUMNS)]
+    return dedup_by_key(loads, order=order).drop(*LOAD_COLUMNS)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = tuple(KEY_COLUMNS)) -> DataFrame:

@@ -15,18 +15,22 @@ def latest_dates(fact: DataFrame, key: str = "ticker_id", date: str = "ingestion
     return fact.groupBy(key).agg(F.max(date).alias("latest_date"))
 
 
-def latest_rows(fact: DataFrame, key: str = "ticker_id", date: str = "ingestion_date") -> DataFrame:
-    """Every fact row that sits at its ticker's latest date.
-
-    Semantics of the inner join on (ticker, latest date): all rows at the
-    latest date are kept, NULL tickers never match. Written as a left-semi
-    join against A1 so fact columns pass through untouched and no row is
-    multiplied. The join is on both columns, so a ticker with a long history
-    is spread over many join partitions by its dates; when the fact table is
-    partitioned by date on disk, the optimiser can also prune the scan to the
-    dates that are some ticker's latest (dynamic partition pruning).
+def latest_rows(
+    fact: DataFrame, key: str = "ticker_id", date: str = "ingestion_date", unique: bool = False
+) -> DataFrame:
+    """Every fact row that sits at its ticker's latest date; NULL tickers never match.
+
+    In general a left-semi join against A1: all rows at the latest date are
+    kept and none is multiplied, at the price of two scans. Where (ticker,
+    date) is unique — the fact table's key — the latest row is a
+    ``max(struct(date, columns…))``: one scan, reduced per ticker in the map
+    tasks. Select the columns needed first, as they travel in the struct.
     """
-    latest = latest_dates(fact, key, date).select(
-        F.col(key), F.col("latest_date").alias(date)
-    )
+    if unique:
+        others = [c for c in fact.columns if c not in (key, date)]
+        packed = F.struct(F.col(date).alias("_date"), *[F.col(f"`{c}`") for c in others])
+        last = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(packed).alias("_last"))
+        values = {date: F.col("_last._date"), **{c: F.col(f"_last.`{c}`") for c in others}, key: F.col(key)}
+        return last.select(*[values[c].alias(c) for c in fact.columns])
+    latest = latest_dates(fact, key, date).select(F.col(key), F.col("latest_date").alias(date))
     return fact.join(latest, [key, date], "left_semi")

@@ -27,7 +27,7 @@ KEY, DATE = "ticker_id", "ingestion_date"
 
 def snapshot_positions(fact: DataFrame, value: str = "currentPrice") -> DataFrame:
     """(ticker, date, value, pos): 1-based position in the ticker's history."""
-    rows = fact.select(KEY, DATE, value).withColumn("_month", F.trunc(DATE, "month"))
+    rows = fact.where(F.col(KEY).isNotNull()).select(KEY, DATE, value).withColumn("_month", F.trunc(DATE, "month"))
     per_month = rows.groupBy(KEY, "_month").agg(F.count(F.lit(1)).alias("_n"))
     by_month = Window.partitionBy(KEY).orderBy("_month").rowsBetween(
         Window.unboundedPreceding, -1
@@ -41,16 +41,22 @@ def snapshot_positions(fact: DataFrame, value: str = "currentPrice") -> DataFram
 
 
 def _with_halo(pos: DataFrame, n: int, block: int) -> DataFrame:
-    """Own rows of each block plus the previous block's last ``n - 1`` rows."""
+    """Each row in its own block, and once more in the next where it is one of
+    the last ``n - 1`` of its block. Positions are computed once."""
     if block < n:
         raise ValueError("block must hold at least n rows")
     blk = F.floor((F.col("pos") - 1) / block)
-    own = pos.withColumns({"_blk": blk, "_own": F.lit(True)})
-    if n == 1:
-        return own
+    own = F.struct(blk.alias("_blk"), F.lit(True).alias("_own"))
+    halo = F.struct((blk + 1).alias("_blk"), F.lit(False).alias("_own"))
     tail = (F.col("pos") - 1) % block >= block - (n - 1)
-    halo = pos.where(tail).withColumns({"_blk": blk + 1, "_own": F.lit(False)})
-    return own.unionByName(halo)
+    return pos.withColumn("_b", F.explode(F.when(tail, F.array(own, halo)).otherwise(F.array(own)))).select(
+        *pos.columns, "_b.*"
+    )
+
+
+def _keyless(fact: DataFrame, value: str) -> DataFrame:
+    """Facts without a ticker: each is a history of its own."""
+    return fact.where(F.col(KEY).isNull()).select(KEY, DATE, value)
 
 
 def moving_average(
@@ -61,7 +67,8 @@ def moving_average(
     framed = _with_halo(snapshot_positions(fact, value), n, block)
     w = Window.partitionBy(KEY, "_blk").orderBy("pos").rowsBetween(-(n - 1), 0)
     out = framed.withColumn(f"ma_{n}", F.round(F.avg(value).over(w), 6))
-    return out.where("_own").select(KEY, DATE, value, f"ma_{n}")
+    alone = _keyless(fact, value).withColumn(f"ma_{n}", F.round(F.col(value).cast("double"), 6))
+    return out.where("_own").select(KEY, DATE, value, f"ma_{n}").unionByName(alone)
 
 
 def volatility(
@@ -69,16 +76,19 @@ def volatility(
 ) -> DataFrame:
     """V2: sample standard deviation of snapshot-to-snapshot returns
     (``value / previous value - 1``) over the last ``n`` returns, rounded to
-    6 decimals. Needs ``n`` predecessors, so the halo is ``n`` rows."""
+    6 decimals. After a value of 0 there is no return. Needs ``n``
+    predecessors, so the halo is ``n`` rows."""
     framed = _with_halo(snapshot_positions(fact, value), n + 1, block)
     by_pos = Window.partitionBy(KEY, "_blk").orderBy("pos")
-    ret = F.col(value) / F.lag(value).over(by_pos) - 1
+    ret = F.try_divide(F.col(value), F.lag(value).over(by_pos)) - 1
     with_ret = framed.withColumn("daily_return", ret)
     w = by_pos.rowsBetween(-(n - 1), 0)
     out = with_ret.withColumn(f"volatility_{n}", F.round(F.stddev_samp("daily_return").over(w), 6))
+    none = F.lit(None).cast("double")
+    alone = _keyless(fact, value).withColumns({"daily_return": none, f"volatility_{n}": none})
     return out.where("_own").select(
         KEY, DATE, value, F.round("daily_return", 6).alias("daily_return"), f"volatility_{n}"
-    )
+    ).unionByName(alone)
 
 
 def relative_52w_change(fact: DataFrame) -> DataFrame:

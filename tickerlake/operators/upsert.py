@@ -36,7 +36,9 @@ def merge_plan(
 ) -> DataFrame:
     """The merged rows, in the target's column order.
 
-    ``source`` must carry every target column (extra columns are dropped).
+    ``source`` must carry every target column (extra columns are dropped) and
+    should be de-duplicated (R5), after which it has one row per key, NULL keys
+    included.
     The join and the per-key copy count share one hash partitioning on the
     keys, so the plan has exactly one shuffle per side.
     """
@@ -52,7 +54,10 @@ def merge_plan(
     s = source.select(*[F.col(f"`{c}`") for c in cols]).withColumn(_S, F.lit(True))
     if check_cardinality:
         s = s.withColumn(_N, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-    t = target.withColumn(_T, F.lit(True))
+    # Target rows without a whole key match nothing: they bypass the join, where
+    # all of a date's would meet in one task.
+    no_key = F.greatest(*[F.col(f"`{k}`").isNull() for k in keys])
+    t = target.where(~no_key).withColumn(_T, F.lit(True))
 
     sa, ta = s.alias("s"), t.alias("t")
     cond = None
@@ -81,4 +86,5 @@ def merge_plan(
         # The check rides on the first key column so it can never be pruned.
         k0 = cols.index(keys[0])
         out[k0] = F.when(violation, F.raise_error(message)).otherwise(out[k0])
-    return joined.select(*[e.alias(c) for e, c in zip(out, cols)])
+    merged = joined.select(*[e.alias(c) for e, c in zip(out, cols)])
+    return merged.unionByName(target.where(no_key))

@@ -1,8 +1,9 @@
 """Q5: the daily load, end to end.
 
-read landed documents (S1) → transform (P9) → flat table (K1) → de-duplicate
-(R5) → upsert the fact table (K3) → refresh the dimension (K4) → ledger row
-(K8). A failure anywhere writes a FAILED row and re-raises.
+read landed documents (S1) → skip empty ones (F5) → transform (P9) → flat
+table (K1) → last load of each key (R5) → upsert the fact table (K3) → fold
+into the dimension (K4) → archive the dates (K7) → ledger rows (K8). A failure
+anywhere writes FAILED rows and re-raises.
 
 One call may load one date (the daily run) or many (a backfill) — both are
 one Spark job per stage, never a driver loop over dates.
@@ -11,25 +12,37 @@ one Spark job per stage, never a driver loop over dates.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions.features import transform
-from tickerlake.operators.dedup import dedup_by_key
+from tickerlake.operators.coverage import is_empty_document
+from tickerlake.operators.dedup import latest_load
 from tickerlake.operators.ledger import FAILED, SUCCESS
-from tickerlake.schema import FLAT_SCHEMA, LEDGER_SCHEMA, UPDATE_COLUMNS_FULL
+from tickerlake.schema import (
+    DIMENSION_COLUMNS,
+    FLAT_STORED_SCHEMA,
+    KEY_COLUMNS,
+    LOAD_COLUMNS,
+    LOAD_ID,
+    PAYLOAD_COLUMNS,
+    UPDATE_COLUMNS_FULL,
+)
+from tickerlake.sinks.landing import archive_dates
+from tickerlake.sinks.ledger import log_run
 from tickerlake.sinks.tables import (
     read_dates,
-    read_flat,
+    read_flat_loads,
     refresh_dimension,
     update_dimension,
     upsert_fact,
     write_flat,
 )
-from tickerlake.sources.snapshots import read_snapshots, read_all_snapshots
+from tickerlake.sources.snapshots import landed_dates, read_all_snapshots, read_snapshots
 
 DAG_ID = "daily_snapshot_load"
 
@@ -57,21 +70,39 @@ class Warehouse:
         return f"{self.root}/ledger"
 
 
-def _log(spark: SparkSession, wh: Warehouse, status: str, days: DataFrame | None, dag_id: str) -> None:
-    """Append one ledger row per processed date (one with a NULL date when the
-    dates are unknown, e.g. the read itself failed)."""
-    if days is None:
-        rows = spark.createDataFrame([(dag_id, status, None, None)], LEDGER_SCHEMA)
+@dataclass(frozen=True)
+class LoadResult:
+    """What a load did: its dates, documents read, and those skipped as empty."""
+
+    dates: tuple[dt.date, ...]
+    documents: int
+    empty: int
+
+
+def usable_documents(raw: DataFrame, seen: Observation) -> DataFrame:
+    """``raw`` without documents that carry nothing — a failed fetch landed
+    as ``{}``, or a truncated file. They are counted on the way."""
+    empty = is_empty_document([c for c in PAYLOAD_COLUMNS if c in raw.columns])
+    counts = (F.count(F.lit(1)).alias("documents"), F.count(F.when(empty, 1)).alias("empty"))
+    return raw.observe(seen, *counts).where(~empty)
+
+
+def dimension_history(spark: SparkSession, warehouse: Warehouse) -> DataFrame:
+    """Date and descriptive columns of the last load of each key, over all dates."""
+    columns = list(dict.fromkeys([*KEY_COLUMNS, *DIMENSION_COLUMNS, *LOAD_COLUMNS]))
+    return latest_load(read_flat_loads(spark, warehouse.flat).select(*columns))
+
+
+def fold_dimension(
+    spark: SparkSession, warehouse: Warehouse, rows: DataFrame, dates: Sequence[dt.date], mode: str, refresh: str
+) -> None:
+    """K4 after a load: ``full`` (rebuilt from the flat history, as the warehouse
+    statement does) or ``incremental`` (the loaded rows folded in)."""
+    history = dimension_history(spark, warehouse)
+    if refresh == "full":
+        refresh_dimension(history, warehouse.dimension, mode)
     else:
-        rows = days.select(
-            F.lit(dag_id).alias("dag_id"),
-            F.lit(status).alias("status"),
-            F.lit(None).cast("timestamp").alias("updated_ts"),
-            F.col("ingestion_date").alias("process_date"),
-        )
-    rows.withColumn("updated_ts", F.current_timestamp()).select(
-        *[f.name for f in LEDGER_SCHEMA.fields]
-    ).write.mode("append").parquet(wh.ledger)
+        update_dimension(spark, rows, warehouse.dimension, history, dates, mode)
 
 
 def run_daily_load(
@@ -82,51 +113,49 @@ def run_daily_load(
     update_columns: Sequence[str] = tuple(UPDATE_COLUMNS_FULL),
     flat_mode: str = "replace_dates",
     dimension_mode: str = "latest",
-    dimension_refresh: str = "full",
+    dimension_refresh: str = "incremental",
     dag_id: str = DAG_ID,
-) -> None:
-    """Load ``process_dates`` (a date, a list, or ``None`` for every landed
-    date) from ``raw_base`` into the warehouse tables.
+    archive_base: str | None = None,
+) -> LoadResult:
+    """Load ``process_dates`` (a date, a list, or ``None`` for every date that
+    has landed documents) from ``raw_base`` into the warehouse tables.
 
     The flat rows are written once and read back from parquet for the
     upsert: the raw JSON is scanned exactly once, and the upsert's lineage
     starts at the compact flat files, not at thousands of small documents.
 
-    ``dimension_refresh`` is ``full`` (rebuild from the whole flat history, as
-    the warehouse statement does) or ``incremental`` (fold the loaded rows
-    into the existing dimension: daily cost proportional to the number of
-    tickers, not to the history).
+    ``dimension_refresh`` is ``incremental`` (daily cost proportional to the
+    number of tickers) or ``full`` (rebuilt from the whole flat history); both
+    give the same dimension. With ``archive_base`` the dates' raw folders move there
+    after the tables are written.
     """
+    if dimension_refresh not in ("incremental", "full"):
+        raise ValueError(f"unknown dimension refresh {dimension_refresh!r}")
+    given = [process_dates] if isinstance(process_dates, str) else None if process_dates is None else list(process_dates)
+    days: list[dt.date] = []
     try:
-        if process_dates is None:
-            raw = read_all_snapshots(spark, raw_base)
-            dates = None
-        else:
-            dates = [process_dates] if isinstance(process_dates, str) else list(process_dates)
-            raw = read_snapshots(spark, raw_base, dates)
-        write_flat(transform(raw), warehouse.flat, flat_mode)
-        days = None if dates is None else [dt.date.fromisoformat(d) for d in dates]
-        if days is None:
-            loaded = read_flat(spark, warehouse.flat)
-        else:  # the day's own folders: listing cost independent of history
-            loaded = read_dates(spark, warehouse.flat, FLAT_SCHEMA, days)
-            if loaded is None:  # nothing was written for these dates
-                loaded = spark.createDataFrame([], FLAT_SCHEMA)
-        upsert_fact(spark, dedup_by_key(loaded), warehouse.fact, update_columns, dates=days)
-        if dimension_refresh == "full":
-            refresh_dimension(read_flat(spark, warehouse.flat), warehouse.dimension, dimension_mode)
-        elif dimension_refresh == "incremental":
-            update_dimension(spark, loaded, warehouse.dimension, dimension_mode)
+        if given is None:
+            days = sorted(r[0] for r in landed_dates(spark, raw_base).collect())  # one value per day
+            raw = read_all_snapshots(spark, raw_base, version=True)
         else:
-            raise ValueError(f"unknown dimension refresh {dimension_refresh!r}")
-        loaded_days = loaded.select("ingestion_date").distinct()
-        _log(spark, warehouse, SUCCESS, loaded_days, dag_id)
+            days = sorted({dt.date.fromisoformat(d) for d in given})
+            raw = read_snapshots(spark, raw_base, [d.isoformat() for d in days], version=True)
+        seen, load_id = Observation("documents"), uuid.uuid4().hex
+        write_flat(transform(usable_documents(raw, seen)), warehouse.flat, flat_mode, load_id)
+        loads = read_dates(spark, warehouse.flat, FLAT_STORED_SCHEMA, days)
+        if loads is None:  # nothing was written for these dates
+            loads = spark.createDataFrame([], FLAT_STORED_SCHEMA)
+        rows = latest_load(loads)
+        upsert_fact(spark, rows, warehouse.fact, update_columns, dates=days)
+        fold_dimension(spark, warehouse, rows, days, dimension_mode, dimension_refresh)
+        if loads.where(F.col(LOAD_ID) == load_id).limit(1).count():
+            documents, empty = seen.get["documents"], seen.get["empty"]
+        else:  # no document is usable: Spark drops the empty branch, and the counts with it
+            documents = empty = raw.count()
+        if archive_base is not None:
+            archive_dates(spark, raw_base, archive_base, days)
+        log_run(spark, warehouse.ledger, dag_id, SUCCESS, days)
+        return LoadResult(tuple(days), documents, empty)
     except Exception:
-        failed_days = None
-        if process_dates is not None:
-            days = [process_dates] if isinstance(process_dates, str) else list(process_dates)
-            failed_days = spark.createDataFrame(
-                [(dt.date.fromisoformat(d),) for d in days], "ingestion_date date"
-            )
-        _log(spark, warehouse, FAILED, failed_days, dag_id)
+        log_run(spark, warehouse.ledger, dag_id, FAILED, days)
         raise

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from tickerlake.functions import features as feat
 from tickerlake.operators.coverage import coverage_summary
-from tickerlake.operators.dedup import dedup_by_key
+from tickerlake.functions.naming import date_from_path
+from tickerlake.operators.dedup import dedup_by_key, latest_load
 from tickerlake.operators.dimension import dimension_distinct, dimension_latest
 from tickerlake.operators.latest import latest_dates, latest_rows
 from tickerlake.operators.ledger import dates_to_process, ledger_status
@@ -31,22 +32,27 @@ from tickerlake.plans.views import (
     analyst_view,
     fundamental_view,
     register_views,
+    store_views,
     technical_view,
     undervalued_stocks_view,
 )
-from tickerlake.schema import UPDATE_COLUMNS_FULL, UPDATE_COLUMNS_SCHEDULED
-from tickerlake.session import scratch_path
+from tickerlake.schema import KEY_COLUMNS, UPDATE_COLUMNS_FULL, UPDATE_COLUMNS_SCHEDULED
+from tickerlake.session import LISTING_PARALLELISM, scratch_path
 from tickerlake.sinks.landing import land_snapshots
+from tickerlake.sinks.ledger import read_ledger
 from tickerlake.sinks.tables import (
+    dates_of,
     read_dimension,
     read_fact,
     read_flat,
+    read_flat_loads,
     refresh_dimension,
     to_fact_columns,
+    update_dimension,
     upsert_fact,
     write_flat,
 )
-from tickerlake.sources.snapshots import read_all_snapshots
+from tickerlake.sources.snapshots import read_all_snapshots, read_snapshots
 from tickerlake.sources.universe import ticker_universe
 from tickerlake.streaming.incremental import start_incremental_load
 
@@ -92,6 +98,7 @@ def warehouse(spark: SparkSession, sf: str) -> Warehouse:
     (latest), written through the sinks once per application."""
 
     def build() -> Warehouse:
+        _listing(spark)
         wh = Warehouse(scratch_path(spark, "warehouse"))
         write_flat(flat_rows(spark, sf), wh.flat, "append")
         upsert_fact(spark, deduped(spark, sf).drop(*LINEAGE_ORDER), wh.fact)
@@ -107,16 +114,47 @@ def _documents(spark: SparkSession, sf: str) -> DataFrame:
     return rows.drop(*LINEAGE_ORDER)
 
 
+def _listing(spark: SparkSession) -> None:
+    """The queries' landing holds thousands of folders; a session whose deployer
+    has not said how many tasks list them gets the library's number, for good."""
+    if spark.conf.get(LISTING_PARALLELISM, "10000") == "10000":
+        spark.conf.set(LISTING_PARALLELISM, "64")
+
+
 def landing(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     """K6: the documents landed as ``date=<d>/<ticker>.json`` once per application."""
 
     def build() -> tuple[str, DataFrame]:
+        _listing(spark)
         base = scratch_path(spark, "landing")
         return base, land_snapshots(_documents(spark, sf), base)
 
     return _once(spark, sf, "landing", build)  # type: ignore[return-value]
 
 
+def loaded_and_archived(spark: SparkSession, sf: str) -> tuple[Warehouse, str]:
+    """A landing in which every 29th order's documents are empty, loaded by the
+    daily load (dimension rebuilt) and archived; once per application."""
+
+    def build() -> tuple[Warehouse, str]:
+        rows = dedup_by_key(raw_snapshots(spark, sf, lineage=True), order=LINEAGE_ORDER)
+        empty = F.col("l_orderkey") % 29 == 0
+        payload = [n for n in rows.columns if n not in (*KEY_COLUMNS, *LINEAGE_ORDER)]
+        docs = rows.select(*KEY_COLUMNS, *[F.when(~empty, F.col(f"`{n}`")).alias(n) for n in payload])
+        base, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
+        land_snapshots(docs, base)
+        wh = Warehouse(scratch_path(spark, "daily"))
+        run_daily_load(spark, base, wh, dimension_refresh="full", archive_base=archive)
+        return wh, archive
+
+    return _once(spark, sf, "archived", build)  # type: ignore[return-value]
+
+
+def last_date(spark: SparkSession, sf: str) -> str:
+    rows = raw_snapshots(spark, sf)
+    return rows.agg(F.max("ingestion_date")).first()[0].isoformat()
+
+
 # ------------------------------------------------------------------ queries --
 
 
@@ -224,6 +262,15 @@ def q4_undervalued_distinct_dim(spark: SparkSession, sf: str) -> DataFrame:
     return undervalued_stocks_view(fact, dimension_distinct(read_flat(spark, warehouse(spark, sf).flat)))
 
 
+def k5_catalog_views(spark: SparkSession, sf: str) -> DataFrame:
+    """The screener as a stored view over catalog tables."""
+    wh = warehouse(spark, sf)
+    # A database of its own for each built warehouse: its tables point at those files.
+    database = "market_" + wh.root.rsplit("-", 1)[-1]
+    store_views(spark, wh.fact, wh.dimension, database)
+    return spark.sql(f"SELECT * FROM {database}.undervalued_stocks_view")
+
+
 def k5_views(spark: SparkSession, sf: str) -> DataFrame:
     register_views(spark, *_views(spark, sf))
     return spark.sql("SELECT * FROM fundamental_view")
@@ -250,17 +297,104 @@ def _upsert(update_columns) -> Query:
         path = scratch_path(spark, "fact")
         first = deduped(spark, sf, 0).where(F.col("l_linenumber") <= 4)
         second = deduped(spark, sf, 1).where(F.col("l_linenumber") >= 3)
-        upsert_fact(spark, first.drop(*LINEAGE_ORDER), path)
-        upsert_fact(spark, second.drop(*LINEAGE_ORDER), path, update_columns)
+        upsert_fact(spark, first.drop(*LINEAGE_ORDER), path, dates=_load_dates(spark, sf, 1, 4))
+        upsert_fact(spark, second.drop(*LINEAGE_ORDER), path, update_columns, dates=_load_dates(spark, sf, 3, 7))
         return read_fact(spark, path)
 
     return q
 
 
+def _load_dates(spark: SparkSession, sf: str, low: int, high: int) -> list:
+    """Dates of a load, from the rows before they are de-duplicated (a superset is fine)."""
+    rows = raw_snapshots(spark, sf, lineage=True).where(F.col("l_linenumber").between(low, high))
+    return dates_of(rows)
+
+
 def k4_dimension_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return read_dimension(spark, warehouse(spark, sf).dimension)
 
 
+def k4_dimension_refresh_twice(spark: SparkSession, sf: str) -> DataFrame:
+    """The second refresh, from a history of line number 7 alone, holds fewer tickers."""
+    path = scratch_path(spark, "dimension")
+    rows = flat_with_lineage(spark, sf)
+    refresh_dimension(rows, path)
+    refresh_dimension(rows.where(F.col("l_linenumber") == 7), path)
+    return read_dimension(spark, path)
+
+
+# From this date on, the reload test loads dates again, with other rows.
+RELOADED_FROM = "1996-01-01"
+
+
+def k4_dimension_incremental_reload(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates loaded again with line numbers up to 3 only and brands as sectors:
+    the folded dimension equals one built from the new history."""
+    path = scratch_path(spark, "dimension")
+    rows = flat_with_lineage(spark, sf)
+    refresh_dimension(rows, path)
+    late = F.col("ingestion_date") >= F.lit(RELOADED_FROM).cast("date")
+    again = rows.where(late & (F.col("l_linenumber") <= 3)).withColumn("sector", F.col("industry"))
+    dates = dates_of(rows.where(late))
+    update_dimension(spark, again, path, rows.where(~late).unionByName(again), dates)
+    return read_dimension(spark, path)
+
+
+def s4_read_single_date(spark: SparkSession, sf: str) -> DataFrame:
+    """S1, S4, F3 for one date, the last: its date is a constant column."""
+    base, _ = landing(spark, sf)
+    return feat.rename_problematic_columns(read_snapshots(spark, base, last_date(spark, sf)))
+
+
+def p7_cast_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Flat rows whose date is text become fact rows with a DATE."""
+    rows = deduped(spark, sf).drop(*LINEAGE_ORDER)
+    return to_fact_columns(rows.withColumn("ingestion_date", F.col("ingestion_date").cast("string")))
+
+
+def r5_dedup_latest_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Line numbers 3–7 loaded again, restated, by a second append: the last load's rows win."""
+    path = scratch_path(spark, "flat")
+    write_flat(flat_rows(spark, sf), path, "append")
+    again = flat_with_lineage(spark, sf, 1).where(F.col("l_linenumber") >= 3)
+    write_flat(again.drop(*LINEAGE_ORDER), path, "append")
+    return latest_load(read_flat_loads(spark, path))
+
+
+def f5_skip_empty(spark: SparkSession, sf: str) -> DataFrame:
+    return read_fact(spark, loaded_and_archived(spark, sf)[0].fact)
+
+
+def k7_archived_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Files per date in the archive."""
+    archive = loaded_and_archived(spark, sf)[1]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(archive)
+    date = F.date_format(date_from_path(F.col("path")), "yyyy-MM-dd").alias("date")
+    return files.groupBy(date).agg(F.count("*").alias("files"))
+
+
+def k8_ledger_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """One SUCCESS row a date, stamped with the time of the run."""
+    ledger = read_ledger(spark, loaded_and_archived(spark, sf)[0].ledger)
+    recent = F.col("updated_ts").between(F.current_timestamp() - F.expr("interval 1 day"), F.current_timestamp())
+    return ledger.select("dag_id", "status", "process_date", recent.alias("stamped"))
+
+
+def q5_daily_load_single_date(spark: SparkSession, sf: str) -> DataFrame:
+    base, _ = landing(spark, sf)
+    wh = Warehouse(scratch_path(spark, "daily"))
+    run_daily_load(spark, base, wh, last_date(spark, sf))
+    return read_fact(spark, wh.fact)
+
+
+def r1_landing_coverage_due_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """R1 over every order date, on many of which nothing landed."""
+    base, _ = landing(spark, sf)
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    due = orders.select(F.col("o_orderdate").cast("date").alias("ingestion_date"))
+    return coverage_summary(_part_universe(spark, sf), read_all_snapshots(spark, base), dates=due)
+
+
 def s1_read_snapshots(spark: SparkSession, sf: str) -> DataFrame:
     base, _ = landing(spark, sf)
     return feat.rename_problematic_columns(read_all_snapshots(spark, base))
@@ -303,24 +437,34 @@ def q5_daily_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def r3_incremental_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Land a fresh copy, stream it in bounded batches, archive consumed files."""
-    base = scratch_path(spark, "stream-landing")
-    land_snapshots(_documents(spark, sf), base)
+    """All landed documents as a file stream."""
+    base, _ = landing(spark, sf)
     wh = Warehouse(scratch_path(spark, "stream-warehouse"))
-    query = start_incremental_load(
-        spark,
-        base,
-        wh,
-        checkpoint=scratch_path(spark, "stream-checkpoint"),
-        archive_dir=scratch_path(spark, "stream-archive"),
-        max_files_per_trigger=40_000,
-    )
+    query = start_incremental_load(spark, base, wh, checkpoint=scratch_path(spark, "stream-checkpoint"))
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return read_fact(spark, wh.fact)
 
 
+def _gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact with prices of 0 where there is no PE, and without ticker where the PE is 17."""
+    fact = fact_rows(spark, sf)
+    pe = F.col("trailingPE")
+    return fact.withColumns({
+        "currentPrice": F.when(pe.isNull(), F.lit(0.0)).otherwise(F.col("currentPrice")),
+        "ticker_id": F.when(F.coalesce(pe, F.lit(0)) != 17, F.col("ticker_id")),
+    })
+
+
+def v1_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return moving_average(_gaps(spark, sf), 5, block=16)
+
+
+def v2_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return volatility(_gaps(spark, sf), 5, block=16)
+
+
 # Block of 16 positions: small enough that histories of the test tables span
 # several blocks, so the halo path is exercised; any block >= n gives the
 # same rows.
@@ -359,6 +503,19 @@ QUERIES: dict[str, Query] = {
     "K3_upsert": _upsert(UPDATE_COLUMNS_FULL),
     "K3_upsert_scheduled_columns": _upsert(UPDATE_COLUMNS_SCHEDULED),
     "K4_dimension_refresh": k4_dimension_refresh,
+    "K4_dimension_refresh_twice": k4_dimension_refresh_twice,
+    "K4_dimension_incremental_reload": k4_dimension_incremental_reload,
+    "K5_catalog_views": k5_catalog_views,
+    "K7_archived_files": k7_archived_files,
+    "K8_ledger_rows": k8_ledger_rows,
+    "F5_skip_empty": f5_skip_empty,
+    "P7_cast_date": p7_cast_date,
+    "R5_dedup_latest_load": r5_dedup_latest_load,
+    "S4_read_single_date": s4_read_single_date,
+    "Q5_daily_load_single_date": q5_daily_load_single_date,
+    "R1_landing_coverage_due_dates": r1_landing_coverage_due_dates,
+    "V1_moving_average_5_gaps": v1_gaps,
+    "V2_volatility_5_gaps": v2_gaps,
     "S1_read_snapshots": s1_read_snapshots,
     "K6_landing_summary": k6_landing_summary,
     "S6_ticker_universe": s6_ticker_universe,

@@ -1,7 +1,8 @@
 """Q1–Q4 and K5: the user-facing views over the fact and dimension tables.
 
 Each view is a DataFrame → DataFrame function; ``register_views`` also
-publishes them as temporary views under their warehouse names.
+publishes them as temporary views under their warehouse names, and
+``store_views`` as views of the catalog.
 
 The dimension joins are plain equi-joins: the dimension has one row per
 ticker (``dimension_latest``), so the optimiser broadcasts it while it is
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 
 from tickerlake.operators.latest import latest_rows
 from tickerlake.operators.ranking import top_n_per_group
+from tickerlake.schema import FACT_SCHEMA
+from tickerlake.sinks.tables import DIMENSION_STORED_SCHEMA
 
 # --- Fixed values: view column lists (warehouse-file form). ---
 FUNDAMENTAL_FACT_COLUMNS = [
@@ -115,13 +118,13 @@ def undervalued_stocks_view(fact: DataFrame, dim: DataFrame, top_n: int = 1) ->
     """Q4: per sector, the ticker with the lowest trailing PE (then highest
     revenue growth, then ticker id) among every ticker's latest snapshot.
 
-    Plan: latest date per ticker (partial max, over all rows) → semi join
-    back on (ticker, date) → drop NULL PE (a ticker whose latest row has no
-    PE is out; the filter is pushed below the joins on the fact side only) → inner join with the
-    dimension → row_number per sector, limited to ``top_n`` on both sides of
-    the shuffle. Tickers with a NULL sector rank as one group.
+    Plan: latest row per ticker, of the columns needed, as one aggregate over
+    one scan (the fact's key is unique) → drop NULL PE (a ticker whose latest
+    row has no PE is out) → inner join with the dimension → row_number per
+    sector, limited to ``top_n`` on both sides of the shuffle. Tickers with a
+    NULL sector rank as one group.
     """
-    latest = latest_rows(fact).where(F.col("trailingPE").isNotNull())
+    latest = latest_rows(fact.select(*SCREENER_FACT_COLUMNS), unique=True).where(F.col("trailingPE").isNotNull())
     q, d = latest.alias("q"), dim.alias("d")
     joined = q.join(d, F.col("q.ticker_id") == F.col("d.ticker_id"), "inner").select(
         F.col("d.sector").alias("sector"), *[_q(c) for c in SCREENER_FACT_COLUMNS]
@@ -139,7 +142,7 @@ def undervalued_stocks_view(fact: DataFrame, dim: DataFrame, top_n: int = 1) ->
 
 
 def register_views(spark: SparkSession, fact: DataFrame, dim: DataFrame) -> list[str]:
-    """K5: (re)publish the four views as temporary views; returns their names."""
+    """K5 for a session: (re)publish the four views as temporary views; returns their names."""
     views = {
         "fundamental_view": fundamental_view(fact, dim),
         "technical_view": technical_view(fact),
@@ -149,3 +152,50 @@ def register_views(spark: SparkSession, fact: DataFrame, dim: DataFrame) -> list
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return list(views)
+
+
+def view_statements(fact: str, dimension: str) -> dict[str, str]:
+    """The four views as SQL over catalog tables."""
+    def cols(names: list[str], alias: str = "q") -> str:
+        return ", ".join(f"{alias}.`{n}`" for n in names)
+
+    latest = ", ".join(f"`{c}`" for c in SCREENER_FACT_COLUMNS if c not in ("ticker_id", "ingestion_date"))
+    picked = ", ".join(
+        "last.d AS ingestion_date" if c == "ingestion_date" else c if c == "ticker_id" else f"last.`{c}`"
+        for c in SCREENER_FACT_COLUMNS
+    )
+    facts = f"{fact} q LEFT JOIN {dimension} d ON q.ticker_id = d.ticker_id"
+    return {
+        "fundamental_view": f"SELECT q.ticker_id, q.ingestion_date, d.sector, d.industry, {cols(FUNDAMENTAL_FACT_COLUMNS)} FROM {facts}",
+        "technical_view": f"SELECT {cols(TECHNICAL_COLUMNS)} FROM {fact} q",
+        "analyst_view": f"SELECT q.ticker_id, q.ingestion_date, d.sector, {cols(ANALYST_FACT_COLUMNS)} FROM {facts}",
+        "undervalued_stocks_view": (
+            f"WITH latest AS (SELECT {picked} FROM (SELECT ticker_id, max(struct(ingestion_date AS d, {latest})) AS last "
+            f"FROM {fact} WHERE ticker_id IS NOT NULL GROUP BY ticker_id) WHERE last.trailingPE IS NOT NULL), "
+            "ranked AS (SELECT d.sector, q.*, CAST(row_number() OVER (PARTITION BY d.sector ORDER BY q.trailingPE, "
+            f"q.revenueGrowth DESC, q.ticker_id) AS BIGINT) AS rank FROM latest q JOIN {dimension} d "
+            "ON q.ticker_id = d.ticker_id) SELECT * FROM ranked WHERE rank = 1"
+        ),
+    }
+
+
+def store_views(spark: SparkSession, fact_path: str, dimension_path: str, database: str = "default") -> list[str]:
+    """K5 in the catalog: tables over the stored files and the four views, replaced on each call.
+
+    What a persistent catalog holds outlives the session. The tables' new
+    partitions are found on each call.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for name, path, schema, by in (
+        ("quantitative_table", fact_path, FACT_SCHEMA, "ingestion_date"),
+        ("dimension_table", dimension_path, DIMENSION_STORED_SCHEMA, "bucket"),
+    ):
+        table = f"{database}.{name}"
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    names = [f"{database}.{n}" for n in view_statements("", "")]
+    for name, statement in view_statements(f"{database}.quantitative_table", f"{database}.dimension_table").items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {statement}")
+    return names

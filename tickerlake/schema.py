@@ -304,6 +304,18 @@ def _flat_columns() -> list[tuple[str, str]]:
 FLAT_COLUMNS: list[tuple[str, str]] = _flat_columns()
 FLAT_SCHEMA: T.StructType = struct_of(FLAT_COLUMNS)
 
+# Kept beside the flat columns in storage: when a row was loaded, by which load,
+# and the version its file name gives. Of two loads of a key the later wins.
+LOAD_TIME, LOAD_ID, DOC_VERSION = LOAD_COLUMNS = ("load_ts", "load_id", "doc_version")
+FLAT_STORED_SCHEMA: T.StructType = T.StructType(
+    FLAT_SCHEMA.fields
+    + [
+        T.StructField(LOAD_TIME, T.TimestampType(), True),
+        T.StructField(LOAD_ID, T.StringType(), True),
+        T.StructField(DOC_VERSION, T.LongType(), True),
+    ]
+)
+
 PAYLOAD_COLUMNS: list[str] = [n for n, _ in RAW_COLUMNS if n not in NON_PAYLOAD_COLUMNS]
 
 LEDGER_SCHEMA: T.StructType = T.StructType(

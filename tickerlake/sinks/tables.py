@@ -10,8 +10,7 @@ reads as an empty frame and no footer has to be opened to learn the columns.
 from __future__ import annotations
 
 import datetime as dt
-import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -20,12 +19,15 @@ from pyspark.sql import types as T
 
 from tickerlake.operators.dimension import build_dimension
 from tickerlake.operators.upsert import merge_plan
-from tickerlake.session import listing_parallelism
 from tickerlake.schema import (
     DIMENSION_COLUMNS,
+    DOC_VERSION,
     FACT_SCHEMA,
     FLAT_SCHEMA,
+    FLAT_STORED_SCHEMA,
     KEY_COLUMNS,
+    LOAD_ID,
+    LOAD_TIME,
     UPDATE_COLUMNS_FULL,
 )
 
@@ -66,15 +68,19 @@ def _clustered(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- K1 --
 
-def write_flat(df: DataFrame, path: str, mode: str = "append") -> None:
-    """K1: write flat rows partitioned by date.
+def write_flat(df: DataFrame, path: str, mode: str = "append", load_id: str | None = None) -> None:
+    """K1: write flat rows partitioned by date, stamped with load time and id.
 
     ``append`` adds rows as the upstream job does; a retried load then holds
-    its rows twice (dedup with R5 before the upsert). ``replace_dates``
-    overwrites exactly the dates present in ``df`` (dynamic partition
-    overwrite), so re-running a date is idempotent.
+    its rows twice, and R5 by load time picks the later before the upsert.
+    ``replace_dates`` overwrites exactly the dates present in ``df`` (dynamic
+    partition overwrite), so re-running a date is idempotent.
     """
-    writer = _clustered(_require_date(df)).write.partitionBy(PARTITION_COLUMN)
+    version = F.col(DOC_VERSION) if DOC_VERSION in df.columns else F.lit(None).cast("long")
+    stamped = _require_date(df).withColumns(
+        {LOAD_TIME: F.current_timestamp(), LOAD_ID: F.lit(load_id).cast("string"), DOC_VERSION: version}
+    )
+    writer = _clustered(stamped).write.partitionBy(PARTITION_COLUMN)
     if mode == "append":
         writer.mode("append").parquet(path)
     elif mode == "replace_dates":
@@ -84,20 +90,28 @@ def write_flat(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Scan a table folder under its declared schema (partition folders
-    listed with one task per core)."""
-    with listing_parallelism(spark):
-        return spark.read.schema(schema).parquet(path)
+    """Scan a table folder under its declared schema."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_flat(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, FLAT_SCHEMA)
+    """The flat table's 107 columns."""
+    return read_flat_loads(spark, path).select(*FLAT_SCHEMA.fieldNames())
+
+
+def read_flat_loads(spark: SparkSession, path: str) -> DataFrame:
+    """The flat table with each row's load time and id."""
+    return read_table(spark, path, FLAT_STORED_SCHEMA)
 
 
-# Up to this many dates, a date-partitioned table is read through the folders
-# of those dates only; beyond it (a backfill) one parallel listing of the
-# whole table is cheaper than globbing each folder from the driver.
-FOLDER_READ_MAX_DATES = 64
+def table_exists(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` gives, or ``None`` where its path does not exist; any other error is raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_dates(
@@ -106,21 +120,14 @@ def read_dates(
     """The rows of ``dates`` in a date-partitioned table, or ``None`` when none
     of those dates has a folder yet.
 
-    A daily run lists the folders of its own dates, not the whole history:
-    the cost of finding the files does not grow with the table.
+    One path pattern names the dates, however many: the table's folder is
+    listed (one entry a day), and of its date folders only those of ``dates``.
     """
     days = sorted(set(dates))
     if not days:
         return None
-    if len(days) > FOLDER_READ_MAX_DATES:
-        table = read_table(spark, path, schema)
-        return table.where(F.col(PARTITION_COLUMN).isin(days))
     glob = f"{path.rstrip('/')}/{PARTITION_COLUMN}={{{','.join(d.isoformat() for d in days)}}}"
-    try:
-        with listing_parallelism(spark):
-            return spark.read.schema(schema).option("basePath", path).parquet(glob)
-    except AnalysisException:  # PATH_NOT_FOUND: no folder for any of the dates
-        return None
+    return table_exists(lambda: spark.read.schema(schema).option("basePath", path).parquet(glob))
 
 
 # ------------------------------------------------------------------- K2 --
@@ -155,27 +162,10 @@ def to_fact_columns(flat: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------- K3 --
 
-def source_dates(source: DataFrame) -> list:
-    """The distinct dates of a load: one small job returning a set bounded by
-    the calendar (one value per day loaded), never the rows themselves."""
-    return sorted(r[0] for r in source.select(PARTITION_COLUMN).distinct().collect())
-
-
-_PARTITION_IN_PATH = re.compile(rf"/{PARTITION_COLUMN}=(\d{{4}}-\d{{2}}-\d{{2}})/")
-
-
-def existing_dates(target: DataFrame) -> set[dt.date]:
-    """Dates that already have files in a date-partitioned table scan.
-
-    Read from the scan's file list (``inputFiles``: the folder listing the
-    scan already did, pruned by its partition filter), not from the data.
-    """
-    found = set()
-    for f in target.inputFiles():
-        m = _PARTITION_IN_PATH.search(f)
-        if m:
-            found.add(dt.date.fromisoformat(m.group(1)))
-    return found
+def dates_of(df: DataFrame) -> list[dt.date]:
+    """The distinct dates of a load or a table scan: a set bounded by the
+    calendar (one value per day), never the rows themselves."""
+    return sorted(r[0] for r in df.select(PARTITION_COLUMN).distinct().collect())
 
 
 def upsert_fact(
@@ -183,22 +173,21 @@ def upsert_fact(
     source_flat: DataFrame,
     fact_path: str,
     update_columns: Sequence[str] = tuple(UPDATE_COLUMNS_FULL),
-    dates: Sequence | None = None,
+    dates: Sequence[dt.date] | None = None,
 ) -> None:
     """K3: merge flat rows into the fact table by (ticker_id, ingestion_date).
 
-    Only the fact partitions of the loaded dates are read — their folders
-    alone for a daily load, a literal partition filter (``PartitionFilters``
-    in the plan) for a large backfill — and only those partitions are
-    rewritten (dynamic partition overwrite). Untouched dates are never read nor written. ``dates`` may be
-    passed when the caller knows them (the daily load does); otherwise they
-    are taken from the source.
+    Only the fact partitions of the loaded dates are read, by the names of
+    their folders, and only those are rewritten (dynamic partition overwrite).
+    Untouched dates are never read nor written. ``dates`` may be passed when
+    the caller knows them (the daily load does); otherwise they are taken from
+    the source, which costs an evaluation of it.
 
-    A loaded date with no fact partition yet cannot match anything, so its
-    rows take the insert-only branch: no target read, no join, no shuffle
-    but the write's rebalance. Only dates that already exist go through the
-    full outer join. Both branches are one job and one write. A normal daily
-    run (a new day) is therefore a plain partitioned write.
+    If no loaded date has a fact partition yet nothing can match, and the rows
+    are inserted: no target read, no join, no shuffle but the write's
+    rebalance. A normal daily run (a new day) is therefore a plain partitioned
+    write. Otherwise all rows go through one full outer join, in which rows of
+    new dates have no partner. Either way the source is evaluated once.
 
     Not atomic across partitions: load one date (or one batch of dates) per
     call, and re-run the same call after a failure — the merge is
@@ -206,25 +195,16 @@ def upsert_fact(
     """
     ensure_fact_table(spark, fact_path)
     src = _require_date(to_fact_columns(source_flat))
-    days = list(dates) if dates is not None else source_dates(src)
+    days = list(dates) if dates is not None else dates_of(src)
     if not days:
         return
+    if dates is not None:
+        src = src.where(F.col(PARTITION_COLUMN).isin(days))
     target = read_dates(spark, fact_path, FACT_SCHEMA, days)
-    present = sorted(existing_dates(target)) if target is not None else []
-    fresh = [d for d in days if d not in set(present)]
-    parts = []
-    if present:
-        d = F.col(PARTITION_COLUMN)
-        parts.append(
-            merge_plan(
-                target.where(d.isin(present)), src.where(d.isin(present)), update_columns, KEY_COLUMNS
-            )
-        )
-    if fresh:
-        parts.append(
-            src.where(F.col(PARTITION_COLUMN).isin(fresh)).select(*FACT_SCHEMA.fieldNames())
-        )
-    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if target is not None:
+        merged = merge_plan(target, src, update_columns, KEY_COLUMNS)
+    else:
+        merged = src.select(*FACT_SCHEMA.fieldNames())
     (
         _clustered(merged)
         .write.mode("overwrite")
@@ -252,56 +232,78 @@ def _with_bucket(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64("ticker_id"), F.lit(buckets)).cast("int"))
 
 
-def _write_dimension(df: DataFrame, path: str, dynamic: bool) -> None:
-    """One or a few files per bucket (AQE-sized), sorted by ticker."""
-    laid_out = (
+def _write_dimension(df: DataFrame, path: str, overwrite: str) -> None:
+    """One or a few files per bucket (AQE-sized), sorted by ticker. ``static``
+    replaces the table, ``dynamic`` the buckets that ``df`` holds."""
+    (
         df.select(*[f.name for f in DIMENSION_STORED_SCHEMA.fields])
         .hint("rebalance", BUCKET)
         .sortWithinPartitions(BUCKET, "ticker_id")
+        .write.partitionBy(BUCKET)
+        .option("partitionOverwriteMode", overwrite)
+        .mode("overwrite")
+        .parquet(path)
     )
-    writer = laid_out.write.partitionBy(BUCKET)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").parquet(path)
 
 
-def refresh_dimension(flat: DataFrame, path: str, mode: str = "latest") -> None:
-    """K4: full refresh of the dimension from the whole flat history."""
+def refresh_dimension(
+    flat: DataFrame, path: str, mode: str = "latest", buckets: int = DIMENSION_BUCKETS
+) -> None:
+    """K4: full refresh of the dimension from the whole flat history. What is
+    not in that history any more is gone afterwards."""
     dim = build_dimension(flat, mode, keep_date=True)
-    _write_dimension(_with_bucket(dim, DIMENSION_BUCKETS), path, dynamic=False)
+    _write_dimension(_with_bucket(dim, buckets), path, "static")
 
 
-def update_dimension(spark: SparkSession, new_rows: DataFrame, path: str, mode: str = "latest") -> None:
-    """K4, incremental: fold the rows of a load into the existing dimension.
+def update_dimension(
+    spark: SparkSession,
+    new_rows: DataFrame,
+    path: str,
+    history: DataFrame,
+    dates: Sequence[dt.date],
+    mode: str = "latest",
+    buckets: int = DIMENSION_BUCKETS,
+) -> None:
+    """K4, incremental: fold the rows of a load of ``dates`` into the dimension.
 
     Both dimensions are associative over the history — the latest attributes
     are a ``max(struct(date, attrs…))`` and the distinct rows a set union — so
-    ``dim(history + day) = dim(dim(history) + day)``. The daily cost is the
-    size of the dimension plus the day, not the whole flat history. Only the
-    buckets holding tickers of the load are rewritten (dynamic partition
-    overwrite), each from its old rows and the new ones.
-
-    A re-load of a date whose attributes changed keeps, for that date, the
-    greater attribute tuple of the two loads until the next full refresh.
+    ``dim(history + new day) = dim(dim(history) + day)``: a new day costs the
+    dimension plus the day.
+
+    A date that is loaded again may take back what it gave before. Rows that
+    were last seen on one of ``dates`` are therefore dropped, and their tickers
+    are built from ``history`` (the flat table with the load in it) — unless
+    mode is ``latest`` and the load has the ticker on that date or later,
+    which settles it. Only the buckets of tickers concerned are rewritten.
     """
-    days_rows = new_rows.select("ingestion_date", *DIMENSION_COLUMNS)
-    try:
-        old = read_table(spark, path, DIMENSION_STORED_SCHEMA)
-    except AnalysisException:  # PATH_NOT_FOUND — first load, nothing to fold into
-        refresh_dimension(days_rows, path, mode)
+    days_rows = new_rows.select(PARTITION_COLUMN, *DIMENSION_COLUMNS)
+    old = table_exists(lambda: read_table(spark, path, DIMENSION_STORED_SCHEMA))
+    if old is None:  # first load, nothing to fold into
+        refresh_dimension(history, path, mode, buckets)
         return
-    touched = sorted(
-        r[0]
-        for r in _with_bucket(days_rows.select("ticker_id").distinct(), DIMENSION_BUCKETS)
-        .select(BUCKET)
-        .distinct()
-        .collect()
-    )  # at most DIMENSION_BUCKETS values
-    old_rows = old.where(F.col(BUCKET).isin(touched)).select(
-        F.col(AS_OF).alias("ingestion_date"), *DIMENSION_COLUMNS
+    last_seen = F.col(AS_OF).isin(list(dates))
+    unsettled = old.where(last_seen).groupBy("ticker_id").agg(F.max(AS_OF).alias("_seen"))
+    if mode == "latest":
+        newest = days_rows.groupBy(F.col("ticker_id").alias("_t")).agg(F.max(PARTITION_COLUMN).alias("_new"))
+        unsettled = unsettled.join(
+            newest, F.col("ticker_id").eqNullSafe(F.col("_t")) & (F.col("_new") >= F.col("_seen")), "left_anti"
+        )
+    unsettled = unsettled.select(F.col("ticker_id").alias("_u"))
+    new = days_rows
+    if unsettled.limit(1).count():
+        again = history.select(PARTITION_COLUMN, *DIMENSION_COLUMNS).join(
+            unsettled, F.col("ticker_id").eqNullSafe(F.col("_u")), "left_semi"
+        )
+        new = days_rows.unionByName(again)
+    gone = old.where(last_seen).select("ticker_id")
+    touched = _with_bucket(days_rows.select("ticker_id").unionByName(gone).distinct(), buckets)
+    in_buckets = [r[0] for r in touched.select(BUCKET).distinct().collect()]  # at most ``buckets`` values
+    kept = old.where(F.col(BUCKET).isin(in_buckets) & ~last_seen).select(
+        F.col(AS_OF).alias(PARTITION_COLUMN), *DIMENSION_COLUMNS
     )
-    merged = build_dimension(old_rows.unionByName(days_rows), mode, keep_date=True)
-    _write_dimension(_with_bucket(merged, DIMENSION_BUCKETS), path, dynamic=True)
+    merged = build_dimension(kept.unionByName(new), mode, keep_date=True)
+    _write_dimension(_with_bucket(merged, buckets), path, "dynamic")
 
 
 def read_dimension(spark: SparkSession, path: str) -> DataFrame:
