@@ -145,40 +145,162 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return stored(joined.where(F.pandas_udf(enough, "boolean")("a_set", "b_set")).select("a", "b"), "neardup-links")
 
 
-def cross_pairs(buckets: DataFrame, comps: DataFrame, reps: DataFrame, least_size: float) -> DataFrame:
-    """Pairs of a bucket that are not in one component yet and whose sketches agree enough.
-
-    Buckets of one component have nothing left to link. Of the others, blocks of
-    BLOCK rows are compared two by two, each pair of blocks in a task of its own.
+class Groups:
+    """Union-find over the labels 0 to n - 1."""
+
+    def __init__(self, n: int):
+        self.parent = np.arange(n)
+
+    def roots(self) -> np.ndarray:
+        while True:
+            up = self.parent[self.parent]
+            if (up == self.parent).all():
+                return self.parent
+            self.parent = up
+
+    def join(self, a: np.ndarray, b: np.ndarray) -> list[int]:
+        """Join the pairs in order; which of them joined two groups."""
+        parent, did = self.parent, []
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            while parent[x] != x:
+                x = parent[x] = parent[parent[x]]
+            while parent[y] != y:
+                y = parent[y] = parent[parent[y]]
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+                did.append(i)
+        return did
+
+
+def _runs(key: np.ndarray) -> list[tuple[int, int]]:
+    edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+    return list(zip(edge[:-1].tolist(), edge[1:].tolist()))
+
+
+def _alike(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, least_size: float) -> np.ndarray:
+    ok = np.minimum(n[a], n[b]) >= least_size * np.maximum(n[a], n[b])
+    ok[ok] = (sketch[a[ok]] == sketch[b[ok]]).mean(1) >= LEAST_AGREEMENT
+    return ok
+
+
+def soft_links(buckets: DataFrame, comps: DataFrame, reps: DataFrame, least_size: float, slots: int) -> DataFrame:
+    """Pairs of components (a, b) that some bucket shows to be alike by sketch.
+
+    Buckets of one component have nothing left to link. Of the others, rows of
+    the component first in the bucket are cut into parts of BLOCK and all other
+    rows go to each part. Pairs already joined in a task are not compared
+    again, and only pairs that join two groups there are returned: fewer than
+    there are components, however many pairs are alike.
     """
-    labelled = buckets.join(comps.withColumnRenamed("node", "_n"), F.col("rep") == F.col("_n"), "left").select(
-        "key", "rep", "members", "centre", F.coalesce("component", "rep").alias("component"))
-    labelled = stored(labelled, "neardup-labelled")
-    still = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select(F.col("key").alias("k"))
+    labelled = stored(
+        buckets.join(comps.withColumnRenamed("node", "_n"), F.col("rep") == F.col("_n"), "left")
+        .select("key", "rep", "members", F.coalesce("component", "rep").alias("component")), "neardup-labelled")
+    still = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
     parts = F.ceil(F.col("members") / BLOCK).cast("int")
+    part = F.pmod(F.xxhash64("rep"), parts).cast("int")
     rows = (
-        labelled.join(still, F.col("key") == F.col("k")).drop("k")
+        labelled.join(still.select(F.col("key").alias("k"), "lo"), F.col("key") == F.col("k"))
         .join(reps.select(F.col("rep").alias("r"), "n", "sketch"), F.col("rep") == F.col("r"))
-        .withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        .select("key", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "rep", "centre", "component", "n", "sketch")
+        .withColumn("part", F.explode(F.when(F.col("component") == F.col("lo"), F.array(part)).otherwise(F.sequence(F.lit(0), parts - 1))))
+        .select(F.pmod(F.xxhash64("key", "part"), F.lit(slots)).alias("slot"), "key", "part", "component", "n", "sketch")
     )
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        left, right = (group[group["part"] == p] for p in key[1:])
-        la, lb = left["rep"].to_numpy(), right["rep"].to_numpy()
-        sa, sb = (np.frombuffer(b"".join(g["sketch"]), np.uint8).reshape(len(g), -1) for g in (left, right))
+        group = group.sort_values(["key", "part", "component"], kind="stable")
+        labels, comp = np.unique(group["component"].to_numpy(), return_inverse=True)
+        n, sketch = group["n"].to_numpy(), np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
+        bucket, found = group["key"].to_numpy() * 31 + group["part"].to_numpy(), Groups(len(labels))
+        a_out, b_out = [], []
+
+        def link(a: np.ndarray, b: np.ndarray) -> None:
+            root = found.roots()
+            new = root[comp[a]] != root[comp[b]]
+            a, b = a[new], b[new]
+            for lo in range(0, len(a), 1 << 15):
+                x, y = a[lo : lo + (1 << 15)], b[lo : lo + (1 << 15)]
+                ok = _alike(sketch, n, x, y, least_size)
+                x, y = comp[x[ok]], comp[y[ok]]
+                did = found.join(x, y)
+                a_out.extend(labels[x[did]].tolist())
+                b_out.extend(labels[y[did]].tolist())
+
+        runs = _runs(bucket)
+        size = np.concatenate([np.full(hi - lo, hi - lo) for lo, hi in runs])
+        at = np.flatnonzero(size <= 64)
+        for step in range(1, 64):
+            at = at[at + step < len(bucket)]
+            at = at[bucket[at] == bucket[at + step]]
+            if not len(at):
+                break
+            link(at, at + step)
+        for lo, hi in runs:
+            if hi - lo > 64:
+                for row in range(lo + 1, hi):
+                    # Rows are in order of their components: those before, of others, are a prefix.
+                    before = lo + int(np.searchsorted(comp[lo:row], comp[row]))
+                    if before > lo:
+                        link(np.full(before - lo, row), np.arange(lo, before))
+        return pd.DataFrame({"a": a_out, "b": b_out}, dtype="int64")
+
+    return stored(rows.groupBy("slot").applyInPandas(compare, "a long, b long").distinct(), "neardup-soft")
+
+
+def cross_links(soft: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, slots: int) -> DataFrame:
+    """Links (a, b) between documents of different components, on full sets.
+
+    Components joined by soft links are a cluster. All pairs of a cluster's
+    documents that are of different components are verified: blocks of
+    BLOCK documents two by two, each document's set sent once a block. Of
+    the links found, those that join two groups in the task are returned.
+    """
+    clusters = stored(components(soft, "neardup-components").toDF("_c", "cluster"), "neardup-clusters")
+    of = sets.join(comps.withColumnRenamed("node", "_n"), F.col("rep") == F.col("_n"), "left").withColumn("component", F.coalesce("component", "rep"))
+    members = stored(
+        of.join(small(clusters, clusters.count()), F.col("component") == F.col("_c")).select("cluster", "component", "rep", "shingles"),
+        "neardup-members")
+    sizes = members.groupBy("cluster").agg(F.count("*").alias("size")).withColumnRenamed("cluster", "_k")
+    parts = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = (
+        members.join(sizes, F.col("cluster") == F.col("_k"))
+        .withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")})
+        .select(F.pmod(F.xxhash64("cluster", "x", "y"), F.lit(slots)).alias("slot"), "cluster", "x", "y", "part", "component", "rep", "shingles")
+    )
+
+    def verify(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for i in range(len(la)):
-            ok = (lb > la[i] if key[1] == key[2] else np.ones(len(lb), bool)) & (right["component"].to_numpy() != left["component"].iat[i])
-            ok &= np.minimum(right["n"].to_numpy(), left["n"].iat[i]) >= least_size * np.maximum(right["n"].to_numpy(), left["n"].iat[i])
-            ok &= (lb != left["centre"].iat[i]) & (la[i] != left["centre"].iat[i])
-            at = np.flatnonzero(ok)
-            at = at[(sb[at] == sa[i]).mean(1) >= LEAST_AGREEMENT] if len(at) else at
-            out += [(min(la[i], x), max(la[i], x)) for x in lb[at]]
+        for (_, x, y), part in group.groupby(["cluster", "x", "y"], sort=True):
+            part = part.sort_values("rep")
+            rep, comp = part["rep"].to_numpy(), np.unique(part["component"].to_numpy(), return_inverse=True)[1]
+            side, sets = part["part"].to_numpy(), [np.frombuffer(s, "<u8") for s in part["shingles"]]
+            n = np.array([len(s) for s in sets])
+            flat = np.unique(np.concatenate(sets), return_inverse=True)[1]
+            first, found = np.cumsum(n) - n, Groups(comp.max() + 1)
+            has = np.zeros(flat.max() + 1, np.int64)
+            for i in range(len(rep)):
+                root = found.roots()
+                if x == y:
+                    others = np.arange(i + 1, len(rep))
+                else:
+                    others = np.flatnonzero(side != side[i]) if side[i] == x else np.zeros(0, np.int64)
+                others = others[root[comp[others]] != root[comp[i]]]
+                others = others[100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])]
+                if not len(others):
+                    continue
+                own = flat[first[i] : first[i] + n[i]]
+                has[own] = 1
+                lengths = n[others]
+                starts = np.cumsum(lengths) - lengths
+                place = np.repeat(first[others] - starts, lengths) + np.arange(lengths.sum())
+                both = np.add.reduceat(has[flat[place]], starts)
+                has[own] = 0
+                linked = others[100 * both >= percent * (n[i] + lengths - both)]
+                did = found.join(np.full(len(linked), comp[i]), comp[linked])
+                out += [(rep[i], rep[linked[d]]) for d in did]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return stored(rows.groupBy("key", "x", "y").applyInPandas(compare, "a long, b long").distinct(), "neardup-cross")
+    return stored(rows.groupBy("slot").applyInPandas(verify, "a long, b long"), "neardup-cross")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
@@ -197,9 +319,9 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
 
     Scale: equal sets are one representative from the start. Representatives
     that share a table bucket with others are linked by verifying, first, each
-    with its buckets' smallest, then all pairs of a bucket that are still in
-    different components; minhashes agree on LEAST_AGREEMENT at least before
-    full sets are fetched. A pair at the threshold shares no bucket with
+    with its buckets' smallest, then all pairs still in different components
+    within clusters that buckets show to be alike. Sketches agree on
+    LEAST_AGREEMENT at least before full sets are fetched. A pair at the threshold shares no bucket with
     probability 1e-4, one of similarity 0.85 with 3e-6.
     """
     rows = sketches(docs, words)
@@ -238,8 +360,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     sets = stored(sets.join(small(reps.select(F.col("rep").alias("r"), "set_key").join(involved, F.col("r") == F.col("id"), "left_semi"), involved.count()),
                             (F.col("rep") == F.col("r")) & (F.col("key") == F.col("set_key"))).select("rep", "shingles"), "neardup-sets")
     links = verified(star, sets, percent)
-    cross = cross_pairs(buckets, components(links, "neardup-components"), light, least_size)
-    links = links.unionByName(verified(cross, sets, percent))
+    slots = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    firsts = stored(components(links, "neardup-components"), "neardup-firsts")
+    soft = soft_links(buckets, firsts, light, least_size, slots)
+    links = links.unionByName(cross_links(soft, firsts, sets, percent, slots))
     comps = stored(components(links, "neardup-components"), "neardup-classes")
     classes = reps.select("set_key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
         F.col("set_key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
