@@ -33,7 +33,7 @@ EXCEPTIONS = (
 
 _HOMOGLYPH_TABLE = str.maketrans(HOMOGLYPHS)
 _INVISIBLE = {ord(c): None for c in "­​‌‍⁠﻿"}
-_SUBSTITUTE = re.compile(r"(?<=[^\W\d_])[0134578@$]+(?=[^\W\d_])|(?<![\w@$])[0134578@$](?=[^\W\d_]{2})")
+_SUBSTITUTE = re.compile(r"(?<=[^\W\d_])[0134578@$]+(?=[^\W\d_])|(?<![\w@$])[0134578@$](?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
 
 
