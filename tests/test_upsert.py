@@ -130,7 +130,7 @@ def test_dimension_latest_vs_distinct(spark):
 def test_merge_plan_shuffles_each_side_once(spark, tmp_uri):
     """De-dup, per-key copy count and the merge join share one hash
     partitioning on the key: one exchange per side, plus the write's
-    rebalance."""
+    shuffle."""
     from tickerlake.sinks.tables import _clustered, _require_date, to_fact_columns
 
     path = f"{tmp_uri}/fact"
@@ -139,7 +139,7 @@ def test_merge_plan_shuffles_each_side_once(spark, tmp_uri):
     target = read_fact(spark, path).where(F.col("ingestion_date").isin([D1]))
     text = plan_text(_clustered(merge_plan(target, src, UPDATE_COLUMNS_FULL)), "simple")
     exchanges = [x for x in text.splitlines() if "Exchange " in x]
-    assert len(exchanges) == 3, text  # source key, target key, rebalance by date
+    assert len(exchanges) == 3, text  # source key, target key, layout by date
 
 
 def test_mixed_new_and_existing_dates(spark, tmp_uri):

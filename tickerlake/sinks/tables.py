@@ -50,20 +50,21 @@ def _require_date(df: DataFrame) -> DataFrame:
     )
 
 
-def _clustered(df: DataFrame) -> DataFrame:
+def _clustered(df: DataFrame, files_per_date: int = 1) -> DataFrame:
     """Lay rows out for a date-partitioned write.
 
-    ``REBALANCE`` by date: one hash shuffle on the date, after which AQE
-    packs many small dates into one task and splits a date that is too
-    large for one task (a hot day never lands whole in one writer) — each
-    date ends up in one or a few files of about the advisory partition size,
-    instead of one file per (task, date) pair. Within a task, rows are
-    sorted by (date, ticker): one open file at a time, and ticker-ordered
-    row groups whose min/max statistics let readers skip by ticker.
+    One hash shuffle on the date: a date's rows meet in one task, or in
+    ``files_per_date`` tasks by ticker, and make that many files instead of one
+    per (task, date) pair. The number of tasks is the session's shuffle
+    partitions, stated so that AQE keeps it: with many small dates the cost is
+    the files, not the bytes, and coalescing by bytes would leave one task
+    to write them all. Dates don't skew, as a day has a row a ticker. Within a task,
+    rows are sorted by (date, ticker): one open file at a time, and
+    ticker-ordered row groups whose min/max statistics let readers skip by ticker.
     """
-    return df.hint("rebalance", PARTITION_COLUMN).sortWithinPartitions(
-        PARTITION_COLUMN, CLUSTER_COLUMN
-    )
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    salt = [F.pmod(F.xxhash64(CLUSTER_COLUMN), F.lit(files_per_date))] if files_per_date > 1 else []
+    return df.repartition(tasks, PARTITION_COLUMN, *salt).sortWithinPartitions(PARTITION_COLUMN, CLUSTER_COLUMN)
 
 
 # ------------------------------------------------------------------- K1 --
@@ -184,8 +185,7 @@ def upsert_fact(
     the source, which costs an evaluation of it.
 
     If no loaded date has a fact partition yet nothing can match, and the rows
-    are inserted: no target read, no join, no shuffle but the write's
-    rebalance. A normal daily run (a new day) is therefore a plain partitioned
+    are inserted: no target read, no join, no shuffle but the write's. A normal daily run (a new day) is therefore a plain partitioned
     write. Otherwise all rows go through one full outer join, in which rows of
     new dates have no partner. Either way the source is evaluated once.
 
