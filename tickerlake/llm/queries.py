@@ -125,6 +125,56 @@ select doc_id, size, source_size, target,
 from ranked
 """
 
+OP2_SQL = """
+with bytes as (
+  select doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') as h from documents
+), single as (
+  select doc_id, unnest(range(0, len(h))) as i, unnest(h) as byte from bytes
+), places as (
+  select doc_id, i, byte, case when count(*) over w = 50 then string_agg(byte, '') over w end as string
+  from single window w as (partition by doc_id order by i rows between current row and 49 following)
+), firsts as (
+  select string, min(doc_id) as first from places where string is not null group by string having min(doc_id) < max(doc_id)
+), marked as (
+  select p.doc_id, p.i, p.byte, coalesce(p.doc_id > f.first, false) as starts from places p left join firsts f on p.string = f.string
+), covered as (
+  select doc_id, i, byte, bool_or(starts) over (partition by doc_id order by i rows between 49 preceding and current row) as gone
+  from marked
+), runs as (
+  select *, gone and not coalesce(lag(gone) over (partition by doc_id order by i), false) as opens from covered
+), kept as (
+  select doc_id, count(*) as n_bytes, count(*) filter (where gone) as n_removed, count(*) filter (where opens) as n_spans,
+         coalesce(string_agg(byte, '' order by i) filter (where not gone), '') as rest
+  from runs group by doc_id
+)
+select b.doc_id, coalesce(n_bytes, 0)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(rest, ''))) as kept_sha256
+from bytes b left join kept k on b.doc_id = k.doc_id
+"""
+
+OP3_SQL = """
+with recursive words as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s
+  from words, unnest(range(1, greatest(len(w) - 3, 1) + 1)) as t(i) where len(w) > 0
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as a, b.doc_id as b, count(*) as common
+  from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by all
+), links as (
+  select a, b from shared join sizes x on a = x.doc_id join sizes y on b = y.doc_id where 100 * common >= 80 * (x.n + y.n - common)
+), reached as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reached r join links l on r.b = l.a
+)
+select r.a as doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(r.b) as component_id, r.a = min(r.b) as kept
+from reached r left join sizes s on r.a = s.doc_id group by r.a
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -138,4 +188,4 @@ QUERIES = {
     "op10_lm_scores": op10_lm_scores,
 }
 
-ORACLES = {"op9_mixing": OP9_SQL}
+ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL}
