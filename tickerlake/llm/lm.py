@@ -24,13 +24,14 @@ from .text import mixed, words_and_endings
 
 #: Classes of rare words, frequent words, context length, dimensions of the model.
 ENDINGS = 128
-HEADS = 384
+HEADS = 256
 CLASSES = ENDINGS + HEADS
-CONTEXT = 5
+CONTEXT = 4
 DIMENSIONS = 16
-#: Noise samples a batch, tokens a batch.
-NOISE = 64
-BATCH = 1024
+#: Noise samples a batch, tokens a batch in training and in scoring.
+NOISE = 32
+BATCH = 4096
+SCORED = 256
 #: Tokens from which the driver makes the model that every task then goes on training.
 START_TOKENS = 400_000
 #: The end of a text as a token; its low bits are a class of rare words like any word's.
@@ -137,16 +138,28 @@ class Vocabulary:
     tokens: int
     distinct: int
 
+    def __post_init__(self):
+        # A head by its hash's top 16 bits; the few that share them with another are looked for one by one.
+        self.by_top = np.zeros(1 << 16, np.int16)
+        top = (self.heads >> np.uint64(48)).astype(np.int64)
+        self.by_top[top] = np.arange(len(top))
+        self.others = np.flatnonzero(self.by_top[top] != np.arange(len(top)))
+
     def classes(self, hashes: np.ndarray) -> np.ndarray:
+        """The model's output for each token hash, as 16-bit integers."""
+        rare = (hashes & _LOW).astype(np.int16)
         if not len(self.heads):
-            return (hashes & _LOW).astype(np.int64)
-        at = np.minimum(np.searchsorted(self.heads, hashes), len(self.heads) - 1)
-        return np.where(self.heads[at] == hashes, self.head_class[at], (hashes & _LOW).astype(np.int64))
+            return rare
+        at = self.by_top[(hashes >> np.uint64(48)).astype(np.int64)]
+        out = np.where(self.heads[at] == hashes, self.head_class[at], rare)
+        for i in self.others:
+            out[hashes == self.heads[i]] = self.head_class[i]
+        return out
 
     def in_class(self, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """Log of each token's probability given its class."""
         rare = classes < ENDINGS
-        kind = np.where(rare, classes, 0)
+        kind = np.where(rare, classes, 0).astype(np.int64)
         total = np.maximum(self.seen[kind], 1)
         unseen = np.where(self.seen[kind] > 0, self.discount[kind] * self.types[kind] / total, 1.0)
         p = np.where(counts > 0, (counts - self.discount[kind]) / total, unseen)
@@ -171,7 +184,7 @@ def vocabulary(counted: DataFrame) -> Vocabulary:
     unigram = np.full(CLASSES, 0.5)
     unigram[:ENDINGS] += table["seen"]
     order = np.argsort(hashes)
-    head_class = ENDINGS + np.arange(len(hashes))
+    head_class = (ENDINGS + np.arange(len(hashes))).astype(np.int16)
     unigram[head_class] += count
     return Vocabulary(hashes[order], head_class[order], table["seen"], table["types"], discount, unigram / unigram.sum(), whole, distinct)
 
@@ -207,69 +220,75 @@ class LogBilinear:
         return model
 
     def query(self, contexts: np.ndarray) -> np.ndarray:
-        q = self.before[contexts[:, 0]] * self.position[0]
-        for j in range(1, CONTEXT):
-            q += self.before[contexts[:, j]] * self.position[j]
-        return q
+        return (self.before[contexts] * self.position).sum(1)
 
     def log_probabilities(self, contexts: np.ndarray, words: np.ndarray) -> np.ndarray:
-        """Normalised log probability of each word given its context, in batches."""
-        out, after = np.empty(len(words)), np.ascontiguousarray(self.after.T)
-        for lo in range(0, len(words), BATCH):
-            w = words[lo : lo + BATCH]
-            scores = self.query(contexts[lo : lo + BATCH]) @ after
-            scores += self.bias
+        """Normalised log probability of each word given its context, in batches.
+
+        Scores with biases are one matrix product. Unless they could overflow,
+        their exponentials are summed as they are.
+        """
+        out, one = np.empty(len(words)), np.ones((SCORED, 1), np.float32)
+        after = np.vstack([self.after.T, self.bias])
+        longest, highest, units = np.sqrt((self.after**2).sum(1).max()), self.bias.max(), np.ones(CLASSES, np.float32)
+        for lo in range(0, len(words), SCORED):
+            w, q = words[lo : lo + SCORED], self.query(contexts[lo : lo + SCORED])
+            scores = np.hstack([q, one[: len(w)]]) @ after
             own = scores[np.arange(len(w)), w].astype(float)
-            top = scores.max(1, keepdims=True)
-            scores -= top
+            top = 0.0
+            if np.sqrt((q * q).sum(1).max()) * longest + highest > 80:
+                top = scores.max(1, keepdims=True)
+                scores -= top
+                top = top[:, 0]
             np.exp(scores, out=scores)
-            out[lo : lo + BATCH] = own - top[:, 0] - np.log(scores.sum(1, dtype=np.float32))
+            out[lo : lo + SCORED] = own - top - np.log(scores @ units)
         return out
 
 
 def contexts(classes: np.ndarray, per_text: np.ndarray) -> np.ndarray:
     """Classes of the CONTEXT tokens before each token, nearest first; CLASSES before the text."""
     place = np.arange(len(classes)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
-    out = np.full((len(classes), CONTEXT), CLASSES, np.int64)
+    out = np.full((len(classes), CONTEXT), CLASSES, np.int16)
     for j in range(1, CONTEXT + 1):
-        has = place >= j
-        out[has, j - 1] = classes[np.flatnonzero(has) - j]
+        out[j:, j - 1] = np.where(place[j:] >= j, classes[:-j], CLASSES)
     return out
 
 
-def _scatter(rows: int, at: np.ndarray, values: np.ndarray) -> np.ndarray:
-    flat = (at[:, None] * DIMENSIONS + np.arange(DIMENSIONS)).ravel()
-    return np.bincount(flat, values.ravel(), rows * DIMENSIONS).reshape(rows, DIMENSIONS)
+def _add_rows(out: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
+    """Add each row of values to the row of ``out`` that it is for."""
+    order = np.argsort(at.astype(np.int16), kind="stable")
+    place = at[order]
+    first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    out[place[first]] += np.add.reduceat(values[order], first, axis=0)
 
 
 def train(model: LogBilinear, ctx: np.ndarray, words: np.ndarray, unigram: np.ndarray, history: np.ndarray, rate: float, seed: int) -> None:
     """One pass of noise-contrastive estimation over tokens, in place, by Adagrad steps.
 
-    Every batch draws NOISE words from the unigram distribution, shared by its
-    tokens; the model learns to tell each token from them.
+    A batch takes tokens from all over the text. It draws NOISE words from the
+    unigram distribution, shared by its tokens; the model learns to tell each
+    token from them.
     """
     rng = np.random.default_rng(seed)
-    order, cumulative = rng.permutation(len(words)), np.cumsum(unigram)
-    expected = np.log(NOISE * unigram)
+    cumulative, steps = np.cumsum(unigram), -(-len(words) // BATCH)
+    expected = np.log(NOISE * unigram).astype(np.float32)
     gradient = LogBilinear(np.zeros(LogBilinear.size(), np.float32))
-    for lo in range(0, len(order), BATCH):
-        at = order[lo : lo + BATCH]
-        c, w = ctx[at], words[at]
+    for step in rng.permutation(steps):
+        c, w = ctx[step::steps].astype(np.int64), words[step::steps].astype(np.int64)
         noise = np.minimum(np.searchsorted(cumulative, rng.random(NOISE)), CLASSES - 1)
-        q = model.query(c)
-        own = (q * model.after[w]).sum(1) + model.bias[w] - expected[w]
-        others = q @ model.after[noise].T + model.bias[noise] - expected[noise]
-        up = (1 / (1 + np.exp(np.clip(own, -30, 30)))).astype(np.float32)
-        down = (-1 / (1 + np.exp(-np.clip(others, -30, 30)))).astype(np.float32)
-        dq = up[:, None] * model.after[w] + down @ model.after[noise]
+        before, after = model.before[c], model.after[w]
+        q = (before * model.position).sum(1)
+        own = (q * after).sum(1) + model.bias[w] - expected[w]
+        others = q @ model.after[noise].T + (model.bias[noise] - expected[noise])
+        up = 1 / (1 + np.exp(np.clip(own, -30, 30)))
+        down = -1 / (1 + np.exp(-np.clip(others, -30, 30)))
+        dq = up[:, None] * after + down @ model.after[noise]
         gradient.flat[:] = 0
-        gradient.after += _scatter(CLASSES, w, up[:, None] * q)
-        gradient.after += _scatter(CLASSES, noise, down.T @ q)
+        _add_rows(gradient.after, np.concatenate([w, noise]), np.concatenate([up[:, None] * q, down.T @ q]))
         gradient.bias += np.bincount(w, up, CLASSES) + np.bincount(noise, down.sum(0), CLASSES)
-        for j in range(CONTEXT):
-            gradient.before += _scatter(CLASSES + 1, c[:, j], dq * model.position[j])
-            gradient.position[j] = (dq * model.before[c[:, j]]).sum(0)
-        gradient.flat /= len(at)
+        _add_rows(gradient.before, c.ravel(), (dq[:, None, :] * model.position).reshape(-1, DIMENSIONS))
+        gradient.position[:] = (before * dq[:, None, :]).sum(0)
+        gradient.flat /= len(w)
         history += gradient.flat**2
         model.flat += rate * gradient.flat / (np.sqrt(history) + 1e-6)
 
@@ -285,7 +304,7 @@ def _training(blocks: pd.DataFrame, vocab: Vocabulary, held_out: int) -> Iterato
             yield contexts(classes, per_text), classes
 
 
-def fit(blocks: DataFrame, vocab: Vocabulary, held_out: int, rate: float = 0.1) -> LogBilinear:
+def fit(blocks: DataFrame, vocab: Vocabulary, held_out: int, rate: float = 0.2) -> LogBilinear:
     """Train on every training token.
 
     The driver trains a first model on START_TOKENS tokens of a few blocks. From
@@ -297,7 +316,7 @@ def fit(blocks: DataFrame, vocab: Vocabulary, held_out: int, rate: float = 0.1)
     def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for ctx, words in _training(batch, vocab, held_out):
-                yield pd.DataFrame({"ctx": [ctx.astype("<i2").tobytes()], "words": [words.astype("<i2").tobytes()]})
+                yield pd.DataFrame({"ctx": [ctx.tobytes()], "words": [words.tobytes()]})
 
     per_block = 1 + vocab.tokens // max(1, blocks.count())
     first = blocks.orderBy(F.xxhash64("block_id")).limit(1 + START_TOKENS // per_block)
@@ -305,8 +324,8 @@ def fit(blocks: DataFrame, vocab: Vocabulary, held_out: int, rate: float = 0.1)
     got = first.select("docs", "data").mapInPandas(some, "ctx binary, words binary").toPandas()
     if not len(got):
         return model
-    ctx = np.frombuffer(b"".join(got["ctx"]), "<i2").astype(np.int64).reshape(-1, CONTEXT)
-    words = np.frombuffer(b"".join(got["words"]), "<i2").astype(np.int64)
+    ctx = np.frombuffer(b"".join(got["ctx"]), np.int16).reshape(-1, CONTEXT)
+    words = np.frombuffer(b"".join(got["words"]), np.int16)
     for epoch in range(2):
         train(model, ctx, words, unigram, history, rate, epoch)
     begin = model.flat.copy()
@@ -345,7 +364,7 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     Scale: texts are compressed in blocks, each distinct token of a block is
     sent once, and counts go back the same way: the corpus's counts are never
-    in one place. The driver holds the frequent words and the model (70 kB).
+    in one place. The driver holds the frequent words and the model (50 kB).
     """
     blocks = make_blocks(docs, "lm-blocks")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
