@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Bytes of text in a block; a longer document is a block of its own.
-BLOCK_BYTES = 1 << 21
+#: Bytes of text in a block; a longer document is a block of its own. Compressed, a
+#: block stays below the half megabyte from which the JVM treats arrays apart.
+BLOCK_BYTES = 1 << 20
 #: Stands for a NULL id: larger than any.
 NO_ID = np.iinfo(np.int64).max
 BLOCKS = "block_id long, n_bytes long, docs array<struct<id: long, size: long, digest: string>>, data binary"

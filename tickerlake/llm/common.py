@@ -11,7 +11,21 @@ from tickerlake.session import scratch_path
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let a batch for Python tasks have 8 MB rather than Spark's default of 64 MB.
+
+    Rows here are documents or blocks of them, and every task holds a few
+    batches in both processes. A session that names another size keeps it.
+    """
+    if spark.conf.get(ARROW_BYTES, "1b") == "1b":  # not set
+        spark.conf.set(ARROW_BYTES, "8MB")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,6 +55,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     a lost executor costs no recomputation of ``df``.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

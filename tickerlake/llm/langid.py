@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: What a text without letters is.
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -114,6 +116,7 @@ def fit_languages(docs: DataFrame, sample_rows: int = 5000, grams: Grams = Grams
     classifier learns from at most about ``sample_rows`` labelled rows, as many
     of each language; a fifth of them is held back for the temperature.
     """
+    small_batches(docs.sparkSession)
     features = 1 << grams.bits
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -201,7 +204,7 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.5) -> DataFrame:
+def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.3) -> DataFrame:
     """``docs`` without the rows whose language is undetermined or scored below ``least_score``."""
     predict = predictor(model)
 

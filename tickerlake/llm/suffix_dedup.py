@@ -9,7 +9,7 @@ is in one document only are left out before the sort.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -92,7 +92,8 @@ def anchors(text: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.n
         value = least[first]
         found.append((
             (value & np.uint64((1 << _PLACE_BITS) - 1)).astype(np.int64) + lo,
-            value >> np.uint64(_PLACE_BITS), first + lo, last + lo,
+            # Mixed again, as least hashes crowd at the low end and are dealt by their high bits.
+            mixed(value >> np.uint64(_PLACE_BITS)) >> np.uint64(_PLACE_BITS), first + lo, last + lo,
         ))
     if not found:
         empty = np.zeros(0, np.int64)
@@ -145,7 +146,9 @@ def repeated_anchors(blocks: DataFrame, buckets: int, ranges: int, sample_share:
                 for b in np.unique(bucket):
                     at = bucket == b
                     rows.append((int(b), block, _packed(unique[at]), np.packbits(more[at]).tobytes()))
-                taken = mixed(hashed ^ mixed(ids[doc].astype(np.uint64) + place.astype(np.uint64))) % np.uint64(rate) == 0
+                # Anchors known to be repeated are sampled more, so that ranges are narrow where suffixes are many.
+                rates = np.where(more[np.searchsorted(unique, hashed)], max(1, rate // 4), rate) if len(unique) else hashed
+                taken = mixed(hashed ^ mixed(ids[doc].astype(np.uint64) + place.astype(np.uint64))) % rates.astype(np.uint64) == 0
                 if taken.any():
                     rows.append((-1, block, suffix_keys(text, place[taken], stop[doc[taken]], ids[doc[taken]]).tobytes(), b""))
                 yield pd.DataFrame(rows, columns=["bucket", "block_id", "hashes", "more"])
@@ -197,44 +200,49 @@ def _keys(right: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.concatenate([right, number, np.ones((len(ids), 1), np.uint8)], 1).copy().view(KEY).ravel()
 
 
-def multikey_sort(tokens: np.ndarray) -> np.ndarray:
-    """Order of rows of big-endian 64-bit tokens, by multikey quicksort.
+def multikey_sort(token: Callable[[int], np.ndarray], tokens: int) -> np.ndarray:
+    """Order of rows by their 64-bit tokens 0 to ``tokens`` - 1, by multikey quicksort.
 
     Rows are sorted by one token; only runs of rows that are still equal are
     then sorted by the next.
     """
-    order = np.argsort(tokens[:, 0], kind="stable")
-    first = tokens[order, 0]
+    first = token(0)
+    order = np.argsort(first, kind="stable")
+    first = first[order]
     run = np.cumsum(np.concatenate([[0], first[1:] != first[:-1]])) if len(order) else order
-    for t in range(1, tokens.shape[1]):
+    for t in range(1, tokens):
         sizes = np.bincount(run) if len(run) else run
         open_ = np.flatnonzero(sizes[run] > 1)
         if not len(open_):
             break
         rows, runs = order[open_], run[open_]
-        inner = np.lexsort((tokens[rows, t], runs))
-        rows = rows[inner]
-        order[open_] = rows
-        value = tokens[rows, t]
-        new = np.zeros(len(order), np.int64)
+        value = token(t)[rows]
+        inner = np.lexsort((value, runs))
+        value = value[inner]
+        order[open_] = rows[inner]
         change = np.concatenate([[False], (value[1:] != value[:-1]) & (runs[1:] == runs[:-1])])
+        new = np.zeros(len(order), np.int64)
         new[open_[change]] = 1
         run = run + np.cumsum(new)
     return order
 
 
-def _tokens(data: np.ndarray) -> np.ndarray:
-    wide = -(-data.shape[1] // 8) * 8
-    padded = np.zeros((len(data), wide), np.uint8)
-    padded[:, : data.shape[1]] = data
-    return padded.view(">u8").astype(np.uint64)
+def _token(data: np.ndarray, t: int) -> np.ndarray:
+    """Bytes 8 t to 8 t + 7 of each row as a number that sorts like them."""
+    piece = np.zeros((len(data), 8), np.uint8)
+    part = data[:, 8 * t : 8 * t + 8]
+    piece[:, : part.shape[1]] = part
+    return piece.view(">u8").ravel().astype(np.uint64)
 
 
 def _shared(data: np.ndarray) -> np.ndarray:
     """Leading bytes each row shares with the row before; -1 for the first."""
-    differ = data[1:] != data[:-1]
-    same = np.where(differ.any(1), differ.argmax(1), data.shape[1])
-    return np.concatenate([[-1], same]) if len(data) else same
+    same = np.full(len(data), -1, np.int64)
+    for lo in range(1, len(data), 1 << 15):
+        hi = min(len(data), lo + (1 << 15))
+        differ = data[lo:hi] != data[lo - 1 : hi - 1]
+        same[lo:hi] = np.where(differ.any(1), differ.argmax(1), data.shape[1])
+    return same
 
 
 def sort_bucket(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[bytes, int, int]]]:
@@ -245,9 +253,11 @@ def sort_bucket(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[by
     as their part right of the anchor starts the first or last suffix here, are
     returned as (string, offset, row) for the rows of smallest id.
     """
-    rows = rows[multikey_sort(np.concatenate([_tokens(rows["right"]), (rows["id"].astype(np.uint64) ^ np.uint64(1 << 63))[:, None]], 1))]
+    wide = -(-LENGTH // 8)
+    number = rows["id"].astype(np.uint64) ^ np.uint64(1 << 63)
+    rows = rows[multikey_sort(lambda t: _token(rows["right"], t) if t < wide else number, wide + 1)]
     shared = _shared(rows["right"])
-    by_left = multikey_sort(_tokens(rows["left"]))
+    by_left = multikey_sort(lambda t: _token(rows["left"], t), -(-(OFFSETS - 1) // 8))
     shared_left = _shared(rows["left"][by_left])
     mask, edges = np.zeros(len(rows), np.int64), []
     for offset in range(OFFSETS):
@@ -318,8 +328,11 @@ def removed_strings(blocks: DataFrame, repeats: DataFrame, copies: DataFrame, bu
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
-        rows = np.frombuffer(b"".join(expand(s) for s in group["suffixes"]), SUFFIX)
-        rows, mask, edges = sort_bucket(rows)
+        buffer = bytearray()
+        for part in group["suffixes"]:
+            buffer += expand(part)
+        rows, mask, edges = sort_bucket(np.frombuffer(buffer, SUFFIX))
+        del buffer
         hit = np.flatnonzero(mask)
         found = pd.DataFrame({"block_id": rows["block"][hit], "doc": rows["doc"][hit], "place": rows["place"][hit], "mask": mask[hit], "string": None, "id": rows["id"][hit]})
         at = np.fromiter((r for _, _, r in edges), np.int64, len(edges))
@@ -356,7 +369,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     remove nothing from one another. A NULL id is larger than any. Repeated
     strings in one document alone stay. An empty table gives an empty result.
 
-    Scale: texts are compressed in blocks of 2 MB, written once. Whole copies are
+    Scale: texts are compressed in blocks of 1 MB, written once. Whole copies are
     found by digest. Of a block, each distinct anchor is sent once, in 6
     bytes, so frequent passages cost no more than rare ones; only suffixes at
     repeated anchors are sent. Ranges are dealt by (suffix, id), so one frequent
