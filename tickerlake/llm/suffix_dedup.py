@@ -375,7 +375,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     repeated anchors are sent. Ranges are dealt by (suffix, id), so one frequent
     passage spreads over as many ranges as it fills; what may go on in another
     range is compared in a last pass of one row a range, string and offset.
-    The driver holds ``ranges`` splitters, 2 for each shuffle partition.
+    The driver holds ``ranges`` splitters, one for each shuffle partition.
     """
     blocks = make_blocks(docs, "suffix-blocks")
     gone = _gone(blocks, ranges, sample_per_range)
@@ -396,7 +396,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
 def _gone(blocks: DataFrame, ranges: int | None, sample_per_range: int) -> DataFrame:
     """What goes of each block: anchors with their offsets, and place -1 for a whole document."""
     parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = ranges or 2 * parts
+    ranges = ranges or parts
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = max(parts, total >> 25)
     copies = stored(exact_copies(blocks), "suffix-copies")
