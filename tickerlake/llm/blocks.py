@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
+from .packing import forget_tokenizers
 
 #: Bytes of text in a block; a longer document is a block of its own. Compressed, a
 #: block stays below the half megabyte from which the JVM treats arrays apart.
@@ -31,6 +32,7 @@ def make_blocks(docs: DataFrame, name: str, carry: bool = False) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
+        forget_tokenizers()
         squeeze = zstandard.ZstdCompressor(level=3).compress
         first, made = TaskContext.get().partitionId() << 32, 0
         held, rows, rests, size = [], [], [], 0

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import small_batches
+from .packing import forget_tokenizers
 
 #: What a text without letters is.
 UNDETERMINED = "und"
@@ -120,6 +121,7 @@ def fit_languages(docs: DataFrame, sample_rows: int = 5000, grams: Grams = Grams
     features = 1 << grams.bits
 
     def frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_tokenizers()
         seen, total = np.zeros(features, np.int64), 0
         for batch in batches:
             for text in batch["text"]:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .common import small, stored
 from .components import components
+from .packing import forget_tokenizers
 from .text import as_bytes, chunks, mixed, word_hashes
 
 #: Minhashes in a half key, and half keys on each of the two sides.
@@ -73,6 +74,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     """Per row: doc_id, set size, a key of the whole set, half keys, and minhashes cut to a byte."""
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget_tokenizers()
         for batch in batches:
             texts = as_bytes(batch["text"])
             for part in chunks([len(t) for t in texts], CHUNK):

@@ -28,6 +28,11 @@ PACKED = (
 )
 
 
+def forget_tokenizers() -> None:
+    """Drop what this worker process remembers of tokenisers; tasks of other work call it first."""
+    sys.modules.pop("_packing_tokenizers", None)
+
+
 class WordTokenizer:
     """Ids of whole texts for a tokenizer that cuts at spaces, and letters from ASCII punctuation.
 
