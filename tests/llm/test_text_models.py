@@ -230,3 +230,27 @@ def test_training_learns_what_follows():
         lm.train(model, ctx, words, unigram, history, 0.2, epoch)
     gain = model.log_probabilities(ctx[1::2], words[1::2]).mean() - np.log(unigram[words[1::2]]).mean()
     assert gain > 1
+
+
+def test_fifth_word_back_is_read():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 4, 20_000)
+    for i in range(5, len(words)):
+        words[i] = words[i - 5] if rng.random() < 0.9 else words[i]  # told by the fifth word back only
+    ctx = lm.contexts(words, np.array([len(words)]))
+    unigram = np.bincount(words, minlength=lm.CLASSES) + 0.01
+    unigram = unigram / unigram.sum()
+    model = lm.LogBilinear.start(unigram)
+    history = np.full(model.size(), 1e-4, np.float32)
+    for epoch in range(8):
+        lm.train(model, ctx, words, unigram, history, 0.1, epoch)
+    assert model.log_probabilities(ctx[5:], words[5:]).mean() - np.log(unigram[words[5:]]).mean() > 0.5
+
+
+def test_384_frequent_words_have_outputs_of_their_own(spark):
+    words = np.random.default_rng(5).integers(0, 2**62, 384, dtype=np.uint64) & ~np.uint64(128)
+    counts = [(int(w), 1000 - i, None, None, None, None, None) for i, w in enumerate(words.view(np.int64))]
+    sums = [(None, None, int(k), int((1000 - np.flatnonzero(words % 256 == k)).sum()), int((words % 256 == k).sum()), 0, 0) for k in range(lm.ENDINGS)]
+    schema = "hash long, count long, class int, seen long, types long, once long, twice long"
+    found = lm.vocabulary(spark.createDataFrame(counts + sums, schema)).classes(words)
+    assert found.min() >= lm.ENDINGS and len(np.unique(found)) == 384

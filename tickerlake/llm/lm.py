@@ -24,13 +24,13 @@ from .text import mixed, words_and_endings
 
 #: Classes of rare words, frequent words, context length, dimensions of the model.
 ENDINGS = 128
-HEADS = 256
+HEADS = 384
 CLASSES = ENDINGS + HEADS
-CONTEXT = 4
+CONTEXT = 5
 DIMENSIONS = 16
 #: Noise samples a batch, tokens a batch in training and in scoring.
-NOISE = 32
-BATCH = 4096
+NOISE = 64
+BATCH = 1024
 SCORED = 256
 #: Tokens from which the driver makes the model that every task then goes on training.
 START_TOKENS = 400_000
@@ -304,7 +304,7 @@ def _training(blocks: pd.DataFrame, vocab: Vocabulary, held_out: int) -> Iterato
             yield contexts(classes, per_text), classes
 
 
-def fit(blocks: DataFrame, vocab: Vocabulary, held_out: int, rate: float = 0.2) -> LogBilinear:
+def fit(blocks: DataFrame, vocab: Vocabulary, held_out: int, rate: float = 0.1) -> LogBilinear:
     """Train on every training token.
 
     The driver trains a first model on START_TOKENS tokens of a few blocks. From
@@ -364,7 +364,7 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
 
     Scale: texts are compressed in blocks, each distinct token of a block is
     sent once, and counts go back the same way: the corpus's counts are never
-    in one place. The driver holds the frequent words and the model (50 kB).
+    in one place. The driver holds the frequent words and the model (70 kB).
     """
     blocks = make_blocks(docs, "lm-blocks")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
