@@ -46,6 +46,20 @@ def test_matches_whole_words_outside_exceptions():
     assert matches(Lexicon({}, ()).automaton(), "anything") == []
 
 
+def test_matches_words_spelled_with_signs():
+    machine = Lexicon({"clown": 3.0, "loser": 2.0, "worthless": 2.5, "idiot": 3.5, "garbage": 1.5, "scum": 2.0}, ("clown fish",)).automaton()
+
+    def terms(text):
+        return [t for t, _ in matches(machine, folded(text))]
+
+    spelled = "c1own 1oser w0rth1ess idio7 garbag3 worthle55 10ser $cum c|own id!ot cIown 1d10t w0rth1e$$ $(um"
+    assert terms(spelled) == ["clown", "loser", "worthless", "idiot", "garbage", "worthless", "loser", "scum", "clown", "idiot",
+                              "clown", "idiot", "worthless"]
+    assert terms("scum! loser!! scum$ $$scum, idio7!") == ["scum", "loser", "scum", "scum", "idiot"]
+    assert terms("in 1990, 10 of 57 at $5, 1,000 or 3.14 and 50% c0w 2nd clowns") == []
+    assert terms("a c1own fish and a clown fi5h") == []
+
+
 def _toxic(spark):
     rng, rows, labels = random.Random(1), [], []
     for i in range(400):
@@ -70,6 +84,14 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(got[1000 + i].predicted == 0 for i in range(len(ODD)))
 
 
+def test_terms_are_learned_from_all_spellings(spark):
+    insults = ["loser", "loser", "1oser", "lo5er", "l0s3r"]
+    rows = [(i, f"w{i % 7} {insults[i // 4 % 5] if i % 4 == 0 else 'fine'} w{i % 5}") for i in range(80)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(80)], "doc_id long, toxic int")
+    lexicon = learn_lexicon(frame(spark, rows), labels, min_share=0.9)  # no single spelling is in 90 % of toxic documents
+    assert set(lexicon.weights) == {"loser"}
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     lexicon = learn_lexicon(frame(spark, ["a b"]), none, seed_terms={"sc0rn": 3.0})

@@ -35,6 +35,10 @@ _HOMOGLYPH_TABLE = str.maketrans(HOMOGLYPHS)
 _INVISIBLE = {ord(c): None for c in "­​‌‍⁠﻿"}
 _SUBSTITUTE = re.compile(r"(?<=[^\W\d_])[0134578@$]+(?=[^\W\d_])|(?<![\w@$])[0134578@$](?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
+#: Signs that stand for letters in a word that so becomes a term; those of l and i are one class, as 'i'.
+_SIGNS = str.maketrans({**SUBSTITUTES, "l": "i", "|": "i", "!": "i"})
+_ONE_CLASS = str.maketrans("l", "i")
+_MIXED = re.compile(r"(?<![\w@$|!])(?=[\w@$|!]*[0134578@$|!])(?=[\w@$|!]*[^\W\d_])[\w@$|!]+")
 
 
 def folded(text: str) -> str:
@@ -46,6 +50,16 @@ def folded(text: str) -> str:
     return _SUBSTITUTE.sub(lambda m: "".join(SUBSTITUTES[c] for c in m[0]), text)
 
 
+def skeleton(text: str) -> str:
+    """A folded text with l and i as one class, as long as it was."""
+    return text.translate(_ONE_CLASS)
+
+
+def _readings(text: str) -> set[str]:
+    """Distinct words of a folded text; those with signs also with all signs as letters."""
+    return {*_WORD.findall(text), *(w for m in _MIXED.findall(text) for w in _WORD.findall(m.translate(_SIGNS)))}
+
+
 @dataclass
 class Lexicon:
     """Term weights, exception phrases, and the calibration of the length-normalised sum."""
@@ -58,21 +72,38 @@ class Lexicon:
         import ahocorasick
 
         machine = ahocorasick.Automaton()
+        spared = {skeleton(phrase) for phrase in self.exceptions}
         for phrase in self.exceptions:
-            machine.add_word(phrase, (phrase, 0.0))
-        for term, weight in self.weights.items():
-            if term not in self.exceptions:
-                machine.add_word(term, (term, weight))
+            machine.add_word(skeleton(phrase), (phrase, 0.0))
+        # Of terms that differ in l and i only, the one of largest weight.
+        for term, weight in sorted(self.weights.items(), key=lambda t: (t[1], t[0])):
+            if skeleton(term) not in spared:
+                machine.add_word(skeleton(term), (term, weight))
         if len(machine):
             machine.make_automaton()
         return machine
 
 
 def matches(machine, text: str) -> list[tuple[str, float]]:
-    """Whole-word lexicon terms of a folded text that lie in no exception phrase."""
+    """Whole-word lexicon terms of a folded text that lie in no exception phrase.
+
+    l and i are one class. A word with a letter whose signs, wherever they are,
+    make it a word of the lexicon as letters counts as that word.
+    """
     if not len(machine):
         return []
-    found, spared = [], []
+
+    def reading(m: re.Match) -> str:
+        # Signs at the ends may be none of the word: scum!! is scum. The longest reading counts.
+        word, longest = m[0], machine.get_stats()["longest_word"]
+        whole, lead, tail = word.translate(_SIGNS), len(word) - len(word.lstrip("@$|!")), len(word.rstrip("@$|!"))
+        for size in range(min(len(word), longest), tail - lead - 1, -1):
+            for start in range(max(0, tail - size), min(lead, len(word) - size) + 1):
+                if whole[start : start + size] in machine:
+                    return word[:start] + whole[start : start + size] + word[start + size :]
+        return word
+
+    text, found, spared = skeleton(_MIXED.sub(reading, text)), [], []
     for last, (term, weight) in machine.iter(text):
         lo, hi = last - len(term) + 1, last + 1
         if (lo and text[lo - 1].isalnum()) or (hi < len(text) and text[hi].isalnum()):
@@ -126,7 +157,8 @@ def learn_lexicon(
     ``labels`` has doc_id and toxic (0 or 1); its rows outside the training
     folds must be gone. At most about ``sample_rows`` labelled documents, picked
     by a hash of their id, are learned from. A folded word's weight is its log
-    odds ratio between toxic and other documents; words of too few toxic
+    odds ratio between toxic and other documents; words that differ in l and i
+    only count as one, named by its most frequent form. Words of too few toxic
     documents, or below ``min_weight``, are no terms. ``seed_terms`` add terms
     with given weights. Without both labels the calibration stays as given.
     """
@@ -139,12 +171,17 @@ def learn_lexicon(
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"]):
-                distinct = list(set(_WORD.findall(folded(text)))) if isinstance(text, str) else []
-                yield pd.DataFrame({"word": ["", *distinct], "toxic": int(toxic == 1)})
-
-    counts = sample.mapInPandas(words, "word string, toxic int").groupBy("word").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")
-    ).cache()
+                forms = {"": ""}
+                for word in sorted(_readings(folded(text))) if isinstance(text, str) else []:
+                    forms[skeleton(word)] = word
+                yield pd.DataFrame({"class": list(forms), "word": list(forms.values()), "toxic": int(toxic == 1)})
+
+    # Documents of a class of words: each has one form of it.
+    forms = sample.mapInPandas(words, "class string, word string, toxic int").groupBy("class", "word").agg(
+        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    counts = forms.groupBy("class").agg(
+        F.max(F.struct(F.col("bad") + F.col("good"), "word")).getField("word").alias("word"), F.sum("bad").alias("bad"), F.sum("good").alias("good")
+    ).drop("class").cache()
     whole = counts.where("word = ''").first()
     bad, good = (whole["bad"], whole["good"]) if whole else (0, 0)
     weight = F.log((F.col("bad") + 0.5) * (good + 1.0) / ((F.col("good") + 0.5) * (bad + 1.0)))
