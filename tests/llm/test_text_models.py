@@ -92,6 +92,15 @@ def test_terms_are_learned_from_all_spellings(spark):
     assert set(lexicon.weights) == {"loser"}
 
 
+def test_rare_toxic_class_is_learned_beyond_the_sample(spark):
+    rows = [(i, f"w{i % 7} {'zonk' if i % 250 == 0 else 'fine'} w{i % 5}") for i in range(3000)]
+    labels = spark.createDataFrame([(i, int(i % 250 == 0)) for i in range(3000)], "doc_id long, toxic int")
+    lexicon = learn_lexicon(frame(spark, rows), labels, sample_rows=100)  # 12 of 3000 are toxic
+    assert set(lexicon.weights) == {"zonk"}
+    got = by_id(score_toxicity(frame(spark, rows), lexicon))
+    assert all(got[i].score < 0.05 for i in range(3000) if i % 250) and got[0].score > 0.5
+
+
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([(1, None)], "doc_id long, toxic int")
     lexicon = learn_lexicon(frame(spark, ["a b"]), none, seed_terms={"sc0rn": 3.0})

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold
+from .common import fold, small
 
 #: Look-alikes of Latin letters, folded after lower-casing: Cyrillic, Greek, others.
 HOMOGLYPHS = {
@@ -37,7 +37,7 @@ _SUBSTITUTE = re.compile(r"(?<=[^\W\d_])[0134578@$]+(?=[^\W\d_])|(?<![\w@$])[013
 _WORD = re.compile(r"[^\W_]+")
 #: Signs that stand for letters in a word that so becomes a term; those of l and i are one class, as 'i'.
 _SIGNS = str.maketrans({**SUBSTITUTES, "l": "i", "|": "i", "!": "i"})
-_ONE_CLASS = str.maketrans("l", "i")
+_SIGN = re.compile(r"[0134578@$|!]")
 _MIXED = re.compile(r"(?<![\w@$|!])(?=[\w@$|!]*[0134578@$|!])(?=[\w@$|!]*[^\W\d_])[\w@$|!]+")
 
 
@@ -52,12 +52,22 @@ def folded(text: str) -> str:
 
 def skeleton(text: str) -> str:
     """A folded text with l and i as one class, as long as it was."""
-    return text.translate(_ONE_CLASS)
+    return text.replace("l", "i")
+
+
+def _signed(text: str) -> Iterator[tuple[int, int]]:
+    """Where a text's runs between spaces lie that have signs."""
+    done = 0
+    while sign := _SIGN.search(text, done):
+        lo, hi = max(done, text.rfind(" ", done, sign.start()) + 1), text.find(" ", sign.end())
+        done = hi if hi >= 0 else len(text)
+        yield lo, done
 
 
 def _readings(text: str) -> set[str]:
     """Distinct words of a folded text; those with signs also with all signs as letters."""
-    return {*_WORD.findall(text), *(w for m in _MIXED.findall(text) for w in _WORD.findall(m.translate(_SIGNS)))}
+    signed = (m for lo, hi in _signed(text) for m in _MIXED.findall(text[lo:hi]))
+    return {*_WORD.findall(text), *(w for m in signed for w in _WORD.findall(m.translate(_SIGNS)))}
 
 
 @dataclass
@@ -103,7 +113,11 @@ def matches(machine, text: str) -> list[tuple[str, float]]:
                     return word[:start] + whole[start : start + size] + word[start + size :]
         return word
 
-    text, found, spared = skeleton(_MIXED.sub(reading, text)), [], []
+    parts, done, found, spared = [], 0, [], []
+    for lo, hi in _signed(text):
+        parts += [text[done:lo], _MIXED.sub(reading, text[lo:hi])]
+        done = hi
+    text = skeleton("".join([*parts, text[done:]]))
     for last, (term, weight) in machine.iter(text):
         lo, hi = last - len(term) + 1, last + 1
         if (lo and text[lo - 1].isalnum()) or (hi < len(text) and text[hi].isalnum()):
@@ -129,12 +143,12 @@ def _sums(lexicon: Lexicon, texts: Sequence[str | None], machine) -> tuple[np.nd
     return np.asarray(weight, float), np.asarray(words, float), terms
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
-    """Ridge logistic regression by Newton's method."""
+def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np.ndarray:
+    """Ridge logistic regression of rows weighted by their share, by Newton's method."""
     beta, penalty = np.zeros(x.shape[1]), np.diag([1e-6] + [ridge] * (x.shape[1] - 1))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + penalty, x.T @ (y - p) - penalty @ beta)
+        step = np.linalg.solve((x * (share * (p * (1 - p) + 1e-9))[:, None]).T @ x + penalty, x.T @ (share * (y - p)) - penalty @ beta)
         beta += step
         if np.abs(step).max() < 1e-6:
             break
@@ -155,30 +169,39 @@ def learn_lexicon(
     """Weights and calibration from labelled documents.
 
     ``labels`` has doc_id and toxic (0 or 1); its rows outside the training
-    folds must be gone. At most about ``sample_rows`` labelled documents, picked
-    by a hash of their id, are learned from. A folded word's weight is its log
+    folds must be gone. Words are counted over all labelled documents. The
+    calibration is learned from about ``sample_rows`` of them at most, picked in each
+    class by a hash of their id and weighted by what was left out. A folded word's weight is its log
     odds ratio between toxic and other documents; words that differ in l and i
     only count as one, named by its most frequent form. Words of too few toxic
     documents, or below ``min_weight``, are no terms. ``seed_terms`` add terms
     with given weights. Without both labels the calibration stays as given.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    total = known.count()
-    if total > sample_rows:
-        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.lit(int((1 << 20) * sample_rows / total)))
-    sample = docs.select("doc_id", "text").join(F.broadcast(known.withColumnRenamed("doc_id", "_id")), F.col("doc_id") == F.col("_id")).select("text", "toxic")
+    of_class = {r["bad"]: r["count"] for r in known.groupBy((F.col("toxic") == 1).alias("bad")).count().collect()}
+    toxic, other = of_class.get(True, 0), of_class.get(False, 0)
+    half = sample_rows // 2
+    rates = min(1.0, max(half, sample_rows - other) / max(toxic, 1)), min(1.0, max(half, sample_rows - toxic) / max(other, 1))
+    labelled = docs.select("doc_id", "text").join(
+        small(known.withColumnRenamed("doc_id", "_id"), toxic + other), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "toxic")
+    rate = F.when(F.col("toxic") == 1, rates[0]).otherwise(rates[1])
+    sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < rate * (1 << 20)).select("text", "toxic")
 
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            bad, good = Counter(), Counter()
             for text, toxic in zip(batch["text"], batch["toxic"]):
                 forms = {"": ""}
                 for word in sorted(_readings(folded(text))) if isinstance(text, str) else []:
                     forms[skeleton(word)] = word
-                yield pd.DataFrame({"class": list(forms), "word": list(forms.values()), "toxic": int(toxic == 1)})
+                (bad if toxic == 1 else good).update(forms.items())
+            every = list(bad | good)
+            yield pd.DataFrame({"class": [c for c, _ in every], "word": [w for _, w in every],
+                                "bad": [bad[e] for e in every], "good": [good[e] for e in every]})
 
     # Documents of a class of words: each has one form of it.
-    forms = sample.mapInPandas(words, "class string, word string, toxic int").groupBy("class", "word").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
+    forms = labelled.select("text", "toxic").mapInPandas(words, "class string, word string, bad long, good long").groupBy("class", "word").agg(
+        F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     counts = forms.groupBy("class").agg(
         F.max(F.struct(F.col("bad") + F.col("good"), "word")).getField("word").alias("word"), F.sum("bad").alias("bad"), F.sum("good").alias("good")
     ).drop("class").cache()
@@ -200,7 +223,9 @@ def learn_lexicon(
             yield pd.DataFrame({"w": w, "n": n, "toxic": batch["toxic"].to_numpy()})
 
     rows = sample.mapInPandas(sums, "w double, n double, toxic int").toPandas()
-    beta = _logistic(_features(rows["w"].to_numpy(), rows["n"].to_numpy()), (rows["toxic"] == 1).to_numpy(float))
+    is_toxic = (rows["toxic"] == 1).to_numpy()
+    share = np.where(is_toxic, 1 / rates[0], 1 / rates[1])
+    beta = _logistic(_features(rows["w"].to_numpy(), rows["n"].to_numpy()), is_toxic.astype(float), share)
     lexicon.coefficients = tuple(float(b) for b in beta)
     return lexicon
 
