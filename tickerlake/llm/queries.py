@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .ann import nearest
 from .common import fold, table
+from .decontaminate import find_leaks
 from .fingerprints import edited_fingerprints
 from .langid import fit_languages, predict_languages
 from .lm import score_documents
@@ -90,6 +91,14 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), held_out=1).withColumn("held_out", fold(F.col("doc_id")) == 1)
 
 
+def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 OP9_SQL = """
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
@@ -175,6 +184,33 @@ select r.a as doc_id, coalesce(any_value(n), 0)::bigint as n_shingles, min(r.b)
 from reached r left join sizes s on r.a = s.doc_id group by r.a
 """
 
+OP12_SQL = """
+with item_words as (
+  select coalesce(item_id::varchar, '') as item,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark
+), windows as (
+  select distinct item, least(len(w), 10) as n, array_to_string(w[i:i + 9], ' ') as s
+  from item_words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) as t(i) where len(w) > 0
+), words as (
+  select doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents
+), places as (
+  select doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') as s
+  from words, (select distinct n from windows) as sizes, unnest(range(1, len(w) - n + 2)) as t(i)
+), hits as (
+  select p.doc_id, p.i, p.n, v.item from places p join windows v on p.n = v.n and p.s = v.s
+), hit_words as (
+  select doc_id, count(distinct place) as n_hit from (select doc_id, unnest(range(i, i + n)) as place from hits) group by doc_id
+), hit_items as (
+  select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items from (select distinct doc_id, item from hits) group by doc_id
+)
+select w.doc_id, len(w.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from words w left join hit_words h on w.doc_id = h.doc_id left join hit_items i on w.doc_id = i.doc_id
+"""
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -186,6 +222,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_lm_scores": op10_lm_scores,
+    "op12_decontaminate": op12_decontaminate,
 }
 
-ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL}
+ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL, "op12_decontaminate": OP12_SQL}
