@@ -11,6 +11,7 @@ from .decontaminate import find_leaks
 from .fingerprints import edited_fingerprints
 from .langid import fit_languages, predict_languages
 from .lm import score_documents
+from .manifest import manifest, without_line_feeds
 from .mixing import mix_sources
 from .neardup import near_duplicates
 from .packing import pack_documents
@@ -99,6 +100,11 @@ def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest(table(spark, sf_dir, "documents"), without_line_feeds()).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 OP9_SQL = """
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::bigint as size,
@@ -211,6 +217,64 @@ select w.doc_id, len(w.w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hi
 from words w left join hit_words h on w.doc_id = h.doc_id left join hit_items i on w.doc_id = i.doc_id
 """
 
+
+def _merkle_sql(depth: int = 12, forest_depth: int = 3) -> str:
+    """Levels one by one: ``depth`` for a source's documents, ``forest_depth`` for the sources.
+
+    A level has (tree, lo, n, digest): n nodes a tree; a root stays as it is.
+    A leaf's fold takes what its run has before and after it on each level.
+    """
+    def levels(name: str, first: str, count: int) -> str:
+        out = f"{name}0 as materialized ({first})"
+        for k in range(count):
+            out += f""", {name}{k + 1} as materialized (
+  select tree, lo // 3 as lo, (max(n) + 2) // 3 as n,
+         case when max(n) > 1 then sha256(string_agg(digest, '' order by lo)) else min(digest) end as digest
+  from {name}{k} group by tree, lo // 3
+)"""
+        return out
+
+    def folds(name: str, nodes: str, first: str, count: int) -> str:
+        out = f"{name}0 as materialized ({first})"
+        for k in range(count):
+            out += f""", {name}{k + 1} as materialized (
+  select f.* exclude (fold, proof, lo), f.lo // 3 as lo, f.proof || s.before || s.after as proof,
+         case when s.many then sha256(s.before || f.fold || s.after) else f.fold end as fold
+  from {name}{k} f join (
+    select a.tree, a.lo, any_value(a.n) > 1 as many,
+           coalesce(string_agg(b.digest, '' order by b.lo) filter (where b.lo < a.lo), '') as before,
+           coalesce(string_agg(b.digest, '' order by b.lo) filter (where b.lo > a.lo), '') as after
+    from {nodes}{k} a join {nodes}{k} b on a.tree = b.tree and a.lo // 3 = b.lo // 3 group by a.tree, a.lo
+  ) s on f.{{key}} = s.tree and f.lo = s.lo
+)"""
+        return out
+
+    def field(column: str) -> str:
+        return f"coalesce(strlen({column}::varchar)::varchar || ':' || {column}::varchar, '-')"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = """list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(coalesce(doc_id::varchar, ''), ''),
+           lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))), lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, (a & 1) * 3988292384) end)"""
+    leaves = f"""
+with rows as materialized (
+  select doc_id, source, sha256({head} || {field("text")}) as leaf,
+         sha256({head} || {field(f"(case when xor({crc}, 4294967295) % 2 = 0 then replace(text, chr(10), '') else text end)")}) as current
+  from documents
+), placed as materialized (
+  select *, dense_rank() over (order by source nulls first) - 1 as tree, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as lo,
+         count(*) over (partition by source) as n
+  from rows
+), """
+    own = levels("l", "select tree, lo, n, leaf as digest from placed", depth)
+    forest = levels("s", f"select 0 as tree, tree as lo, count(*) over () as n, digest from l{depth}", forest_depth)
+    low = folds("f", "l", "select doc_id, leaf, tree, lo, '' as proof, current as fold from placed", depth).replace("{key}", "tree")
+    high = folds("g", "s", f"select * exclude (lo), tree as lo, 0 as zero from f{depth}", forest_depth).replace("{key}", "zero")
+    return f"""{leaves}{own}, {forest}, {low}, {high}
+select g.doc_id, g.leaf, l.digest as subroot, s.digest as root, sha256(g.proof) as proof_sha256, g.fold as folded_root, g.fold = s.digest as verified
+from g{forest_depth} g join l{depth} l on g.tree = l.tree join s{forest_depth} s on s.tree = 0
+"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -223,6 +287,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_lm_scores": op10_lm_scores,
     "op12_decontaminate": op12_decontaminate,
+    "op13_manifest": op13_manifest,
 }
 
-ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL, "op12_decontaminate": OP12_SQL}
+ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL, "op12_decontaminate": OP12_SQL, "op13_manifest": _merkle_sql()}
