@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest
+from .codes import vector_codes
 from .common import fold, table
 from .decontaminate import find_leaks
 from .fingerprints import edited_fingerprints
@@ -92,6 +93,10 @@ def op10_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), held_out=1).withColumn("held_out", fold(F.col("doc_id")) == 1)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def op12_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return rows.select(
@@ -218,6 +223,47 @@ from words w left join hit_words h on w.doc_id = h.doc_id left join hit_items i
 """
 
 
+def _lloyd_sql(rounds: int = 2) -> str:
+    """Codebooks c0, c1, ... (p, e, v) and the parts' entries a0, a1, ... by the codebook of the same number."""
+    def assigned(r: int) -> str:
+        return f"""a{r} as materialized (
+  select rid, p, arg_min(e, d * 64 + e) as e, min(d) as d
+  from (select x.rid, x.p, c.e, list_sum(list_transform(range(1, len(x.v) + 1), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i])))::bigint as d
+        from parts x join c{r} c on x.p = c.p)
+  group by rid, p
+)"""
+
+    def means(r: int) -> str:
+        return f"""c{r + 1} as materialized (
+  select c.p, c.e, coalesce(m.v, c.v) as v from c{r} c left join (
+    select p, e, list((s - ((s % n) + n) % n) // n order by i) as v
+    from (select p, e, i, sum(x)::bigint as s, count(*) as n
+          from (select a.p, a.e, unnest(x.v) as x, unnest(range(1, len(x.v) + 1)) as i from a{r} a join parts x on a.rid = x.rid and a.p = x.p)
+          group by p, e, i)
+    group by p, e
+  ) m on c.p = m.p and c.e = m.e
+)"""
+
+    steps = ", ".join(f"{assigned(r)}, {means(r)}" for r in range(rounds)) + ", " + assigned(rounds)
+    return f"""
+with kept as materialized (
+  select row_number() over (order by vec_id, embedding) - 1 as rid, vec_id, label,
+         list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as w
+  from embeddings where embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))
+), parts as materialized (
+  select rid, p, w[p * (len(w) // 16) + 1 : (p + 1) * (len(w) // 16)] as v from kept, unnest(range(16)) as t(p)
+), c0 as materialized (
+  select p, rid as e, v from parts where rid < 64
+), {steps}, named as (
+  select k.vec_id, k.label, a.code, a.error
+  from kept k join (select rid, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by p) as code, sum(d)::bigint as error from a{rounds} group by rid) a on k.rid = a.rid
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+       (select sha256(string_agg(array_to_string(v, ','), ',' order by p, e)) from c{rounds}) as codebooks_sha256
+from named
+"""
+
+
 def _merkle_sql(depth: int = 12, forest_depth: int = 3) -> str:
     """Levels one by one: ``depth`` for a source's documents, ``forest_depth`` for the sources.
 
@@ -286,8 +332,9 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_lm_scores": op10_lm_scores,
+    "op11_vector_codes": op11_vector_codes,
     "op12_decontaminate": op12_decontaminate,
     "op13_manifest": op13_manifest,
 }
 
-ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL, "op12_decontaminate": OP12_SQL, "op13_manifest": _merkle_sql()}
+ORACLES = {"op2_suffix_dedup": OP2_SQL, "op3_minhash": OP3_SQL, "op9_mixing": OP9_SQL, "op11_vector_codes": _lloyd_sql(), "op12_decontaminate": OP12_SQL, "op13_manifest": _merkle_sql()}
