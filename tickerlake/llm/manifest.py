@@ -108,7 +108,7 @@ def _depth(n: Column) -> Column:
     return F.size(F.filter(F.array(*[F.lit(p) for p in _POWERS]), lambda p: p < n))
 
 
-def paths_down(levels: list[DataFrame], roots: DataFrame, carry: list[str]) -> DataFrame:
+def paths_down(levels: list[DataFrame], roots: DataFrame, carry: list[str], name: str) -> DataFrame:
     """Leaves with ``path``: of each level from the leaf up what its run has before and after the node.
 
     ``roots`` has tree_no, n and, to be handed down to all leaves, ``path`` (that of the
@@ -145,6 +145,8 @@ def paths_down(levels: list[DataFrame], roots: DataFrame, carry: list[str]) -> D
             alone = levels[0].where(F.col("n") == 1).select(F.col("tree_no").alias("tree"), "digest", *extra)
             here = here.join(alone, F.col("tree") == F.col("tree_no")).select(*above.columns)
         above = above.unionByName(here)
+        if level and level % STOREY == 0:
+            above = stored(above, f"{name}-paths")  # a plan has STOREY joins at most
     if len(levels) == 1:
         own = [c for c in levels[0].columns if c not in ("tree_no", "n", "lo")]
         alone = levels[0].select(F.col("tree_no").alias("tree"), *own)
@@ -194,10 +196,10 @@ def manifest(docs: DataFrame, changed: dict[str, Column] | None = None) -> DataF
     forest = subroots.select(F.lit(0).cast("long").alias("tree_no"), F.lit(count).cast("long").alias("n"), F.col("tree_no").alias("lo"), "digest", F.col("n").alias("leaves"))
     upper = nodes_above(forest, next(k for k, p in enumerate(_POWERS) if p >= count), "manifest-sources")
     whole = _roots(upper).select(F.col("tree_no"), "n", F.col("digest").alias("root"), F.array().cast(_PATH).alias("path"))
-    tops = paths_down(upper, whole, ["root"])
+    tops = paths_down(upper, whole, ["root"], "manifest-sources")
     roots = stored(tops.select(F.col("lo").alias("tree_no"), F.col("leaves").alias("n"), F.col("digest").alias("subroot"), "root", "path"), "manifest-tops")
 
-    proofs = paths_down(levels, roots, ["subroot", "root"])
+    proofs = paths_down(levels, roots, ["subroot", "root"], "manifest")
     siblings = F.concat_ws("", F.transform("path", lambda p: F.concat(p["before"], p["after"])))
     folded = F.aggregate("path", F.col("current"), lambda node, p: digest(p["before"], node, p["after"]))
     return proofs.select(
