@@ -156,6 +156,19 @@ def test_unusable_vectors_take_no_part(spark):
     assert nearest(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_extreme_magnitudes_and_blocks_of_queries(spark, monkeypatch):
+    monkeypatch.setattr("tickerlake.llm.ann.QUERY_BLOCK", 7)
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=8) * scale).tolist()) for i, scale in enumerate(rng.choice([1.0, 1e200, 1e-200, 1e-310, 1e308 / 8], 120))]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 3 == 0, rows_per_shard=30).collect()
+    unit = {i: np.asarray(v) / np.abs(v).max() for i, v in rows}
+    for query in range(0, 120, 3):
+        mine = [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == query]
+        cosine = {i: unit[i] @ unit[query] / np.sqrt((unit[i] @ unit[i]) * (unit[query] @ unit[query])) for i in unit if i != query}
+        assert [i for i, _ in mine] == sorted(cosine, key=lambda i: -cosine[i])[:5]
+        assert [s for _, s in mine] == pytest.approx([cosine[i] for i, _ in mine], abs=1e-9)
+
+
 def test_graph_from_its_flat_arrays():
     rng = np.random.default_rng(5)
     unit = rng.normal(size=(300, 8)).astype(np.float32)
@@ -252,7 +265,7 @@ def test_stages_equal_brute_force(spark):
 
 
 def test_queries_and_run(spark):
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{i}" for i in range(1, 14)]
     rows = corpus_pipeline.run(spark, SF)
     assert rows.count() > 0 and "ids_crc32" in rows.columns
     out = QUERIES["op2_suffix_dedup"](spark, SF).collect()

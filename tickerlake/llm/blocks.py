@@ -19,7 +19,8 @@ from .packing import forget_tokenizers
 BLOCK_BYTES = 1 << 20
 #: Stands for a NULL id: larger than any.
 NO_ID = np.iinfo(np.int64).max
-BLOCKS = "block_id long, n_bytes long, docs array<struct<id: long, size: long, digest: string>>, data binary"
+#: No id is NULL in a block: in pandas, those beside it would become doubles.
+BLOCKS = "block_id long, n_bytes long, docs array<struct<id: long, known: boolean, size: long, digest: string>>, data binary"
 
 
 def make_blocks(docs: DataFrame, name: str, carry: bool = False) -> DataFrame:
@@ -57,7 +58,7 @@ def make_blocks(docs: DataFrame, name: str, carry: bool = False) -> DataFrame:
                     yield block()
                     held, rows, rests, size, made, begin = [], [], [], 0, made + 1, i
                 held.append(data)
-                rows.append({"id": doc, "size": len(data), "digest": hashlib.sha256(data).hexdigest()})
+                rows.append({"id": NO_ID if doc is None else doc, "known": doc is not None, "size": len(data), "digest": hashlib.sha256(data).hexdigest()})
                 size += len(data)
             if carry and batch.num_rows > begin:
                 rests.append(batch.slice(begin).drop_columns(["text"]))
@@ -66,13 +67,18 @@ def make_blocks(docs: DataFrame, name: str, carry: bool = False) -> DataFrame:
 
     fields = [
         ("block_id", pa.int64()), ("n_bytes", pa.int64()),
-        ("docs", pa.list_(pa.struct([("id", pa.int64()), ("size", pa.int64()), ("digest", pa.string())]))), ("data", pa.binary()),
+        ("docs", pa.list_(pa.struct([("id", pa.int64()), ("known", pa.bool_()), ("size", pa.int64()), ("digest", pa.string())]))), ("data", pa.binary()),
     ]
     schema = pa.schema(fields + [("rest", pa.binary())] * carry)
     typed = docs.select(*[F.col(c).cast("long").alias(c) if c == "doc_id" else F.col(f"`{c}`") for c in columns])
     return stored(typed.mapInArrow(gather, BLOCKS + ", rest binary" * carry), name)
 
 
+def known_ids(docs: list) -> list[int | None]:
+    """The ids of a block's documents, None for NULL."""
+    return [d["id"] if d["known"] else None for d in docs]
+
+
 def carried(rest: bytes) -> pa.Table:
     """The other columns of a block's documents."""
     import zstandard
@@ -85,7 +91,7 @@ def block_bytes(docs: list, data: bytes) -> tuple[bytes, np.ndarray, np.ndarray,
     import zstandard
 
     size = np.fromiter((d["size"] for d in docs), np.int64, len(docs))
-    ids = np.fromiter((NO_ID if d["id"] is None else d["id"] for d in docs), np.int64, len(docs))
+    ids = np.fromiter((d["id"] for d in docs), np.int64, len(docs))
     raw = zstandard.ZstdDecompressor().decompress(data) if size.sum() else b""
     stop = np.cumsum(size)
     return raw, stop - size, stop, ids

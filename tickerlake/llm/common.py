@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def mapped_texts(docs: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``run`` by ``mapInPandas`` over doc_id and text; returns doc_id and the columns of ``schema``.
+
+    In pandas an id is text: longs beside a NULL would become doubles, which
+    hold no id above 2 ** 53.
+    """
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(run, f"doc_id string, {schema}")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def fold(doc_id: Column, folds: int = 5) -> Column:
     """crc32 of the id's text modulo ``folds``; a NULL id counts as the text ''."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds

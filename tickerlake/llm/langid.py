@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import mapped_texts, small_batches
 from .packing import forget_tokenizers
 
 #: What a text without letters is.
@@ -20,6 +20,11 @@ UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode's category L; the pattern alone also finds other numerals."""
+    return any(m[0].isalpha() for m in _LETTER.finditer(text))
+
+
 @dataclass(frozen=True)
 class Grams:
     """Hashed counts of character n-grams of a lower-cased text, 1 to ``longest`` code points."""
@@ -114,8 +119,8 @@ def fit_languages(docs: DataFrame, sample_rows: int = 5000, grams: Grams = Grams
     """Fit on rows of text and lang; those that may not be learned from must be gone.
 
     Document frequencies count every row of ``docs`` with a text. The
-    classifier learns from at most about ``sample_rows`` labelled rows, as many
-    of each language; a fifth of them is held back for the temperature.
+    classifier learns from at most about ``sample_rows`` distinct labelled texts, as many
+    of each language, however many copies a text has; a fifth of them is held back for the temperature.
     """
     small_batches(docs.sparkSession)
     features = 1 << grams.bits
@@ -144,7 +149,7 @@ def fit_languages(docs: DataFrame, sample_rows: int = 5000, grams: Grams = Grams
     share = F.lit(0)
     for lang, size in sizes.items():
         share = F.when(F.col("lang") == lang, int((1 << 30) * min(1.0, each / size))).otherwise(share)
-    sample = labelled.where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < share)
+    sample = labelled.select("text", "lang").where(F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30)) < share).distinct()
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -155,7 +160,7 @@ def fit_languages(docs: DataFrame, sample_rows: int = 5000, grams: Grams = Grams
                 "x": [v.astype("<f4").tobytes() for _, v in rows],
             })
 
-    got = sample.select("text", "lang").mapInPandas(vectors, "lang string, places binary, x binary").toPandas()
+    got = sample.mapInPandas(vectors, "lang string, places binary, x binary").toPandas()
     got = got.sort_values(["lang", "places", "x"], kind="stable").reset_index(drop=True)
     rows = [(np.frombuffer(p, "<u2").astype(np.int64), np.frombuffer(x, "<f4").astype(float)) for p, x in zip(got["places"], got["x"])]
     labels = np.searchsorted(languages, got["lang"].tolist()) if len(got) else np.zeros(0, int)
@@ -174,7 +179,7 @@ def predictor(model: LanguageModel) -> Callable[[Sequence[str | None]], tuple[li
     def predict(texts: Sequence[str | None]) -> tuple[list[str], list[float]]:
         lang, score = [], []
         for text in texts:
-            if not languages or not isinstance(text, str) or not _LETTER.search(text):
+            if not languages or not isinstance(text, str) or not has_letter(text):
                 lang.append(UNDETERMINED)
                 score.append(0.0)
                 continue
@@ -201,9 +206,9 @@ def predict_languages(docs: DataFrame, model: LanguageModel) -> DataFrame:
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             lang, score = predict(batch["text"].tolist())
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "lang_pred": lang, "score": score})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": lang, "score": score})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, lang_pred string, score double")
+    return mapped_texts(docs, rows, "lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, least_score: float = 0.3) -> DataFrame:

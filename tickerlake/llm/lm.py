@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, block_bytes, make_blocks
+from .blocks import NO_ID, block_bytes, known_ids, make_blocks
 from .common import stored
 from .text import mixed, words_and_endings
 
@@ -388,7 +388,7 @@ def score_documents(docs: DataFrame, held_out: int = 1) -> DataFrame:
             base = np.log10((counts + 0.5) / (vocab.tokens + 0.5 * (vocab.distinct + 1)))
             first = np.cumsum(per_text) - per_text
             out.append(pd.DataFrame({
-                "doc_id": pd.array([d["id"] for d in docs], "Int64"), "n_tokens": per_text,
+                "doc_id": pd.array(known_ids(docs), "Int64"), "n_tokens": per_text,
                 "n_known": np.add.reduceat((counts > 0).astype(np.int64), first), "train_tokens": vocab.tokens,
                 "base_score": np.add.reduceat(base, first), "score": np.add.reduceat(logs, first) / math.log(10),
             }))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from .common import small, stored, word_count
 
-#: Ranges of the rank's uniform number whose sizes are summed before any row is ranked.
+#: Ranges of the rank whose sizes are summed before any row is ranked: so many at least, and one for so many rows.
 RANK_BINS = 1024
+ROWS_PER_BIN = 1 << 16
 
 
 def source_targets(
@@ -60,6 +61,7 @@ def mix_sources(
     share: float = 1.5,
     max_copies: int = 2,
     seed: str = "mix",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """How many copies of each document a mix of the sources takes.
 
@@ -69,28 +71,30 @@ def mix_sources(
     (certain copies), rank_key, copies.
 
     Each document of a source gets ``floor(target / source_size)`` whole copies
-    for certain. The rest of the target is drawn by Pareto order sampling: a
-    document with inclusion probability p and uniform number u ranks by
-    ``(u / (1 - u)) / (p / (1 - p))`` and the lowest ranks are taken until their
+    for certain. The rest of the target is drawn by Pareto order sampling with
+    probabilities of the documents' own: a document's inclusion odds p / (1 - p) are those of its source
+    (left over words to all words) times its size over the source's mean size. With a
+    uniform number u it ranks by ``(u / (1 - u)) / (p / (1 - p))`` (``rank_key``) and the lowest ranks are taken until their
     words reach what is left, to within half a document. u is derived from
-    the id and ``seed``, so reruns agree; ties go by id, then by size.
+    the id and ``seed``, so reruns agree; ties go by id, then by size, then by ``carry``.
 
-    NULL text has size 0 and takes copies like any other. A NULL source is a
+    NULL text has size 0, takes the whole copies of its source and none beyond. A NULL source is a
     source. An empty table gives an empty result; a source without words has
-    target 0 and takes nothing.
+    target 0 and takes nothing. Columns named in ``carry`` are returned too.
 
     Scale: words are counted once. A rank is found without sorting a source:
-    sums by source and range of u say which range the cut falls in, and only
-    that range is ordered.
+    sums by source and range of the rank say which range the cut falls in, and only
+    that range, of some ROWS_PER_BIN rows, is ordered.
     """
     sizes = docs.select(
         "doc_id",
         "source",
         word_count(F.col("text")).alias("size"),
+        *carry,
         F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")), 1, 12).alias("_hex"),
     ).withColumn(
         "_u", (F.conv("_hex", 16, 10).cast("double") + 0.5) / float(2**48)
-    ).withColumn("_bin", F.floor(F.col("_u") * RANK_BINS).cast("int")).drop("_hex")
+    ).drop("_hex")
     sizes = stored(sizes, "mix-sizes")
     targets = stored(source_targets(sizes, weights, share, max_copies), "mix-targets")
     plan = (
@@ -99,6 +103,13 @@ def mix_sources(
         .withColumn("p", F.col("ratio") - F.col("whole"))
         .withColumn("left_over", F.col("target") - F.col("whole") * F.col("source_size"))
     )
+    # Odds over odds, but for the source's own odds, which change no order; between 0 and 1 as place in the ranges.
+    counts = sizes.groupBy("source").agg(F.count("*").alias("_docs")).withColumnRenamed("source", "_of")
+    total = targets.join(counts, F.col("source").eqNullSafe(F.col("_of"))).select("_of", (F.col("source_size").cast("double") / F.col("_docs")).alias("_mean"))
+    bins = max(RANK_BINS, -(-sizes.count() // ROWS_PER_BIN))
+    key = F.when(F.col("size") > 0, (F.col("_u") / (1 - F.col("_u"))) * (F.col("_mean") / F.col("size")))
+    sizes = sizes.join(total, F.col("source").eqNullSafe(F.col("_of"))).withColumn("_key", key).drop("_of", "_mean", "_u")
+    sizes = sizes.withColumn("_bin", F.coalesce(F.floor(F.col("_key") / (1 + F.col("_key")) * bins), F.lit(bins)).cast("int"))
     upto = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
         sizes.groupBy("source", "_bin").agg(F.sum("size").alias("bin_size"))
@@ -115,18 +126,18 @@ def mix_sources(
     )
     rows = sizes.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
         "rank_key",
-        F.when(F.col("p") > 0, (F.col("_u") / (1 - F.col("_u"))) / (F.col("p") / (1 - F.col("p")))),
+        F.when(F.col("p") > 0, F.col("_key") / (F.col("p") / (1 - F.col("p")))),
     )
     inside = F.col("_bin") == F.col("cut_bin")
     sure = rows.where(~F.coalesce(inside, F.lit(False))).withColumn(
         "extra", F.coalesce(F.col("_bin") < F.col("cut_bin"), F.lit(False)) & (F.col("left_over") > 0)
     )
-    order = Window.partitionBy("source", "_bin").orderBy("rank_key", "doc_id", "size")
+    order = Window.partitionBy("source", "_bin").orderBy(F.col("_key").asc_nulls_last(), "doc_id", "size", *carry)
     ranked = rows.where(inside).withColumn(
         "_before", F.col("cut_before") + F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ).withColumn("extra", F.col("_before") + F.col("size") / 2 <= F.col("left_over")).drop("_before")
     return sure.unionByName(ranked).select(
-        "doc_id", "source", "size", "source_size", "target", "whole", "rank_key",
+        "doc_id", "source", *carry, "size", "source_size", "target", "whole", "rank_key",
         (F.col("whole") + F.col("extra").cast("int")).alias("copies"),
     )
 
@@ -134,9 +145,18 @@ def mix_sources(
 def take_copies(docs: DataFrame, **options) -> DataFrame:
     """The mixed table itself: ``docs`` with each row as often as the mix takes it.
 
-    Ids should be unique: rows that share an id share the copies of its first row.
+    Where ids are repeated, rows are stored with a number and taken by it, so that
+    each has copies of its own.
     """
-    copies = mix_sources(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    copies = stored(copies.withColumnRenamed("doc_id", "_id"), "mix-copies")
-    joined = docs.join(small(copies, copies.count()), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*[docs[c] for c in docs.columns])
+    plan = mix_sources(docs, **options).groupBy("doc_id").agg(F.max("copies").alias("_copies"), F.count("*").alias("_rows"))
+    plan = stored(plan.withColumnRenamed("doc_id", "_id"), "mix-copies")
+    key, rows = "doc_id", docs
+    if plan.where("_rows > 1").limit(1).count():
+        key = "_row"
+        while key in docs.columns:
+            key += "_"
+        rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "mix-rows")
+        plan = stored(mix_sources(rows, carry=[key], **options).select(F.col(key).alias("_id"), F.col("copies").alias("_copies")), "mix-copies")
+    copies = plan.where("_copies > 0").select("_id", "_copies")
+    joined = rows.join(small(copies, copies.count()), F.col(key).eqNullSafe(F.col("_id")))
+    return joined.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("_copies")))).select(*[rows[c] for c in docs.columns])

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small, stored
+from .common import mapped_texts, small, stored
 from .components import components
 from .packing import forget_tokenizers
 from .text import as_bytes, chunks, mixed, word_hashes
@@ -67,7 +67,7 @@ def half_keys(minhash: np.ndarray) -> np.ndarray:
     return key
 
 
-SKETCH = "doc_id long, n long, set_key string, halves array<long>, sketch binary"
+SKETCH = "n long, set_key string, halves array<long>, sketch binary"
 
 
 def sketches(docs: DataFrame, words: int) -> DataFrame:
@@ -92,7 +92,7 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                         [next(at) if s else (None, None, None) for s in some], index=table.index, dtype=object)
                 yield table
 
-    return stored(docs.select("doc_id", "text").mapInPandas(sketch, SKETCH), "neardup-sketches")
+    return stored(mapped_texts(docs, sketch, SKETCH), "neardup-sketches")
 
 
 def buckets_of(reps: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import string
 import sys
 import zlib
@@ -13,17 +14,17 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import mapped_texts, stored
 
 #: Distinct runs whose ids a worker process remembers, from task to task; others are tokenised each time.
 REMEMBERED = 1_000_000
 
 PIECES = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    "start long, length long, ids_crc32 long, doc_tokens long, "
     "blocks array<struct<start: long, length: long, ids_crc32: long>>"
 )
 PACKED = (
-    "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    "doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, cost double"
 )
 
@@ -33,12 +34,24 @@ def forget_tokenizers() -> None:
     sys.modules.pop("_packing_tokenizers", None)
 
 
+#: Normaliser and splitter of the tokenizers whose texts may be cut (see ``WordTokenizer``).
+CUTTABLE = [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+    {
+        "type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+        "behavior": "Removed", "invert": True,
+    },
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]
+
+
 class WordTokenizer:
-    """Ids of whole texts for a tokenizer that cuts at spaces, and letters from ASCII punctuation.
+    """Ids of whole texts, and an end id.
 
-    Such a tokenizer gives a text the ids of its space-separated parts in turn,
-    and a part of letters and punctuation the ids of both, whatever the case of
-    ASCII letters. So each distinct run is tokenised once and remembered.
+    A tokenizer that lower-cases, drops spaces and cuts letters from
+    punctuation, as CUTTABLE does, gives a text the ids of its space-separated parts in turn,
+    and an ASCII part of letters and punctuation the ids of both, whatever the case. So each
+    distinct run is tokenised once and remembered. Of any other tokenizer whole texts are encoded.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -46,14 +59,17 @@ class WordTokenizer:
         if path not in kept:
             from tokenizers import Tokenizer
 
-            kept[path] = (Tokenizer.from_file(path).encode, {})
-        self.encode, self.known = kept[path]
+            tokenizer = Tokenizer.from_file(path)
+            made = json.loads(tokenizer.to_str())
+            steps = [*(made["normalizer"] or {}).get("normalizers", []), *(made["pre_tokenizer"] or {}).get("pretokenizers", [])]
+            kept[path] = (tokenizer.encode, {}, steps == CUTTABLE and made["model"].get("type") == "BPE")
+        self.encode, self.known, self.cuttable = kept[path]
         self.end = np.uint32(end_id).astype("<u4").tobytes()
 
     def part(self, part: str) -> bytes:
         known, room = self.known.get, REMEMBERED // 2
         letters = part.rstrip(string.punctuation)
-        if letters.isalpha() and len(letters) < len(part):
+        if part.isascii() and letters.isalpha() and len(letters) < len(part):
             marks = part[len(letters) :]
             got = (known(letters) or self.part(letters)) + (known(marks) or self.part(marks))
         elif part.isascii() and not part.islower() and part.isalpha():
@@ -66,6 +82,8 @@ class WordTokenizer:
 
     def ids(self, text: str | None) -> bytes:
         """The text's ids and the end id, as little-endian unsigned 32-bit numbers."""
+        if not self.cuttable:
+            return np.array(self.encode(text or "", add_special_tokens=False).ids, "<u4").tobytes() + self.end
         parts = (text or "").replace("\n", " ").split(" ")
         known, out = self.known.get, []
         for part in parts:
@@ -94,7 +112,7 @@ def cut(ids: bytes, capacity: int) -> list[tuple[int, int, int, list[tuple[int,
 
 
 def pack_pieces(pieces: pd.DataFrame, capacity: int, linear: float, quadratic: float) -> pd.DataFrame:
-    """Sequences of one group of pieces; ``sequence_id`` counts from 0.
+    """Sequences of one group of pieces; ``sequence_id`` counts from 0. Ids are text, NULL after all others.
 
     As many sequences as the tokens fill are open from the start. Pieces, longest
     first, each go to the sequence of least cost that has room; a piece that
@@ -102,12 +120,13 @@ def pack_pieces(pieces: pd.DataFrame, capacity: int, linear: float, quadratic: f
     sequence of its own, whose power-of-two length needs no padding. A piece of
     n tokens costs ``linear * n + quadratic * n * n``.
     """
-    order = pieces.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
+    number = pd.array([None if d is None else int(d) for d in pieces["doc_id"]], "Int64")
+    order = pieces.assign(number=number).sort_values(["length", "number", "start"], ascending=[False, True, True], kind="stable")
     count = int(order["length"].sum()) // capacity
     cost, room = np.zeros(count), np.full(count, capacity, np.int64)
     own, rows, waiting = 0, [], []
 
-    def place(doc: int, start: int, n: int, crc: int, tokens: int) -> bool:
+    def place(doc: str | None, start: int, n: int, crc: int, tokens: int) -> bool:
         fits = np.flatnonzero(room >= n)
         if not len(fits):
             return False
@@ -165,7 +184,8 @@ def pack_documents(
                     rows += [(doc, s, n, crc, len(ids) // 4, [{"start": a, "length": b, "ids_crc32": c} for a, b, c in blocks]) for s, n, crc, blocks in cut(ids, capacity)]
                 yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "blocks"])
 
-    pieces = stored(docs.select("doc_id", "text").mapInPandas(tokenise, PIECES), "pack-pieces")
+    pieces = mapped_texts(docs, tokenise, PIECES).withColumn("row", F.monotonically_increasing_id())
+    pieces = stored(pieces, "pack-pieces")
     total = pieces.agg(F.sum("length")).first()[0] or 0
     groups = max(1, round(total / tokens_per_group))
 
@@ -174,5 +194,7 @@ def pack_documents(
         packed["sequence_id"] += np.int64(key[0]) << 32
         return packed
 
-    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups))
-    return pieces.withColumn("_group", group).groupBy("_group").applyInPandas(pack, PACKED)
+    # By row too: many equal rows fill many groups.
+    group = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", "row"), F.lit(groups))
+    dealt = pieces.withColumn("_group", group).withColumn("doc_id", F.col("doc_id").cast("string")).drop("row")
+    return dealt.groupBy("_group").applyInPandas(pack, PACKED).withColumn("doc_id", F.col("doc_id").cast("long"))

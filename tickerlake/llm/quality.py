@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import mapped_texts, stored
 from .text import as_bytes, chunks, mixed, word_hashes
 
 #: Bytes of text hashed at a time.
@@ -77,7 +77,7 @@ def importance(docs: DataFrame, target: np.ndarray, raw: np.ndarray, seed: str =
             score = 1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1), -30, 30)))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "n_features": n, "log_weight": total, "score": score})
 
-    rows = docs.select("doc_id", "text").mapInPandas(weigh, "doc_id long, n_features long, log_weight double, score double")
+    rows = mapped_texts(docs, weigh, "n_features long, log_weight double, score double")
     digits = F.substring(F.md5(F.concat_ws("/", F.lit(seed), F.col("doc_id").cast("string")).cast("binary")), 1, 12)
     u = (F.conv(digits, 16, 10).cast("double") + 0.5) / float(2**48)
     return rows.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u)))

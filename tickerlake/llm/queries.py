@@ -134,10 +134,13 @@ with sized as (
   select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole,
          case when source_size > 0 then target / source_size else 0 end as ratio
   from targets
+), keyed as (
+  select *, case when size > 0 then (u / (1 - u)) * (((sum(size) over (partition by source))::double / count(*) over (partition by source)) / size) end as key
+  from sized
 ), ranked as (
-  select d.doc_id, d.size, p.source_size, p.target, p.whole, p.target - p.whole * p.source_size as left_over,
-         coalesce(sum(d.size) over (partition by d.source order by d.u, d.doc_id, d.size rows between unbounded preceding and 1 preceding), 0) as before
-  from sized d join plan p on d.source is not distinct from p.source
+  select d.doc_id, d.size, p.source_size, p.target, p.whole, case when d.size > 0 then p.target - p.whole * p.source_size else 0 end as left_over,
+         coalesce(sum(d.size) over (partition by d.source order by d.key nulls last, d.doc_id, d.size rows between unbounded preceding and 1 preceding), 0) as before
+  from keyed d join plan p on d.source is not distinct from p.source
 )
 select doc_id, size, source_size, target,
        ((whole + case when left_over > 0 and before + size / 2 <= left_over then 1 else 0 end) * size)::bigint as taken,

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import NO_ID, block_bytes, carried, make_blocks
+from .blocks import NO_ID, block_bytes, carried, known_ids, make_blocks
 from .common import stored
 from .text import mixed
 
@@ -45,7 +45,7 @@ def block_text(docs: list, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndar
 def exact_copies(blocks: DataFrame) -> DataFrame:
     """block_id and place of every document whose whole text is that of a smaller id."""
     rows = blocks.select("block_id", F.posexplode("docs").alias("place", "doc")).select(
-        "block_id", "place", F.coalesce("doc.id", F.lit(NO_ID)).alias("id"), "doc.size", "doc.digest"
+        "block_id", "place", F.col("doc.id").alias("id"), "doc.size", "doc.digest"
     ).where(F.col("size") >= LENGTH)
     first = rows.groupBy("digest").agg(F.min("id").alias("first"))
     return rows.join(first, "digest").where(F.col("id") > F.col("first")).select("block_id", "place")
@@ -383,12 +383,12 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     def cut(key: tuple, block: pd.DataFrame, gone: pd.DataFrame) -> pd.DataFrame:
         out = []
         for docs, data in zip(block["docs"], block["data"]):
-            for d, (body, drop) in zip(docs, kept_bytes(docs, data, gone["doc"], gone["place"], gone["mask"])):
+            for d, known, (body, drop) in zip(docs, known_ids(docs), kept_bytes(docs, data, gone["doc"], gone["place"], gone["mask"])):
                 edge = np.flatnonzero(np.diff(drop.astype(np.int8), prepend=0, append=0))
                 spans = [{"start": int(a), "length": int(b - a)} for a, b in zip(edge[::2], edge[1::2])]
-                out.append((d["id"], d["digest"], len(drop), int(drop.sum()), spans, body))
-        table = pd.DataFrame(out, columns=["doc_id", "digest", "n_bytes", "n_removed", "spans", "kept"])
-        return table.astype({"doc_id": "Int64"})
+                out.append((known, d["digest"], len(drop), int(drop.sum()), spans, body))
+        table = pd.DataFrame(out, columns=["doc_id", "digest", "n_bytes", "n_removed", "spans", "kept"], dtype=object)
+        return table.assign(doc_id=pd.array([row[0] for row in out], "Int64"))
 
     return blocks.groupBy("block_id").cogroup(gone.groupBy("block_id")).applyInPandas(cut, RESULT)
 

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, small
+from .common import fold, mapped_texts, small
 
 #: Look-alikes of Latin letters, folded after lower-casing: Cyrillic, Greek, others.
 HOMOGLYPHS = {
@@ -245,7 +245,7 @@ def score_toxicity(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
             p = 1 / (1 + np.exp(-np.clip(_features(w, n) @ beta, -30, 30)))
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": p, "predicted": (p >= 0.5).astype("int32"), "weight": w, "terms": terms})
 
-    return docs.select("doc_id", "text").mapInPandas(score, "doc_id long, score double, predicted int, weight double, terms array<string>")
+    return mapped_texts(docs, score, "score double, predicted int, weight double, terms array<string>")
 
 
 def train_rows(labels: DataFrame) -> DataFrame:
