@@ -587,6 +587,63 @@ def oracle_queries() -> dict[str, str]:
         "SELECT ticker_id, ingestion_date, currentPrice, " + R("r", 6) + " AS daily_return, "
         f"CASE WHEN ticker_id IS NOT NULL THEN {R(f'stddev_samp(r) OVER ({w5})', 6)} END AS volatility_5 FROM returns"
     )
+    merged = f"merged AS (SELECT {_cols(FACT_NAMES)} FROM ({_merge_sql(UPDATE_FULL)}))"
+    last = "SELECT * FROM merged WHERE ticker_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY ticker_id ORDER BY ingestion_date DESC) = 1"
+    out["J2_maintained_latest_rows"] = f"WITH {merged}\n{last}"
+    out["Q4_maintained_latest"] = (
+        f"WITH {base_ctes()},\n{merged},\nlast AS ({last})\n"
+        "SELECT * FROM (SELECT d.sector AS sector, " + _cols(SCREENER_COLS, "q.")
+        + ", CAST(row_number() OVER (PARTITION BY d.sector ORDER BY q.trailingPE ASC NULLS FIRST, "
+        "q.revenueGrowth DESC NULLS LAST, q.ticker_id ASC NULLS FIRST) AS BIGINT) AS rank "
+        "FROM last q JOIN dim d ON q.ticker_id = d.ticker_id WHERE q.trailingPE IS NOT NULL) WHERE rank = 1"
+    )
+
+    def held(fact: str, horizon: int, n: int) -> str:
+        later = (
+            f"(SELECT {{what}} FROM {fact} f WHERE f.ticker_id = p.ticker_id AND f.currentPrice IS NOT NULL "
+            f"AND f.ingestion_date > p.ingestion_date AND f.ingestion_date <= p.ingestion_date + INTERVAL {horizon} DAY)"
+        )
+        return (
+            "picks AS (SELECT q.ingestion_date, d.sector, q.ticker_id, q.currentPrice AS entry_price, "
+            "CAST(row_number() OVER (PARTITION BY q.ingestion_date, d.sector ORDER BY q.trailingPE, "
+            "q.revenueGrowth DESC NULLS LAST, q.ticker_id) AS BIGINT) AS rank "
+            f"FROM {fact} q JOIN dim d ON q.ticker_id = d.ticker_id WHERE q.trailingPE IS NOT NULL QUALIFY rank <= {n}),\n"
+            f"held AS (SELECT *, {later.format(what='max(f.ingestion_date)')} AS exit_date, "
+            f"{later.format(what='arg_max(f.currentPrice, f.ingestion_date)')} AS exit_price FROM picks p),\n"
+            f"tested AS (SELECT *, {R('exit_price / nullif(entry_price, 0) - 1', 6)} AS forward_return FROM held)"
+        )
+
+    out["B1_backtest_30_days"] = f"WITH {base_ctes()},\n{held('fact', 30, 1)}\nSELECT * FROM tested"
+    out["B1_backtest_90_days_gaps"] = f"WITH {base_ctes()},\n{gaps},\n{held('gaps', 90, 3)}\nSELECT * FROM tested"
+    out["B2_backtest_summary"] = (
+        f"WITH {base_ctes()},\n{held('fact', 30, 1)}\nSELECT sector, count(*) AS picks, count(forward_return) AS settled, "
+        f"count(*) FILTER (WHERE forward_return > 0) AS gained, {R('avg(forward_return)', 6)} AS mean_return FROM tested GROUP BY sector"
+    )
+
+    def compared(fact: str) -> str:
+        return (
+            "own AS (SELECT ticker_id, ingestion_date, currentPrice / nullif(lag(currentPrice) OVER (PARTITION BY ticker_id "
+            f"ORDER BY ingestion_date), 0) - 1 AS r FROM {fact} WHERE ticker_id IS NOT NULL),\n"
+            "market AS (SELECT ingestion_date, avg(r) AS index_return FROM own WHERE r IS NOT NULL GROUP BY ingestion_date),\n"
+            "both_sides AS (SELECT own.*, index_return, CASE WHEN r IS NOT NULL THEN index_return END AS m "
+            "FROM own LEFT JOIN market USING (ingestion_date))"
+        )
+
+    def ratios(over: str) -> tuple[str, str]:
+        beta = f"covar_samp(r, m) {over} / nullif(var_samp(m) {over}, 0)"
+        return R(beta, 6), R(f"covar_samp(r, m) {over} / nullif(stddev_samp(r) {over} * stddev_samp(m) {over}, 0)", 6)
+
+    beta, correlation = ratios(f"OVER ({w5})")
+    for name, fact in (("V4_rolling_beta_5", "fact"), ("V4_rolling_beta_5_gaps", "gaps")):
+        out[name] = (
+            f"WITH {base_ctes()},\n{gaps},\n{compared(fact)}\nSELECT ticker_id, ingestion_date, {R('r', 6)} AS daily_return, "
+            f"{R('index_return', 6)} AS index_return, {beta} AS beta_5, {correlation} AS correlation_5 FROM both_sides"
+        )
+    beta, correlation = ratios("")
+    out["V5_ticker_beta"] = (
+        f"WITH {base_ctes()},\n{compared('fact')}\nSELECT ticker_id, count(r) AS returns, {beta} AS beta, {correlation} AS correlation, "
+        f"{R('avg(r - index_return)', 6)} AS mean_excess_return FROM both_sides GROUP BY ticker_id"
+    )
     return out
 
 

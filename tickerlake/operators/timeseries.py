@@ -40,7 +40,7 @@ def snapshot_positions(fact: DataFrame, value: str = "currentPrice") -> DataFram
     )
 
 
-def _with_halo(pos: DataFrame, n: int, block: int) -> DataFrame:
+def with_halo(pos: DataFrame, n: int, block: int) -> DataFrame:
     """Each row in its own block, and once more in the next where it is one of
     the last ``n - 1`` of its block. Positions are computed once."""
     if block < n:
@@ -64,7 +64,7 @@ def moving_average(
 ) -> DataFrame:
     """V1: mean of ``value`` over the last ``n`` snapshots (the current one
     included; fewer at the start of a history), rounded to 6 decimals."""
-    framed = _with_halo(snapshot_positions(fact, value), n, block)
+    framed = with_halo(snapshot_positions(fact, value), n, block)
     w = Window.partitionBy(KEY, "_blk").orderBy("pos").rowsBetween(-(n - 1), 0)
     out = framed.withColumn(f"ma_{n}", F.round(F.avg(value).over(w), 6))
     alone = _keyless(fact, value).withColumn(f"ma_{n}", F.round(F.col(value).cast("double"), 6))
@@ -78,7 +78,7 @@ def volatility(
     (``value / previous value - 1``) over the last ``n`` returns, rounded to
     6 decimals. After a value of 0 there is no return. Needs ``n``
     predecessors, so the halo is ``n`` rows."""
-    framed = _with_halo(snapshot_positions(fact, value), n + 1, block)
+    framed = with_halo(snapshot_positions(fact, value), n + 1, block)
     by_pos = Window.partitionBy(KEY, "_blk").orderBy("pos")
     ret = F.try_divide(F.col(value), F.lag(value).over(by_pos)) - 1
     with_ret = framed.withColumn("daily_return", ret)

@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 from tickerlake.functions.features import transform
 from tickerlake.operators.coverage import is_empty_document
 from tickerlake.operators.dedup import latest_load
-from tickerlake.operators.ledger import FAILED, SUCCESS
+from tickerlake.operators.ledger import FAILED, LOADED, SUCCESS, loaded_not_done
+from tickerlake.plans.views import refresh_catalog
 from tickerlake.schema import (
     DIMENSION_COLUMNS,
     FLAT_STORED_SCHEMA,
@@ -33,16 +34,18 @@ from tickerlake.schema import (
     UPDATE_COLUMNS_FULL,
 )
 from tickerlake.sinks.landing import archive_dates
-from tickerlake.sinks.ledger import log_run
+from tickerlake.sinks.latest import update_latest
+from tickerlake.sinks.ledger import log_run, read_ledger
 from tickerlake.sinks.tables import (
     read_dates,
     read_flat_loads,
     refresh_dimension,
+    table_exists,
     update_dimension,
     upsert_fact,
     write_flat,
 )
-from tickerlake.sources.snapshots import landed_dates, read_all_snapshots, read_snapshots
+from tickerlake.sources.snapshots import landed_files, read_all_snapshots, read_snapshots
 
 DAG_ID = "daily_snapshot_load"
 
@@ -65,6 +68,10 @@ class Warehouse:
     def dimension(self) -> str:
         return f"{self.root}/dimension"
 
+    @property
+    def latest(self) -> str:
+        return f"{self.root}/latest"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
@@ -105,6 +112,28 @@ def fold_dimension(
         update_dimension(spark, rows, warehouse.dimension, history, dates, mode)
 
 
+def _landed(spark: SparkSession, raw_base: str, days: Sequence[dt.date] | None) -> dict[dt.date, tuple[int, dt.datetime]]:
+    """Documents and time of the newest of each date that has any: one value a day."""
+    named = None if days is None else [d.isoformat() for d in days]
+    found = table_exists(lambda: landed_files(spark, raw_base, named))
+    return {} if found is None else {r[0]: (r[1], r[2]) for r in found.collect()}
+
+
+def _resumable(
+    spark: SparkSession, warehouse: Warehouse, dag_id: str, days: Sequence[dt.date], landed: dict
+) -> tuple[list[dt.date], list[dt.date]]:
+    """Of ``days``: those an earlier run has loaded but not archived, without newer documents;
+    and those of the others whose documents came after such a run."""
+    ledger = table_exists(lambda: read_ledger(spark, warehouse.ledger).where(F.col("process_date").isin(list(days))))
+    if ledger is None:
+        return [], []
+    done, late = [], []
+    for r in loaded_not_done(ledger, dag_id).collect():  # one value a day
+        newest = landed.get(r["process_date"], (0, None))[1]
+        (late if newest is not None and newest > r["loaded_ts"] else done).append(r["process_date"])
+    return done, late
+
+
 def run_daily_load(
     spark: SparkSession,
     raw_base: str,
@@ -116,46 +145,90 @@ def run_daily_load(
     dimension_refresh: str = "incremental",
     dag_id: str = DAG_ID,
     archive_base: str | None = None,
+    catalog: str | None = None,
+    maintain_latest: bool = False,
 ) -> LoadResult:
     """Load ``process_dates`` (a date, a list, or ``None`` for every date that
     has landed documents) from ``raw_base`` into the warehouse tables.
 
     The flat rows are written once and read back from parquet for the
     upsert: the raw JSON is scanned exactly once, and the upsert's lineage
-    starts at the compact flat files, not at thousands of small documents.
+    starts at the compact flat files, not at thousands of small documents. How many
+    documents a date has is known from the listing and decides by how many tasks it is written.
 
     ``dimension_refresh`` is ``incremental`` (daily cost proportional to the
     number of tickers) or ``full`` (rebuilt from the whole flat history); both
-    give the same dimension. With ``archive_base`` the dates' raw folders move there
-    after the tables are written.
+    give the same dimension. With ``maintain_latest`` the latest rows a ticker are kept current
+    too, with ``catalog`` the tables and views of that database. With ``archive_base`` the dates'
+    raw folders move there after the tables are written.
+
+    A run that failed can be repeated. Before it archives, a run notes its dates as LOADED in the
+    ledger; a later run doesn't load them again (part of their documents may have moved) and goes on with
+    archiving, unless newer documents have landed: these are then appended.
     """
     if dimension_refresh not in ("incremental", "full"):
         raise ValueError(f"unknown dimension refresh {dimension_refresh!r}")
     given = [process_dates] if isinstance(process_dates, str) else None if process_dates is None else list(process_dates)
     days: list[dt.date] = []
     try:
-        if given is None:
-            days = sorted(r[0] for r in landed_dates(spark, raw_base).collect())  # one value per day
-            raw = read_all_snapshots(spark, raw_base, version=True)
-        else:
+        if given is not None:
             days = sorted({dt.date.fromisoformat(d) for d in given})
-            raw = read_snapshots(spark, raw_base, [d.isoformat() for d in days], version=True)
-        seen, load_id = Observation("documents"), uuid.uuid4().hex
-        write_flat(transform(usable_documents(raw, seen)), warehouse.flat, flat_mode, load_id)
-        loads = read_dates(spark, warehouse.flat, FLAT_STORED_SCHEMA, days)
-        if loads is None:  # nothing was written for these dates
-            loads = spark.createDataFrame([], FLAT_STORED_SCHEMA)
-        rows = latest_load(loads)
-        upsert_fact(spark, rows, warehouse.fact, update_columns, dates=days)
-        fold_dimension(spark, warehouse, rows, days, dimension_mode, dimension_refresh)
-        if loads.where(F.col(LOAD_ID) == load_id).limit(1).count():
-            documents, empty = seen.get["documents"], seen.get["empty"]
-        else:  # no document is usable: Spark drops the empty branch, and the counts with it
-            documents = empty = raw.count()
+        landed = _landed(spark, raw_base, None if given is None else days)
+        if given is None:
+            days = sorted(landed)
+        done, late = _resumable(spark, warehouse, dag_id, days, landed) if archive_base is not None else ([], [])
+        open_days = [d for d in days if d not in set(done)]
+        documents = empty = 0
+        for dates, mode in (([d for d in open_days if d not in set(late)], flat_mode), (late, "append")):
+            if dates:
+                counts = _load(
+                    spark, raw_base, warehouse, dates, {d: landed[d][0] for d in dates if d in landed}, update_columns,
+                    mode, dimension_mode, dimension_refresh, given is None, maintain_latest)
+                documents, empty = documents + counts[0], empty + counts[1]
+        if catalog is not None:
+            refresh_catalog(spark, warehouse.fact, warehouse.dimension, days, catalog)
         if archive_base is not None:
+            if open_days:
+                log_run(spark, warehouse.ledger, dag_id, LOADED, open_days)
             archive_dates(spark, raw_base, archive_base, days)
         log_run(spark, warehouse.ledger, dag_id, SUCCESS, days)
         return LoadResult(tuple(days), documents, empty)
     except Exception:
         log_run(spark, warehouse.ledger, dag_id, FAILED, days)
         raise
+
+
+def _load(
+    spark: SparkSession,
+    raw_base: str,
+    warehouse: Warehouse,
+    days: list[dt.date],
+    sizes: dict[dt.date, int],
+    update_columns: Sequence[str],
+    flat_mode: str,
+    dimension_mode: str,
+    dimension_refresh: str,
+    whole_landing: bool,
+    maintain_latest: bool,
+) -> tuple[int, int]:
+    """Documents of ``days`` through all tables; how many there were, and how many empty."""
+    if whole_landing:
+        # Only dates seen in the listing: what lands meanwhile waits for the next run.
+        raw = read_all_snapshots(spark, raw_base, version=True).where(F.col("ingestion_date").isin(days))
+    else:
+        raw = read_snapshots(spark, raw_base, [d.isoformat() for d in days], version=True)
+    seen, load_id = Observation("documents"), uuid.uuid4().hex
+    write_flat(transform(usable_documents(raw, seen)), warehouse.flat, flat_mode, load_id, sizes)
+    loads = read_dates(spark, warehouse.flat, FLAT_STORED_SCHEMA, days)
+    if loads is None:  # nothing was written for these dates
+        loads = spark.createDataFrame([], FLAT_STORED_SCHEMA)
+    rows = latest_load(loads)
+    upsert_fact(spark, rows, warehouse.fact, update_columns, dates=days, sizes=sizes)
+    fold_dimension(spark, warehouse, rows, days, dimension_mode, dimension_refresh)
+    if maintain_latest:
+        update_latest(spark, warehouse.fact, warehouse.latest, days)
+    if loads.where(F.col(LOAD_ID) == load_id).limit(1).count():
+        return seen.get["documents"], seen.get["empty"]
+    # No document is usable: Spark drops the empty branch, and the counts with it.
+    n = raw.count()
+    return n, n

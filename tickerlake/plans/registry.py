@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions import features as feat
+from tickerlake.operators.backtest import backtest, backtest_summary
+from tickerlake.operators.benchmark import rolling_beta, ticker_beta
 from tickerlake.operators.coverage import coverage_summary
 from tickerlake.functions.naming import date_from_path
 from tickerlake.operators.dedup import dedup_by_key, latest_load
@@ -39,6 +41,7 @@ from tickerlake.plans.views import (
 from tickerlake.schema import KEY_COLUMNS, UPDATE_COLUMNS_FULL, UPDATE_COLUMNS_SCHEDULED
 from tickerlake.session import LISTING_PARALLELISM, scratch_path
 from tickerlake.sinks.landing import land_snapshots
+from tickerlake.sinks.latest import read_latest, refresh_latest, update_latest
 from tickerlake.sinks.ledger import read_ledger
 from tickerlake.sinks.tables import (
     dates_of,
@@ -294,14 +297,73 @@ def _upsert(update_columns) -> Query:
     def q(spark: SparkSession, sf: str) -> DataFrame:
         """Target: revision-0 rows of line numbers 1–4; source: revision-1 rows
         of line numbers 3–7 (3–4 match, 5–7 are new, 1–2 stay untouched)."""
-        path = scratch_path(spark, "fact")
+        return read_fact(spark, _upserted(spark, sf, update_columns)[0])
+
+    return q
+
+
+def _upserted(spark: SparkSession, sf: str, update_columns) -> tuple[str, str]:
+    """The fact table after two loads, and the latest rows kept current with each; once per application."""
+
+    def build() -> tuple[str, str]:
+        path, latest = scratch_path(spark, "fact"), scratch_path(spark, "latest")
         first = deduped(spark, sf, 0).where(F.col("l_linenumber") <= 4)
         second = deduped(spark, sf, 1).where(F.col("l_linenumber") >= 3)
-        upsert_fact(spark, first.drop(*LINEAGE_ORDER), path, dates=_load_dates(spark, sf, 1, 4))
-        upsert_fact(spark, second.drop(*LINEAGE_ORDER), path, update_columns, dates=_load_dates(spark, sf, 3, 7))
-        return read_fact(spark, path)
+        days, again = _load_dates(spark, sf, 1, 4), _load_dates(spark, sf, 3, 7)
+        # The first load's dates come in two halves: the table is built, then appended to, then reloaded.
+        early = days[: len(days) // 2]
+        upsert_fact(spark, first.drop(*LINEAGE_ORDER), path, dates=days)
+        keep_latest = update_columns == UPDATE_COLUMNS_FULL
+        if keep_latest:
+            refresh_latest(spark, path, latest, dates=early)
+            update_latest(spark, path, latest, days[len(early) :])
+        upsert_fact(spark, second.drop(*LINEAGE_ORDER), path, update_columns, dates=again)
+        if keep_latest:
+            update_latest(spark, path, latest, again)
+        return path, latest
 
-    return q
+    return _once(spark, sf, f"upserted-{len(update_columns)}", build)  # type: ignore[return-value]
+
+
+def j2_maintained_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest rows as kept load by load: an append and a reload."""
+    return read_latest(spark, _upserted(spark, sf, UPDATE_COLUMNS_FULL)[1])
+
+
+def q4_maintained_latest(spark: SparkSession, sf: str) -> DataFrame:
+    """The screener over the maintained latest rows: no scan of the history."""
+    fact, latest = _upserted(spark, sf, UPDATE_COLUMNS_FULL)
+    dim = read_dimension(spark, warehouse(spark, sf).dimension)
+    return undervalued_stocks_view(read_fact(spark, fact), dim, latest=read_latest(spark, latest))
+
+
+def _held(spark: SparkSession, sf: str) -> DataFrame:
+    return backtest(fact_rows(spark, sf), dimension_latest(flat_rows(spark, sf)), horizon_days=30)
+
+
+def b1_backtest(spark: SparkSession, sf: str) -> DataFrame:
+    return _held(spark, sf)
+
+
+def b1_backtest_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    """Three picks a sector, with prices of 0 and facts without a ticker."""
+    return backtest(_gaps(spark, sf), dimension_latest(flat_rows(spark, sf)), horizon_days=90, top_n=3)
+
+
+def b2_backtest_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return backtest_summary(_held(spark, sf))
+
+
+def v4_rolling_beta(spark: SparkSession, sf: str) -> DataFrame:
+    return rolling_beta(read_fact(spark, warehouse(spark, sf).fact), 5, block=16)
+
+
+def v4_gaps(spark: SparkSession, sf: str) -> DataFrame:
+    return rolling_beta(_gaps(spark, sf), 5, block=16)
+
+
+def v5_ticker_beta(spark: SparkSession, sf: str) -> DataFrame:
+    return ticker_beta(fact_rows(spark, sf), block=16)
 
 
 def _load_dates(spark: SparkSession, sf: str, low: int, high: int) -> list:
@@ -527,4 +589,12 @@ QUERIES: dict[str, Query] = {
     "V1_moving_average_5": v1_moving_average,
     "V2_volatility_5": v2_volatility,
     "V3_relative_52w_change": v3_relative_52w,
+    "J2_maintained_latest_rows": j2_maintained_latest,
+    "Q4_maintained_latest": q4_maintained_latest,
+    "B1_backtest_30_days": b1_backtest,
+    "B1_backtest_90_days_gaps": b1_backtest_gaps,
+    "B2_backtest_summary": b2_backtest_summary,
+    "V4_rolling_beta_5": v4_rolling_beta,
+    "V4_rolling_beta_5_gaps": v4_gaps,
+    "V5_ticker_beta": v5_ticker_beta,
 }

@@ -12,13 +12,16 @@ size at run time) and shuffles both sides on ``ticker_id`` beyond that.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.operators.latest import latest_rows
 from tickerlake.operators.ranking import top_n_per_group
 from tickerlake.schema import FACT_SCHEMA
-from tickerlake.sinks.tables import DIMENSION_STORED_SCHEMA
+from tickerlake.sinks.tables import CLUSTER_COLUMN, DIMENSION_BUCKETS, DIMENSION_STORED_SCHEMA
 
 # --- Fixed values: view column lists (warehouse-file form). ---
 FUNDAMENTAL_FACT_COLUMNS = [
@@ -114,7 +117,9 @@ def analyst_view(fact: DataFrame, dim: DataFrame) -> DataFrame:
     )
 
 
-def undervalued_stocks_view(fact: DataFrame, dim: DataFrame, top_n: int = 1) -> DataFrame:
+def undervalued_stocks_view(
+    fact: DataFrame, dim: DataFrame, top_n: int = 1, latest: DataFrame | None = None
+) -> DataFrame:
     """Q4: per sector, the ticker with the lowest trailing PE (then highest
     revenue growth, then ticker id) among every ticker's latest snapshot.
 
@@ -122,9 +127,12 @@ def undervalued_stocks_view(fact: DataFrame, dim: DataFrame, top_n: int = 1) ->
     one scan (the fact's key is unique) → drop NULL PE (a ticker whose latest
     row has no PE is out) → inner join with the dimension → row_number per
     sector, limited to ``top_n`` on both sides of the shuffle. Tickers with a
-    NULL sector rank as one group.
+    NULL sector rank as one group. With ``latest`` (the maintained latest rows)
+    the fact is not read: the screener's cost is the tickers, not the history.
     """
-    latest = latest_rows(fact.select(*SCREENER_FACT_COLUMNS), unique=True).where(F.col("trailingPE").isNotNull())
+    if latest is None:
+        latest = latest_rows(fact.select(*SCREENER_FACT_COLUMNS), unique=True)
+    latest = latest.select(*SCREENER_FACT_COLUMNS).where(F.col("trailingPE").isNotNull())
     q, d = latest.alias("q"), dim.alias("d")
     joined = q.join(d, F.col("q.ticker_id") == F.col("d.ticker_id"), "inner").select(
         F.col("d.sector").alias("sector"), *[_q(c) for c in SCREENER_FACT_COLUMNS]
@@ -179,23 +187,64 @@ def view_statements(fact: str, dimension: str) -> dict[str, str]:
     }
 
 
+def _catalog_tables(fact_path: str, dimension_path: str) -> tuple:
+    return (
+        ("quantitative_table", fact_path, FACT_SCHEMA, "ingestion_date"),
+        ("dimension_table", dimension_path, DIMENSION_STORED_SCHEMA, "bucket"),
+    )
+
+
+def refresh_catalog(spark: SparkSession, fact_path: str, dimension_path: str, dates: Iterable[dt.date], database: str) -> None:
+    """K5 after a load: the catalog's tables know the partitions of ``dates`` (and all of the dimension's buckets).
+
+    Partitions are added by name, as far as their folders exist, and rewritten ones read anew. Nothing is
+    dropped, so readers of the views never fail, and no other partition is looked at.
+    """
+    for name, path, _, by in _catalog_tables(fact_path, dimension_path):
+        table = f"{database}.{name}"
+        wanted = [d.isoformat() for d in sorted(set(dates))] if by == "ingestion_date" else [str(b) for b in range(DIMENSION_BUCKETS)]
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        there = {f.getPath().getName() for f in files.listStatus(folder)} if files.exists(folder) else set()
+        found = [v for v in wanted if f"{by}={v}" in there]
+        for lo in range(0, len(found), 500):
+            parts = " ".join(f"PARTITION ({by}='{v}')" for v in found[lo : lo + 500])
+            spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {parts}")
+        spark.catalog.refreshTable(table)
+
+
 def store_views(spark: SparkSession, fact_path: str, dimension_path: str, database: str = "default") -> list[str]:
-    """K5 in the catalog: tables over the stored files and the four views, replaced on each call.
+    """K5 in the catalog: tables over the stored files, with all their partitions, and the four views.
 
-    What a persistent catalog holds outlives the session. The tables' new
-    partitions are found on each call.
+    What a persistent catalog holds outlives the session. Tables that are there already stay, and
+    views are replaced in place; loads that name the database keep them current (``refresh_catalog``).
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, path, schema, by in (
-        ("quantitative_table", fact_path, FACT_SCHEMA, "ingestion_date"),
-        ("dimension_table", dimension_path, DIMENSION_STORED_SCHEMA, "bucket"),
-    ):
+    for name, path, schema, by in _catalog_tables(fact_path, dimension_path):
         table = f"{database}.{name}"
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY ({by}) LOCATION '{path}'")
         spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.catalog.refreshTable(table)
     names = [f"{database}.{n}" for n in view_statements("", "")]
     for name, statement in view_statements(f"{database}.quantitative_table", f"{database}.dimension_table").items():
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {statement}")
     return names
+
+
+def store_clustered(spark: SparkSession, fact: DataFrame, dimension: DataFrame, database: str, buckets: int) -> list[str]:
+    """K2 clustered by ticker: fact and dimension as catalog tables bucketed and sorted by ticker.
+
+    Joins and aggregates by ticker over these tables shuffle neither side. They are copies, written anew on
+    each call; the partitioned fact stays the table that loads write. Returns the tables' names.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    names = []
+    for name, rows, order in (
+        ("quantitative_by_ticker", fact, [CLUSTER_COLUMN, "ingestion_date"]), ("dimension_by_ticker", dimension, [CLUSTER_COLUMN]),
+    ):
+        # One task a bucket, so a bucket is one file and its order holds.
+        dealt = rows.repartition(buckets, CLUSTER_COLUMN)
+        dealt.write.mode("overwrite").bucketBy(buckets, CLUSTER_COLUMN).sortBy(*order).saveAsTable(f"{database}.{name}")
+        names.append(f"{database}.{name}")
+    return names

@@ -10,7 +10,7 @@ reads as an empty frame and no footer has to be opened to learn the columns.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -50,28 +50,50 @@ def _require_date(df: DataFrame) -> DataFrame:
     )
 
 
-def _clustered(df: DataFrame, files_per_date: int = 1) -> DataFrame:
+#: Rows of a date that one file holds, about; a date with more is split by ticker.
+ROWS_PER_FILE = 1_000_000
+
+
+def day_sizes(df: DataFrame) -> dict[dt.date, int]:
+    """Rows a date: one value a day, bounded by the calendar."""
+    return {r[0]: r[1] for r in df.groupBy(PARTITION_COLUMN).count().collect()}
+
+
+def _clustered(df: DataFrame, sizes: Mapping[dt.date, int] | None = None) -> DataFrame:
     """Lay rows out for a date-partitioned write.
 
-    One hash shuffle on the date: a date's rows meet in one task, or in
-    ``files_per_date`` tasks by ticker, and make that many files instead of one
+    A date of up to ROWS_PER_FILE rows meets in one task and makes one file, instead of one
     per (task, date) pair. The number of tasks is the session's shuffle
     partitions, stated so that AQE keeps it: with many small dates the cost is
     the files, not the bytes, and coalescing by bytes would leave one task
-    to write them all. Dates don't skew, as a day has a row a ticker. Within a task,
+    to write them all. Larger dates, by ``sizes`` (rows a date, an estimate
+    will do), are dealt by ranges of (date, ticker), a range for so many rows, so one day
+    is many tasks' work. Within a task,
     rows are sorted by (date, ticker): one open file at a time, and
     ticker-ordered row groups whose min/max statistics let readers skip by ticker.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salt = [F.pmod(F.xxhash64(CLUSTER_COLUMN), F.lit(files_per_date))] if files_per_date > 1 else []
-    return df.repartition(tasks, PARTITION_COLUMN, *salt).sortWithinPartitions(PARTITION_COLUMN, CLUSTER_COLUMN)
+    order = [PARTITION_COLUMN, CLUSTER_COLUMN]
+    large = {d: n for d, n in (sizes or {}).items() if d is not None and n > ROWS_PER_FILE}
+    if not large:
+        return df.repartition(tasks, PARTITION_COLUMN).sortWithinPartitions(*order)
+    is_large = F.coalesce(F.col(PARTITION_COLUMN).isin(list(large)), F.lit(False))
+    ranges = sum(-(-n // ROWS_PER_FILE) for n in large.values())
+    split = df.where(is_large).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    if len(large) == len(sizes):
+        return split
+    return split.unionByName(df.where(~is_large).repartition(tasks, PARTITION_COLUMN).sortWithinPartitions(*order))
 
 
 # ------------------------------------------------------------------- K1 --
 
-def write_flat(df: DataFrame, path: str, mode: str = "append", load_id: str | None = None) -> None:
+def write_flat(
+    df: DataFrame, path: str, mode: str = "append", load_id: str | None = None, sizes: Mapping[dt.date, int] | None = None
+) -> None:
     """K1: write flat rows partitioned by date, stamped with load time and id.
 
+    ``sizes`` (rows a date, see ``day_sizes``) lets large dates be written by many tasks.
+
     ``append`` adds rows as the upstream job does; a retried load then holds
     its rows twice, and R5 by load time picks the later before the upsert.
     ``replace_dates`` overwrites exactly the dates present in ``df`` (dynamic
@@ -81,7 +103,7 @@ def write_flat(df: DataFrame, path: str, mode: str = "append", load_id: str | No
     stamped = _require_date(df).withColumns(
         {LOAD_TIME: F.current_timestamp(), LOAD_ID: F.lit(load_id).cast("string"), DOC_VERSION: version}
     )
-    writer = _clustered(stamped).write.partitionBy(PARTITION_COLUMN)
+    writer = _clustered(stamped, sizes).write.partitionBy(PARTITION_COLUMN)
     if mode == "append":
         writer.mode("append").parquet(path)
     elif mode == "replace_dates":
@@ -175,6 +197,7 @@ def upsert_fact(
     fact_path: str,
     update_columns: Sequence[str] = tuple(UPDATE_COLUMNS_FULL),
     dates: Sequence[dt.date] | None = None,
+    sizes: Mapping[dt.date, int] | None = None,
 ) -> None:
     """K3: merge flat rows into the fact table by (ticker_id, ingestion_date).
 
@@ -182,7 +205,8 @@ def upsert_fact(
     their folders, and only those are rewritten (dynamic partition overwrite).
     Untouched dates are never read nor written. ``dates`` may be passed when
     the caller knows them (the daily load does); otherwise they are taken from
-    the source, which costs an evaluation of it.
+    the source, which costs an evaluation of it. ``sizes`` are the source's rows a
+    date, where the caller knows them: large dates are then written by many tasks.
 
     If no loaded date has a fact partition yet nothing can match, and the rows
     are inserted: no target read, no join, no shuffle but the write's. A normal daily run (a new day) is therefore a plain partitioned
@@ -206,7 +230,7 @@ def upsert_fact(
     else:
         merged = src.select(*FACT_SCHEMA.fieldNames())
     (
-        _clustered(merged)
+        _clustered(merged, sizes)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COLUMN)
