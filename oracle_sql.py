@@ -598,6 +598,29 @@ def oracle_queries() -> dict[str, str]:
         "FROM last q JOIN dim d ON q.ticker_id = d.ticker_id WHERE q.trailingPE IS NOT NULL) WHERE rank = 1"
     )
 
+    out["K5_catalog_views_after_next_load"] = (
+        f"WITH {base_ctes()},\n{merged}\nSELECT q.ticker_id, q.ingestion_date, d.sector, d.industry, " + _cols(FUNDAMENTAL, "q.")
+        + " FROM merged q LEFT JOIN dim d ON q.ticker_id = d.ticker_id"
+    )
+    out["K2_clustered_fundamental_view"] = FUNDAMENTAL_SQL
+    out["K1_flat_split_days"] = out["K1_flat_append"]
+    out["R3_stream_versions"] = out["K3_upsert"]
+    out["F5_quarantine"] = with_base(
+        "SELECT ingestion_date, ticker_id, 'empty' AS reason FROM dedup WHERE l_orderkey % 29 = 0")
+    out["Q5_retry_after_partial_archive"] = with_base(
+        "SELECT ingestion_date, 1 AS failed, 1 AS succeeded, count(*) AS files, count(*) AS facts FROM fact GROUP BY ingestion_date")
+    out["R1_outages"] = (
+        f"WITH raw AS ({raw_select()}), {RAW_DEDUP},\n"
+        "due AS (SELECT *, row_number() OVER (ORDER BY ingestion_date) AS no FROM "
+        "(SELECT DISTINCT CAST(o_orderdate AS DATE) AS ingestion_date FROM orders)),\n"
+        "u AS (SELECT DISTINCT 'P' || CAST(p_partkey AS VARCHAR) AS ticker_id FROM part),\n"
+        f"ok AS (SELECT DISTINCT ticker_id, ingestion_date FROM raw_dedup WHERE NOT {EMPTY_DOC}),\n"
+        "missed AS (SELECT u.ticker_id, due.ingestion_date, no, no - row_number() OVER (PARTITION BY u.ticker_id ORDER BY no) AS run "
+        "FROM u CROSS JOIN due ANTI JOIN ok ON ok.ticker_id = u.ticker_id AND ok.ingestion_date = due.ingestion_date)\n"
+        "SELECT ticker_id, min(ingestion_date) AS first_date, max(ingestion_date) AS last_date, count(*) AS days "
+        "FROM missed GROUP BY ticker_id, run"
+    )
+
     def held(fact: str, horizon: int, n: int) -> str:
         later = (
             f"(SELECT {{what}} FROM {fact} f WHERE f.ticker_id = p.ticker_id AND f.currentPrice IS NOT NULL "

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions.features import transform
-from tickerlake.operators.coverage import is_empty_document
+from tickerlake.operators.coverage import CORRUPT_TEXT, is_empty_document, quarantined
 from tickerlake.operators.dedup import latest_load
 from tickerlake.operators.ledger import FAILED, LOADED, SUCCESS, loaded_not_done
 from tickerlake.plans.views import refresh_catalog
@@ -33,6 +33,7 @@ from tickerlake.schema import (
     PAYLOAD_COLUMNS,
     UPDATE_COLUMNS_FULL,
 )
+from tickerlake.session import scratch_path
 from tickerlake.sinks.landing import archive_dates
 from tickerlake.sinks.latest import update_latest
 from tickerlake.sinks.ledger import log_run, read_ledger
@@ -72,6 +73,15 @@ class Warehouse:
     def latest(self) -> str:
         return f"{self.root}/latest"
 
+    @property
+    def stages(self) -> str:
+        """Ledger rows of runs that have loaded their dates and not finished yet."""
+        return f"{self.root}/stages"
+
+    @property
+    def quarantine(self) -> str:
+        return f"{self.root}/quarantine"
+
     @property
     def ledger(self) -> str:
         return f"{self.root}/ledger"
@@ -124,11 +134,13 @@ def _resumable(
 ) -> tuple[list[dt.date], list[dt.date]]:
     """Of ``days``: those an earlier run has loaded but not archived, without newer documents;
     and those of the others whose documents came after such a run."""
-    ledger = table_exists(lambda: read_ledger(spark, warehouse.ledger).where(F.col("process_date").isin(list(days))))
-    if ledger is None:
+    stages = table_exists(lambda: read_ledger(spark, warehouse.stages))
+    if stages is None:
         return [], []
+    ledger = table_exists(lambda: read_ledger(spark, warehouse.ledger))
+    runs = (stages if ledger is None else stages.unionByName(ledger)).where(F.col("process_date").isin(list(days)))
     done, late = [], []
-    for r in loaded_not_done(ledger, dag_id).collect():  # one value a day
+    for r in loaded_not_done(runs, dag_id).collect():  # one value a day
         newest = landed.get(r["process_date"], (0, None))[1]
         (late if newest is not None and newest > r["loaded_ts"] else done).append(r["process_date"])
     return done, late
@@ -147,6 +159,7 @@ def run_daily_load(
     archive_base: str | None = None,
     catalog: str | None = None,
     maintain_latest: bool = False,
+    quarantine: bool = False,
 ) -> LoadResult:
     """Load ``process_dates`` (a date, a list, or ``None`` for every date that
     has landed documents) from ``raw_base`` into the warehouse tables.
@@ -159,11 +172,12 @@ def run_daily_load(
     ``dimension_refresh`` is ``incremental`` (daily cost proportional to the
     number of tickers) or ``full`` (rebuilt from the whole flat history); both
     give the same dimension. With ``maintain_latest`` the latest rows a ticker are kept current
-    too, with ``catalog`` the tables and views of that database. With ``archive_base`` the dates'
+    too, with ``quarantine`` documents that carry nothing are listed by date, ticker and reason, from the
+    same parse; with ``catalog`` the tables and views of that database. With ``archive_base`` the dates'
     raw folders move there after the tables are written.
 
-    A run that failed can be repeated. Before it archives, a run notes its dates as LOADED in the
-    ledger; a later run doesn't load them again (part of their documents may have moved) and goes on with
+    A run that failed can be repeated. Before it archives, a run notes its dates as LOADED in
+    ``stages``; a later run doesn't load them again (part of their documents may have moved) and goes on with
     archiving, unless newer documents have landed: these are then appended.
     """
     if dimension_refresh not in ("incremental", "full"):
@@ -183,13 +197,13 @@ def run_daily_load(
             if dates:
                 counts = _load(
                     spark, raw_base, warehouse, dates, {d: landed[d][0] for d in dates if d in landed}, update_columns,
-                    mode, dimension_mode, dimension_refresh, given is None, maintain_latest)
+                    mode, dimension_mode, dimension_refresh, given is None, maintain_latest, quarantine)
                 documents, empty = documents + counts[0], empty + counts[1]
         if catalog is not None:
             refresh_catalog(spark, warehouse.fact, warehouse.dimension, days, catalog)
         if archive_base is not None:
             if open_days:
-                log_run(spark, warehouse.ledger, dag_id, LOADED, open_days)
+                log_run(spark, warehouse.stages, dag_id, LOADED, open_days)
             archive_dates(spark, raw_base, archive_base, days)
         log_run(spark, warehouse.ledger, dag_id, SUCCESS, days)
         return LoadResult(tuple(days), documents, empty)
@@ -210,13 +224,25 @@ def _load(
     dimension_refresh: str,
     whole_landing: bool,
     maintain_latest: bool,
+    quarantine: bool,
 ) -> tuple[int, int]:
     """Documents of ``days`` through all tables; how many there were, and how many empty."""
+    corrupt = CORRUPT_TEXT if quarantine else None
     if whole_landing:
         # Only dates seen in the listing: what lands meanwhile waits for the next run.
-        raw = read_all_snapshots(spark, raw_base, version=True).where(F.col("ingestion_date").isin(days))
+        raw = read_all_snapshots(spark, raw_base, corrupt_column=corrupt, version=True).where(F.col("ingestion_date").isin(days))
     else:
-        raw = read_snapshots(spark, raw_base, [d.isoformat() for d in days], version=True)
+        raw = read_snapshots(spark, raw_base, [d.isoformat() for d in days], corrupt_column=corrupt, version=True)
+    if quarantine:
+        # Parsed once: both what goes on and what doesn't are read from here.
+        staging = scratch_path(spark, "parsed")
+        raw.write.parquet(staging)
+        parsed = spark.read.schema(raw.schema).parquet(staging)
+        raw = parsed.drop(CORRUPT_TEXT)
+        (
+            quarantined(parsed).write.partitionBy("ingestion_date").mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic").parquet(warehouse.quarantine)
+        )
     seen, load_id = Observation("documents"), uuid.uuid4().hex
     write_flat(transform(usable_documents(raw, seen)), warehouse.flat, flat_mode, load_id, sizes)
     loads = read_dates(spark, warehouse.flat, FLAT_STORED_SCHEMA, days)

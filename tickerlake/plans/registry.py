@@ -15,25 +15,28 @@ import os
 import threading
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerlake.functions import features as feat
 from tickerlake.operators.backtest import backtest, backtest_summary
 from tickerlake.operators.benchmark import rolling_beta, ticker_beta
-from tickerlake.operators.coverage import coverage_summary
+from tickerlake.operators.coverage import CORRUPT_TEXT, coverage_summary, landing_outages, quarantined
 from tickerlake.functions.naming import date_from_path
 from tickerlake.operators.dedup import dedup_by_key, latest_load
 from tickerlake.operators.dimension import dimension_distinct, dimension_latest
 from tickerlake.operators.latest import latest_dates, latest_rows
-from tickerlake.operators.ledger import dates_to_process, ledger_status
+from tickerlake.operators.ledger import FAILED, SUCCESS, dates_to_process, ledger_status
 from tickerlake.operators.timeseries import moving_average, relative_52w_change, volatility
 from tickerlake.plans.daily_load import Warehouse, run_daily_load
 from tickerlake.plans.market import LINEAGE_ORDER, ledger_from_orders, raw_snapshots
 from tickerlake.plans.views import (
     analyst_view,
     fundamental_view,
+    refresh_catalog,
     register_views,
+    store_clustered,
     store_views,
     technical_view,
     undervalued_stocks_view,
@@ -45,6 +48,7 @@ from tickerlake.sinks.latest import read_latest, refresh_latest, update_latest
 from tickerlake.sinks.ledger import read_ledger
 from tickerlake.sinks.tables import (
     dates_of,
+    day_sizes,
     read_dimension,
     read_fact,
     read_flat,
@@ -55,7 +59,7 @@ from tickerlake.sinks.tables import (
     upsert_fact,
     write_flat,
 )
-from tickerlake.sources.snapshots import read_all_snapshots, read_snapshots
+from tickerlake.sources.snapshots import landed_files, read_all_snapshots, read_snapshots
 from tickerlake.sources.universe import ticker_universe
 from tickerlake.streaming.incremental import start_incremental_load
 
@@ -84,7 +88,7 @@ def fact_rows(spark: SparkSession, sf: str) -> DataFrame:
     return to_fact_columns(deduped(spark, sf))
 
 
-_lock = threading.Lock()
+_lock = threading.RLock()  # a built table may need another
 _built: dict[tuple[str, str, str], object] = {}
 
 
@@ -312,19 +316,104 @@ def _upserted(spark: SparkSession, sf: str, update_columns) -> tuple[str, str]:
         days, again = _load_dates(spark, sf, 1, 4), _load_dates(spark, sf, 3, 7)
         # The first load's dates come in two halves: the table is built, then appended to, then reloaded.
         early = days[: len(days) // 2]
-        upsert_fact(spark, first.drop(*LINEAGE_ORDER), path, dates=days)
         keep_latest = update_columns == UPDATE_COLUMNS_FULL
+        dimension, database = warehouse(spark, sf).dimension if keep_latest else "", _database(path)
+        upsert_fact(spark, first.drop(*LINEAGE_ORDER), path, dates=days)
         if keep_latest:
             refresh_latest(spark, path, latest, dates=early)
             update_latest(spark, path, latest, days[len(early) :])
+            store_views(spark, path, dimension, database)
         upsert_fact(spark, second.drop(*LINEAGE_ORDER), path, update_columns, dates=again)
         if keep_latest:
             update_latest(spark, path, latest, again)
+            refresh_catalog(spark, path, dimension, again, database)
         return path, latest
 
     return _once(spark, sf, f"upserted-{len(update_columns)}", build)  # type: ignore[return-value]
 
 
+def _database(path: str) -> str:
+    """A database of its own for each built table."""
+    return "market_" + path.rsplit("-", 1)[-1]
+
+
+def k5_after_next_load(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored view after a load that followed its making: nothing was stored anew."""
+    path, _ = _upserted(spark, sf, UPDATE_COLUMNS_FULL)
+    return spark.sql(f"SELECT * FROM {_database(path)}.fundamental_view")
+
+
+def k2_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """The fundamental view over tables bucketed by ticker."""
+    wh = warehouse(spark, sf)
+    names = store_clustered(spark, *_views(spark, sf), _database(wh.root), buckets=8)
+    return fundamental_view(*[spark.table(n) for n in names])
+
+
+def k1_split_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Days of more than ten rows written by several tasks."""
+    path = scratch_path(spark, "flat")
+    rows = flat_rows(spark, sf)
+    write_flat(rows, path, "append", sizes=day_sizes(rows), rows_per_file=10)
+    return read_flat(spark, path)
+
+
+def f5_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that carry nothing, from the archived landing."""
+    archive = loaded_and_archived(spark, sf)[1]
+    return quarantined(read_all_snapshots(spark, archive, corrupt_column=CORRUPT_TEXT))
+
+
+def q5_retry(spark: SparkSession, sf: str) -> DataFrame:
+    """A load of all dates that fails while archiving, and is repeated: the archive is in the way of one
+    date at first. Per date: ledger rows by status and archived files."""
+    base, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
+    land_snapshots(_documents(spark, sf), base)
+    wh = Warehouse(scratch_path(spark, "daily"))
+    days = dates_of(raw_snapshots(spark, sf))
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    blocked = hadoop.Path(f"{archive}/date={days[len(days) // 2].isoformat()}")
+    files = blocked.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(blocked.getParent())
+    files.create(blocked).close()  # a file where the date's folder should go
+    try:
+        run_daily_load(spark, base, wh, archive_base=archive)
+        raise AssertionError("the archive should have been in the way")
+    except (OSError, Py4JJavaError):
+        files.delete(blocked, False)
+    run_daily_load(spark, base, wh, [d.isoformat() for d in days], archive_base=archive)
+    ledger = read_ledger(spark, wh.ledger).groupBy(F.col("process_date").alias("ingestion_date")).agg(
+        F.count(F.when(F.col("status") == FAILED, 1)).alias("failed"), F.count(F.when(F.col("status") == SUCCESS, 1)).alias("succeeded"))
+    moved = landed_files(spark, archive).select("ingestion_date", "files")
+    facts = read_fact(spark, wh.fact).groupBy("ingestion_date").agg(F.count("*").alias("facts"))
+    return ledger.join(moved, "ingestion_date").join(facts, "ingestion_date")
+
+
+def r3_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Three landings as a stream with archive: line numbers 1–4, then 3–7 restated as version 5, in
+    several batches, then line number 7 in an older version, which changes nothing."""
+    base, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
+    wh, checkpoint = Warehouse(scratch_path(spark, "stream-warehouse")), scratch_path(spark, "stream-checkpoint")
+    line = F.col("l_linenumber")
+    for revision, wanted, version in ((0, line <= 4, None), (1, line >= 3, 5), (0, line == 7, 3)):
+        docs = dedup_by_key(raw_snapshots(spark, sf, revision, lineage=True), order=LINEAGE_ORDER).where(wanted)
+        files = land_snapshots(docs.drop(*LINEAGE_ORDER), base, version)
+        total = files.agg(F.sum("files")).first()[0]
+        query = start_incremental_load(
+            spark, base, wh, checkpoint, archive_dir=archive, max_files_per_trigger=total // 2 + 1 if version == 5 else None)
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()
+    return read_fact(spark, wh.fact)
+
+
+def r1_outages(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of order dates on which a part's ticker has no document."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    due = orders.select(F.col("o_orderdate").cast("date").alias("ingestion_date"))
+    return landing_outages(_part_universe(spark, sf), _documents(spark, sf), due)
+
+
 def j2_maintained_latest(spark: SparkSession, sf: str) -> DataFrame:
     """The latest rows as kept load by load: an append and a reload."""
     return read_latest(spark, _upserted(spark, sf, UPDATE_COLUMNS_FULL)[1])
@@ -591,6 +680,13 @@ QUERIES: dict[str, Query] = {
     "V3_relative_52w_change": v3_relative_52w,
     "J2_maintained_latest_rows": j2_maintained_latest,
     "Q4_maintained_latest": q4_maintained_latest,
+    "K5_catalog_views_after_next_load": k5_after_next_load,
+    "K2_clustered_fundamental_view": k2_clustered,
+    "K1_flat_split_days": k1_split_days,
+    "F5_quarantine": f5_quarantine,
+    "Q5_retry_after_partial_archive": q5_retry,
+    "R3_stream_versions": r3_versions,
+    "R1_outages": r1_outages,
     "B1_backtest_30_days": b1_backtest,
     "B1_backtest_90_days_gaps": b1_backtest_gaps,
     "B2_backtest_summary": b2_backtest_summary,

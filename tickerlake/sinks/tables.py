@@ -59,10 +59,12 @@ def day_sizes(df: DataFrame) -> dict[dt.date, int]:
     return {r[0]: r[1] for r in df.groupBy(PARTITION_COLUMN).count().collect()}
 
 
-def _clustered(df: DataFrame, sizes: Mapping[dt.date, int] | None = None) -> DataFrame:
+def _clustered(
+    df: DataFrame, sizes: Mapping[dt.date, int] | None = None, rows_per_file: int = ROWS_PER_FILE
+) -> DataFrame:
     """Lay rows out for a date-partitioned write.
 
-    A date of up to ROWS_PER_FILE rows meets in one task and makes one file, instead of one
+    A date of up to ``rows_per_file`` rows meets in one task and makes one file, instead of one
     per (task, date) pair. The number of tasks is the session's shuffle
     partitions, stated so that AQE keeps it: with many small dates the cost is
     the files, not the bytes, and coalescing by bytes would leave one task
@@ -74,11 +76,11 @@ def _clustered(df: DataFrame, sizes: Mapping[dt.date, int] | None = None) -> Dat
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = [PARTITION_COLUMN, CLUSTER_COLUMN]
-    large = {d: n for d, n in (sizes or {}).items() if d is not None and n > ROWS_PER_FILE}
+    large = {d: n for d, n in (sizes or {}).items() if d is not None and n > rows_per_file}
     if not large:
         return df.repartition(tasks, PARTITION_COLUMN).sortWithinPartitions(*order)
     is_large = F.coalesce(F.col(PARTITION_COLUMN).isin(list(large)), F.lit(False))
-    ranges = sum(-(-n // ROWS_PER_FILE) for n in large.values())
+    ranges = sum(-(-n // rows_per_file) for n in large.values())
     split = df.where(is_large).repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     if len(large) == len(sizes):
         return split
@@ -88,7 +90,8 @@ def _clustered(df: DataFrame, sizes: Mapping[dt.date, int] | None = None) -> Dat
 # ------------------------------------------------------------------- K1 --
 
 def write_flat(
-    df: DataFrame, path: str, mode: str = "append", load_id: str | None = None, sizes: Mapping[dt.date, int] | None = None
+    df: DataFrame, path: str, mode: str = "append", load_id: str | None = None,
+    sizes: Mapping[dt.date, int] | None = None, rows_per_file: int = ROWS_PER_FILE,
 ) -> None:
     """K1: write flat rows partitioned by date, stamped with load time and id.
 
@@ -103,7 +106,7 @@ def write_flat(
     stamped = _require_date(df).withColumns(
         {LOAD_TIME: F.current_timestamp(), LOAD_ID: F.lit(load_id).cast("string"), DOC_VERSION: version}
     )
-    writer = _clustered(stamped, sizes).write.partitionBy(PARTITION_COLUMN)
+    writer = _clustered(stamped, sizes, rows_per_file).write.partitionBy(PARTITION_COLUMN)
     if mode == "append":
         writer.mode("append").parquet(path)
     elif mode == "replace_dates":
