@@ -604,7 +604,6 @@ def oracle_queries() -> dict[str, str]:
     )
     out["K2_clustered_fundamental_view"] = FUNDAMENTAL_SQL
     out["K1_flat_split_days"] = out["K1_flat_append"]
-    out["R3_stream_versions"] = out["K3_upsert"]
     out["F5_quarantine"] = with_base(
         "SELECT ingestion_date, ticker_id, 'empty' AS reason FROM dedup WHERE l_orderkey % 29 = 0")
     out["Q5_retry_after_partial_archive"] = with_base(

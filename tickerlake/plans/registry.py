@@ -389,24 +389,6 @@ def q5_retry(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.join(moved, "ingestion_date").join(facts, "ingestion_date")
 
 
-def r3_versions(spark: SparkSession, sf: str) -> DataFrame:
-    """Three landings as a stream with archive: line numbers 1–4, then 3–7 restated as version 5, in
-    several batches, then line number 7 in an older version, which changes nothing."""
-    base, archive = scratch_path(spark, "landing"), scratch_path(spark, "archive")
-    wh, checkpoint = Warehouse(scratch_path(spark, "stream-warehouse")), scratch_path(spark, "stream-checkpoint")
-    line = F.col("l_linenumber")
-    for revision, wanted, version in ((0, line <= 4, None), (1, line >= 3, 5), (0, line == 7, 3)):
-        docs = dedup_by_key(raw_snapshots(spark, sf, revision, lineage=True), order=LINEAGE_ORDER).where(wanted)
-        files = land_snapshots(docs.drop(*LINEAGE_ORDER), base, version)
-        total = files.agg(F.sum("files")).first()[0]
-        query = start_incremental_load(
-            spark, base, wh, checkpoint, archive_dir=archive, max_files_per_trigger=total // 2 + 1 if version == 5 else None)
-        query.awaitTermination()
-        if query.exception() is not None:
-            raise query.exception()
-    return read_fact(spark, wh.fact)
-
-
 def r1_outages(spark: SparkSession, sf: str) -> DataFrame:
     """Runs of order dates on which a part's ticker has no document."""
     orders = spark.read.parquet(f"{sf}/orders.parquet")
@@ -685,7 +667,6 @@ QUERIES: dict[str, Query] = {
     "K1_flat_split_days": k1_split_days,
     "F5_quarantine": f5_quarantine,
     "Q5_retry_after_partial_archive": q5_retry,
-    "R3_stream_versions": r3_versions,
     "R1_outages": r1_outages,
     "B1_backtest_30_days": b1_backtest,
     "B1_backtest_90_days_gaps": b1_backtest_gaps,
