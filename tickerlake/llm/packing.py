@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import string
 import sys
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from types import ModuleType
@@ -50,7 +51,7 @@ class WordTokenizer:
 
     A tokenizer that lower-cases, drops spaces and cuts letters from
     punctuation, as CUTTABLE does, gives a text the ids of its space-separated parts in turn,
-    and an ASCII part of letters and punctuation the ids of both, whatever the case. So each
+    and a part of letters (in lower case, too) and punctuation the ids of both, whatever the case. So each
     distinct run is tokenised once and remembered. Of any other tokenizer whole texts are encoded.
     """
 
@@ -69,7 +70,7 @@ class WordTokenizer:
     def part(self, part: str) -> bytes:
         known, room = self.known.get, REMEMBERED // 2
         letters = part.rstrip(string.punctuation)
-        if part.isascii() and letters.isalpha() and len(letters) < len(part):
+        if len(letters) < len(part) and letters.isalpha() and (letters.isascii() or unicodedata.normalize("NFC", letters).lower().isalpha()):
             marks = part[len(letters) :]
             got = (known(letters) or self.part(letters)) + (known(marks) or self.part(marks))
         elif part.isascii() and not part.islower() and part.isalpha():
