@@ -108,7 +108,8 @@ def mix_sources(
     total = targets.join(counts, F.col("source").eqNullSafe(F.col("_of"))).select("_of", (F.col("source_size").cast("double") / F.col("_docs")).alias("_mean"))
     bins = max(RANK_BINS, -(-sizes.count() // ROWS_PER_BIN))
     key = F.when(F.col("size") > 0, (F.col("_u") / (1 - F.col("_u"))) * (F.col("_mean") / F.col("size")))
-    sizes = sizes.join(total, F.col("source").eqNullSafe(F.col("_of"))).withColumn("_key", key).drop("_of", "_mean", "_u")
+    total = stored(total, "mix-means")
+    sizes = sizes.join(small(total, total.count()), F.col("source").eqNullSafe(F.col("_of"))).withColumn("_key", key).drop("_of", "_mean", "_u")
     sizes = sizes.withColumn("_bin", F.coalesce(F.floor(F.col("_key") / (1 + F.col("_key")) * bins), F.lit(bins)).cast("int"))
     upto = Window.partitionBy("source").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
@@ -124,7 +125,7 @@ def mix_sources(
     per_source = plan.alias("t").join(cut.alias("c"), F.col("t.source").eqNullSafe(F.col("c.source")), "left").select(
         F.col("t.source").alias("_source"), "source_size", "target", "whole", "p", "left_over", "cut_bin", "cut_before"
     )
-    rows = sizes.join(per_source, F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
+    rows = sizes.join(small(per_source, total.count()), F.col("source").eqNullSafe(F.col("_source"))).drop("_source").withColumn(
         "rank_key",
         F.when(F.col("p") > 0, F.col("_key") / (F.col("p") / (1 - F.col("p")))),
     )
