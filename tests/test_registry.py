@@ -19,6 +19,8 @@ FAST = [
     "K4_dimension_refresh_twice", "K4_dimension_incremental_reload", "R5_dedup_latest_load", "P7_cast_date",
     "V1_moving_average_5_gaps", "V2_volatility_5_gaps",
     "Q1_fundamental_view", "Q4_undervalued_stocks_view", "W2_top3_per_sector", "K3_upsert",
+    "B1_backtest_30_days", "B1_backtest_90_days_gaps", "B2_backtest_summary", "V4_rolling_beta_5_gaps", "V5_ticker_beta",
+    "J2_maintained_latest_rows", "Q4_maintained_latest", "K5_catalog_views_after_next_load",
 ]
 
 
