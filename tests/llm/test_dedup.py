@@ -131,7 +131,8 @@ def _near(seed):
 
 @pytest.mark.parametrize("words", [4, 5])
 def test_near_duplicates_equal_brute_force(spark, monkeypatch, words):
-    monkeypatch.setattr(neardup, "BLOCK", 8)  # several blocks a bucket and a cluster
+    for size in ("BUCKET_ROWS", "BLOCK", "SLOT_ROWS"):  # several parts a bucket and a cluster
+        monkeypatch.setattr(neardup, size, 8)
     rows = list(enumerate(_near(words)))
     want = near_components(rows, words, 80)
     got = near_duplicates(frame(spark, rows, extra=True).repartition(4), words=words).collect()

@@ -19,9 +19,15 @@ HASHES = 3
 HALVES = 14
 #: Least share of equal minhashes at which a pair is verified: far below the similarity asked for.
 LEAST_AGREEMENT = 0.58
-#: Bytes of text at a time in a task; rows of a bucket compared at a time.
+#: Bytes of text at a time in a task.
 CHUNK = 1 << 19
+#: Parts that are compared two by two: rows of a bucket by sketch, and documents and bytes of a cluster on full sets.
+BUCKET_ROWS = 4096
 BLOCK = 1024
+BLOCK_BYTES = 16 << 20
+#: Rows of small buckets, and bytes of small clusters, that share a group of a task.
+SLOT_ROWS = 1 << 14
+SLOT_BYTES = 16 << 20
 
 _RNG = np.random.default_rng(3)
 _FACTORS = _RNG.integers(1, 2**62, 2 * HALVES * HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -185,33 +191,50 @@ def _alike(sketch: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, leas
     return ok
 
 
-def soft_links(buckets: DataFrame, comps: DataFrame, reps: DataFrame, least_size: float, slots: int) -> DataFrame:
+#: Columns that tell a group of ``dealt`` rows.
+SLOT = ["slot", "many", "x", "y"]
+
+
+def dealt(rows: DataFrame, key: str, parts: str, slots: int) -> DataFrame:
+    """``rows`` with part and SLOT: groups in which every pair of a key's rows meets.
+
+    ``parts`` says in how many parts a key's rows are cut. A key of one part
+    shares one of ``slots`` groups with others. Parts of other keys meet two by
+    two (x < y) or alone (x = y), each in a group of its own: no group is
+    larger than two parts, and none compares pairs of another.
+    """
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), F.col(parts)).cast("int"))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col(parts).cast("int") - 1)))
+    rows = rows.withColumns({"x": F.least("part", "_other"), "y": F.greatest("part", "_other")})
+    shared = F.pmod(F.xxhash64(F.lit("slot"), key), F.lit(slots))
+    slot = F.when(F.col(parts) > 1, F.col(key)).otherwise(shared)
+    return rows.withColumns({"slot": slot, "many": F.col(parts) > 1}).drop("_other", parts)
+
+
+def soft_links(buckets: DataFrame, comps: DataFrame, reps: DataFrame, least_size: float) -> DataFrame:
     """Pairs of components (a, b) that some bucket shows to be alike by sketch.
 
-    Buckets of one component have nothing left to link. Of the others, rows of
-    the component first in the bucket are cut into parts of BLOCK and all other
-    rows go to each part. Pairs already joined in a task are not compared
-    again, and only pairs that join two groups there are returned: fewer than
-    there are components, however many pairs are alike.
+    Buckets of one component have nothing left to link. Of the others all rows of
+    different components are compared, in parts of BUCKET_ROWS two by two.
+    Pairs already joined in a group are not compared again, and only pairs that
+    join two components there are returned: fewer than a group has components,
+    however many pairs are alike.
     """
     labelled = stored(
         buckets.join(comps.withColumnRenamed("node", "_n"), F.col("rep") == F.col("_n"), "left")
         .select("key", "rep", "members", F.coalesce("component", "rep").alias("component")), "neardup-labelled")
     still = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    part = F.pmod(F.xxhash64("rep"), parts).cast("int")
-    rows = (
-        labelled.join(still.select(F.col("key").alias("k"), "lo"), F.col("key") == F.col("k"))
-        .join(reps.select(F.col("rep").alias("r"), "n", "sketch"), F.col("rep") == F.col("r"))
-        .withColumn("part", F.explode(F.when(F.col("component") == F.col("lo"), F.array(part)).otherwise(F.sequence(F.lit(0), parts - 1))))
-        .select(F.pmod(F.xxhash64("key", "part"), F.lit(slots)).alias("slot"), "key", "part", "component", "n", "sketch")
-    )
+    live = stored(labelled.join(still.select(F.col("key").alias("k")), F.col("key") == F.col("k"), "left_semi"), "neardup-live")
+    rows = live.join(reps.select(F.col("rep").alias("r"), "n", "sketch"), F.col("rep") == F.col("r"))
+    rows = dealt(rows.withColumn("parts", F.ceil(F.col("members") / BUCKET_ROWS)), "key", "parts", live.count() // SLOT_ROWS + 1)
+    rows = rows.select(*SLOT, "key", "part", "component", "n", "sketch")
 
-    def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["key", "part", "component"], kind="stable")
         labels, comp = np.unique(group["component"].to_numpy(), return_inverse=True)
         n, sketch = group["n"].to_numpy(), np.frombuffer(b"".join(group["sketch"]), np.uint8).reshape(len(group), -1)
-        bucket, found = group["key"].to_numpy() * 31 + group["part"].to_numpy(), Groups(len(labels))
+        bucket, part, found = group["key"].to_numpy(), group["part"].to_numpy(), Groups(len(labels))
+        two = int(group["x"].iloc[0]) != int(group["y"].iloc[0])
         a_out, b_out = [], []
 
         def link(a: np.ndarray, b: np.ndarray) -> None:
@@ -226,6 +249,11 @@ def soft_links(buckets: DataFrame, comps: DataFrame, reps: DataFrame, least_size
                 a_out.extend(labels[x[did]].tolist())
                 b_out.extend(labels[y[did]].tolist())
 
+        if two:  # the rows of one part, against those of the other
+            first = int(np.searchsorted(part, part[-1]))
+            for row in range(first, len(part)):
+                link(np.full(first, row), np.arange(first))
+            return pd.DataFrame({"a": a_out, "b": b_out}, dtype="int64")
         runs = _runs(bucket)
         size = np.concatenate([np.full(hi - lo, hi - lo) for lo, hi in runs])
         at = np.flatnonzero(size <= 64)
@@ -244,33 +272,31 @@ def soft_links(buckets: DataFrame, comps: DataFrame, reps: DataFrame, least_size
                         link(np.full(before - lo, row), np.arange(lo, before))
         return pd.DataFrame({"a": a_out, "b": b_out}, dtype="int64")
 
-    return stored(rows.groupBy("slot").applyInPandas(compare, "a long, b long").distinct(), "neardup-soft")
+    return stored(rows.groupBy(*SLOT).applyInPandas(compare, "a long, b long").distinct(), "neardup-soft")
 
 
-def cross_links(soft: DataFrame, comps: DataFrame, sets: DataFrame, percent: int, slots: int) -> DataFrame:
-    """Links (a, b) between documents of different components, on full sets.
+def cross_links(clusters: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between documents of one cluster (node, component) and different ``comps``, on full sets.
 
-    Components joined by soft links are a cluster. All pairs of a cluster's
-    documents that are of different components are verified: blocks of
-    BLOCK documents two by two, each document's set sent once a block. Of
-    the links found, those that join two groups in the task are returned.
+    Clusters of one component have nothing left to link. All pairs of another
+    cluster's documents that are of different components are verified: parts of
+    BLOCK documents and BLOCK_BYTES two by two, each document's set sent once a
+    part. Of the links found, those that join two components in the group are returned.
     """
-    clusters = stored(components(soft, "neardup-components").toDF("_c", "cluster"), "neardup-clusters")
-    of = sets.join(comps.withColumnRenamed("node", "_n"), F.col("rep") == F.col("_n"), "left").withColumn("component", F.coalesce("component", "rep"))
+    labelled = stored(
+        clusters.select(F.col("node").alias("id"), F.col("component").alias("cluster"))
+        .join(comps.withColumnRenamed("node", "_n"), F.col("id") == F.col("_n"), "left")
+        .select("id", "cluster", F.coalesce("component", "id").alias("component")), "neardup-clustered")
+    still = labelled.groupBy("cluster").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
+    live = stored(labelled.join(still.select(F.col("cluster").alias("k")), F.col("cluster") == F.col("k"), "left_semi"), "neardup-live")
     members = stored(
-        of.join(small(clusters, clusters.count()), F.col("component") == F.col("_c")).select("cluster", "component", "rep", "shingles"),
-        "neardup-members")
-    sizes = members.groupBy("cluster").agg(F.count("*").alias("size")).withColumnRenamed("cluster", "_k")
-    parts = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = (
-        members.join(sizes, F.col("cluster") == F.col("_k"))
-        .withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .withColumns({"x": F.least("part", "other"), "y": F.greatest("part", "other")})
-        .select(F.pmod(F.xxhash64("cluster", "x", "y"), F.lit(slots)).alias("slot"), "cluster", "x", "y", "part", "component", "rep", "shingles")
-    )
+        sets.join(small(live, live.count()), F.col("rep") == F.col("id")).select("cluster", "component", "rep", "shingles"), "neardup-members")
+    sizes = members.groupBy("cluster").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(F.length("shingles")) / BLOCK_BYTES)).alias("parts")).withColumnRenamed("cluster", "_k")
+    total = members.agg(F.sum(F.length("shingles"))).first()[0] or 0
+    rows = dealt(members.join(sizes, F.col("cluster") == F.col("_k")).drop("_k"), "cluster", "parts", total // SLOT_BYTES + 1)
 
-    def verify(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+    def verify(group: pd.DataFrame) -> pd.DataFrame:
         out = []
         for (_, x, y), part in group.groupby(["cluster", "x", "y"], sort=True):
             part = part.sort_values("rep")
@@ -302,7 +328,7 @@ def cross_links(soft: DataFrame, comps: DataFrame, sets: DataFrame, percent: int
                 out += [(rep[i], rep[linked[d]]) for d in did]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return stored(rows.groupBy("slot").applyInPandas(verify, "a long, b long"), "neardup-cross")
+    return stored(rows.groupBy(*SLOT).applyInPandas(verify, "a long, b long"), "neardup-cross")
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataFrame:
@@ -322,7 +348,10 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     Scale: equal sets are one representative from the start. Representatives
     that share a table bucket with others are linked by verifying, first, each
     with its buckets' smallest, then all pairs still in different components
-    within clusters that buckets show to be alike. Sketches agree on
+    within clusters that buckets show to be alike. Clusters grow first from the pairs with
+    buckets' smallest alone, so later only buckets of several clusters are compared, large ones in parts two by two.
+    Documents that are alike by sketch and yet not linked are verified pair by pair:
+    quadratic work in each such cluster, in groups of bounded size. Sketches agree on
     LEAST_AGREEMENT at least before full sets are fetched. A pair at the threshold shares no bucket with
     probability 1e-4, one of similarity 0.85 with 3e-6.
     """
@@ -362,10 +391,11 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 80) -> DataF
     sets = stored(sets.join(small(reps.select(F.col("rep").alias("r"), "set_key").join(involved, F.col("r") == F.col("id"), "left_semi"), involved.count()),
                             (F.col("rep") == F.col("r")) & (F.col("key") == F.col("set_key"))).select("rep", "shingles"), "neardup-sets")
     links = verified(star, sets, percent)
-    slots = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     firsts = stored(components(links, "neardup-components"), "neardup-firsts")
-    soft = soft_links(buckets, firsts, light, least_size, slots)
-    links = links.unionByName(cross_links(soft, firsts, sets, percent, slots))
+    near = stored(components(star, "neardup-components"), "neardup-near")
+    soft = soft_links(buckets, near, light, least_size)
+    clusters = components(near.toDF("a", "b").unionByName(soft), "neardup-components")
+    links = links.unionByName(cross_links(clusters, firsts, sets, percent))
     comps = stored(components(links, "neardup-components"), "neardup-classes")
     classes = reps.select("set_key", "rep").join(comps, F.col("rep") == F.col("node"), "left").select(
         F.col("set_key").alias("_key"), F.coalesce("component", "rep").alias("_component"))
