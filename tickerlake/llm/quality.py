@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mapped_texts, stored
+from .common import mapped_texts, small, stored
 from .text import as_bytes, chunks, mixed, word_hashes
 
 #: Bytes of text hashed at a time.
@@ -127,8 +127,9 @@ def resample(docs: DataFrame, targets: DataFrame, keep_share: float, bits: int =
     empty table gives an empty result.
     """
     wanted = targets.select(F.col("doc_id").alias("_id")).where(F.col("_id").isNotNull()).distinct().withColumn("_is", F.lit(True))
-    flags = docs.select("doc_id").distinct().join(wanted, F.col("doc_id") == F.col("_id")).select("_id", "_is")
-    marked = docs.select("doc_id", "text").join(flags, F.col("doc_id") == F.col("_id"), "left")
+    flags = stored(docs.select("doc_id").distinct().join(wanted, F.col("doc_id") == F.col("_id")).select("_id", "_is"), "quality-targets")
+    # Ids go to the texts where they are few enough; texts are shuffled to meet them only beyond that.
+    marked = docs.select("doc_id", "text").join(small(flags, flags.count()), F.col("doc_id") == F.col("_id"), "left")
     target, raw = ngram_models(marked.select("text", F.coalesce("_is", F.lit(False)).alias("target")), bits)
     if not np.ptp(target):
         target = raw
