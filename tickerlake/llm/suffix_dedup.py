@@ -25,6 +25,8 @@ LENGTH = 50
 GRAM = 20
 #: Offsets an anchor can have in a string: 0 to OFFSETS - 1.
 OFFSETS = LENGTH - GRAM + 1
+#: Text a range of suffixes stands for, one group of a task.
+RANGE_BYTES = 1 << 26
 #: String starts hashed at a time.
 SLICE = 1 << 18
 _PLACE_BITS = 20
@@ -375,7 +377,7 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
     repeated anchors are sent. Ranges are dealt by (suffix, id), so one frequent
     passage spreads over as many ranges as it fills; what may go on in another
     range is compared in a last pass of one row a range, string and offset.
-    The driver holds ``ranges`` splitters, one for each shuffle partition.
+    The driver holds ``ranges`` splitters of 59 bytes: one for each RANGE_BYTES of text, or shuffle partition if those are more.
     """
     blocks = make_blocks(docs, "suffix-blocks")
     gone = _gone(blocks, ranges, sample_per_range)
@@ -396,8 +398,8 @@ def remove_repeats(docs: DataFrame, ranges: int | None = None, sample_per_range:
 def _gone(blocks: DataFrame, ranges: int | None, sample_per_range: int) -> DataFrame:
     """What goes of each block: anchors with their offsets, and place -1 for a whole document."""
     parts = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = ranges or parts
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
+    ranges = ranges or max(parts, total // RANGE_BYTES)
     buckets = max(parts, total >> 25)
     copies = stored(exact_copies(blocks), "suffix-copies")
     repeats = repeated_anchors(blocks, buckets, ranges, min(1.0, sample_per_range * ranges * 15 / max(total, 1)))
