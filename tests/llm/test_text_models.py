@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickerlake.llm import lm
 from tickerlake.llm.langid import Grams, LanguageModel, fit_languages, ftrl, keep_identified, predict_languages, softmax
 from tickerlake.llm.lm import score_documents
-from tickerlake.llm.quality import importance, ngram_models, resample, select_top
+from tickerlake.llm.quality import features, importance, ngram_models, resample, select_top
 from tickerlake.llm.text import mixed, word_hashes
 from tickerlake.llm.toxicity import Lexicon, folded, learn_lexicon, matches, score_toxicity
 
@@ -183,6 +183,21 @@ def test_resampling_prefers_texts_like_the_target(spark):
     assert {r.log_weight for r in even} == {0.0}
 
 
+def test_log_weights_to_the_digit(spark):
+    """Target ids repeated, NULL and unknown; ids of two rows, NULL ids, NULL and empty texts."""
+    rows = [(1, "a b c"), (2, "b c d"), (2, "x y"), (None, "a a"), (5, None), (6, ""), (2**60 + 1, "c d e")]
+    targets = frame(spark, [(i, "") for i in (2, 2, None, 99, 2**60 + 1)]).select("doc_id")
+    texts = [(t or "").encode() for _, t in rows]
+    bucket, of = features(texts, 8)
+    wanted = np.array([i in (2, 2**60 + 1) for i, _ in rows])
+    raw = np.bincount(bucket, minlength=256) + 0.5
+    target = np.bincount(bucket[wanted[of]], minlength=256) + 0.5
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    weight = np.bincount(of, ratio[bucket], len(rows))
+    got = resample(frame(spark, rows, extra=True).repartition(3), targets, keep_share=0.5, bits=8).collect()
+    assert sorted(((r.doc_id or 0, round(r.log_weight, 9)) for r in got)) == sorted(((i or 0, round(w, 9)) for (i, _), w in zip(rows, weight)))
+
+
 def test_importance_equals_counting(spark):
     docs = frame(spark, ["a b a", "c", None])
     marked = docs.withColumn("target", F.col("doc_id") == 0)
