@@ -530,6 +530,11 @@ def oracle_queries() -> dict[str, str]:
         + R(f"stddev_samp(r) OVER ({w5})", 6) + " AS volatility_5 FROM (SELECT *, currentPrice / "
         "lag(currentPrice) OVER (PARTITION BY ticker_id ORDER BY ingestion_date) - 1 AS r FROM fact)"
     )
+    out["V1_V2_maintained_trends_5"] = with_base(
+        f"SELECT ticker_id, ingestion_date, currentPrice, {R(f'avg(currentPrice) OVER ({w5})', 6)} AS ma_5, "
+        + R("r", 6) + " AS daily_return, " + R(f"stddev_samp(r) OVER ({w5})", 6) + " AS volatility_5 FROM (SELECT *, "
+        "currentPrice / lag(currentPrice) OVER (PARTITION BY ticker_id ORDER BY ingestion_date) - 1 AS r FROM fact)"
+    )
     out["V3_relative_52w_change"] = with_base(
         "SELECT ticker_id, ingestion_date, week52_change - sandp_52week_change AS relative_52w_change "
         "FROM fact"

@@ -21,6 +21,7 @@ FAST = [
     "Q1_fundamental_view", "Q4_undervalued_stocks_view", "W2_top3_per_sector", "K3_upsert",
     "B1_backtest_30_days", "B1_backtest_90_days_gaps", "B2_backtest_summary", "V4_rolling_beta_5_gaps", "V5_ticker_beta",
     "J2_maintained_latest_rows", "Q4_maintained_latest", "K5_catalog_views_after_next_load",
+    "V1_V2_maintained_trends_5",
 ]
 
 

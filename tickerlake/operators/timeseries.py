@@ -91,6 +91,24 @@ def volatility(
     ).unionByName(alone)
 
 
+def trends(fact: DataFrame, n: int, value: str = "currentPrice", block: int = 512) -> DataFrame:
+    """V1 and V2 of the same ``n`` from one set of frames: each snapshot's moving average,
+    return and volatility, as the two give them apart."""
+    framed = with_halo(snapshot_positions(fact, value), n + 1, block)
+    by_pos = Window.partitionBy(KEY, "_blk").orderBy("pos")
+    w = by_pos.rowsBetween(-(n - 1), 0)
+    out = framed.withColumn("_return", F.try_divide(F.col(value), F.lag(value).over(by_pos)) - 1).withColumns({
+        f"ma_{n}": F.round(F.avg(value).over(w), 6),
+        f"volatility_{n}": F.round(F.stddev_samp("_return").over(w), 6),
+        "daily_return": F.round("_return", 6),
+    })
+    none = F.lit(None).cast("double")
+    mean = F.round(F.col(value).cast("double"), 6)
+    alone = _keyless(fact, value).withColumns({f"ma_{n}": mean, "daily_return": none, f"volatility_{n}": none})
+    columns = [KEY, DATE, value, f"ma_{n}", "daily_return", f"volatility_{n}"]
+    return out.where("_own").select(*columns).unionByName(alone)
+
+
 def relative_52w_change(fact: DataFrame) -> DataFrame:
     """V3: ``week52_change - sandp_52week_change`` per (ticker, date): the
     stock's 52-week change relative to the index. Row-local, no shuffle."""

@@ -46,6 +46,7 @@ from tickerlake.sinks.tables import (
     upsert_fact,
     write_flat,
 )
+from tickerlake.sinks.trends import update_trends
 from tickerlake.sources.snapshots import landed_files, read_all_snapshots, read_snapshots
 
 DAG_ID = "daily_snapshot_load"
@@ -73,6 +74,10 @@ class Warehouse:
     def latest(self) -> str:
         return f"{self.root}/latest"
 
+    @property
+    def trends(self) -> str:
+        return f"{self.root}/trends"
+
     @property
     def stages(self) -> str:
         """Ledger rows of runs that have loaded their dates and not finished yet."""
@@ -160,6 +165,7 @@ def run_daily_load(
     catalog: str | None = None,
     maintain_latest: bool = False,
     quarantine: bool = False,
+    maintain_trends: int | None = None,
 ) -> LoadResult:
     """Load ``process_dates`` (a date, a list, or ``None`` for every date that
     has landed documents) from ``raw_base`` into the warehouse tables.
@@ -172,7 +178,7 @@ def run_daily_load(
     ``dimension_refresh`` is ``incremental`` (daily cost proportional to the
     number of tickers) or ``full`` (rebuilt from the whole flat history); both
     give the same dimension. With ``maintain_latest`` the latest rows a ticker are kept current
-    too, with ``quarantine`` documents that carry nothing are listed by date, ticker and reason, from the
+    too, with ``maintain_trends`` the moving average and volatility over so many snapshots, with ``quarantine`` documents that carry nothing are listed by date, ticker and reason, from the
     same parse; with ``catalog`` the tables and views of that database. With ``archive_base`` the dates'
     raw folders move there after the tables are written.
 
@@ -197,7 +203,8 @@ def run_daily_load(
             if dates:
                 counts = _load(
                     spark, raw_base, warehouse, dates, {d: landed[d][0] for d in dates if d in landed}, update_columns,
-                    mode, dimension_mode, dimension_refresh, given is None, maintain_latest, quarantine)
+                    mode, dimension_mode, dimension_refresh, given is None, maintain_latest, quarantine,
+                    maintain_trends)
                 documents, empty = documents + counts[0], empty + counts[1]
         if catalog is not None:
             refresh_catalog(spark, warehouse.fact, warehouse.dimension, days, catalog)
@@ -225,6 +232,7 @@ def _load(
     whole_landing: bool,
     maintain_latest: bool,
     quarantine: bool,
+    maintain_trends: int | None,
 ) -> tuple[int, int]:
     """Documents of ``days`` through all tables; how many there were, and how many empty."""
     corrupt = CORRUPT_TEXT if quarantine else None
@@ -253,6 +261,8 @@ def _load(
     fold_dimension(spark, warehouse, rows, days, dimension_mode, dimension_refresh)
     if maintain_latest:
         update_latest(spark, warehouse.fact, warehouse.latest, days)
+    if maintain_trends is not None:
+        update_trends(spark, warehouse.fact, warehouse.trends, days, maintain_trends)
     if loads.where(F.col(LOAD_ID) == load_id).limit(1).count():
         return seen.get["documents"], seen.get["empty"]
     # No document is usable: Spark drops the empty branch, and the counts with it.

@@ -59,6 +59,7 @@ from tickerlake.sinks.tables import (
     upsert_fact,
     write_flat,
 )
+from tickerlake.sinks.trends import read_trends, refresh_trends, update_trends
 from tickerlake.sources.snapshots import landed_files, read_all_snapshots, read_snapshots
 from tickerlake.sources.universe import ticker_universe
 from tickerlake.streaming.incremental import start_incremental_load
@@ -609,6 +610,22 @@ def v2_volatility(spark: SparkSession, sf: str) -> DataFrame:
     return volatility(read_fact(spark, warehouse(spark, sf).fact), 5, block=16)
 
 
+def maintained_trends(spark: SparkSession, sf: str) -> DataFrame:
+    """V1 and V2 as kept load by load: built, then later dates, then five dates that come late, between those."""
+    fact = warehouse(spark, sf).fact
+
+    def build() -> str:
+        path = scratch_path(spark, "trends")
+        days = dates_of(read_fact(spark, fact))
+        late = days[-45:-40]
+        refresh_trends(spark, fact, path, 5, dates=days[:-60])
+        update_trends(spark, fact, path, [d for d in days[-60:] if d not in late], 5)
+        update_trends(spark, fact, path, late, 5)
+        return path
+
+    return read_trends(spark, _once(spark, sf, "trends", build), 5)  # type: ignore[arg-type]
+
+
 def v3_relative_52w(spark: SparkSession, sf: str) -> DataFrame:
     return relative_52w_change(read_fact(spark, warehouse(spark, sf).fact))
 
@@ -660,6 +677,7 @@ QUERIES: dict[str, Query] = {
     "V1_moving_average_5": v1_moving_average,
     "V2_volatility_5": v2_volatility,
     "V3_relative_52w_change": v3_relative_52w,
+    "V1_V2_maintained_trends_5": maintained_trends,
     "J2_maintained_latest_rows": j2_maintained_latest,
     "Q4_maintained_latest": q4_maintained_latest,
     "K5_catalog_views_after_next_load": k5_after_next_load,
