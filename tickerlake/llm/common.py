@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,18 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(ARROW_BYTES, "8MB")
 
 
+def release_memory() -> None:
+    """Give the system back what earlier tasks of this worker process have freed.
+
+    Worker processes serve many tasks; the allocators of Arrow and the C library keep
+    freed memory, which counts against the executor while other work needs it.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped_texts, stored
+from .common import mapped_texts, release_memory, stored
 
 #: Distinct runs whose ids a worker process remembers, from task to task; others are tokenised each time.
 REMEMBERED = 1_000_000
@@ -33,6 +33,7 @@ PACKED = (
 def forget_tokenizers() -> None:
     """Drop what this worker process remembers of tokenisers; tasks of other work call it first."""
     sys.modules.pop("_packing_tokenizers", None)
+    release_memory()
 
 
 #: Normaliser and splitter of the tokenizers whose texts may be cut (see ``WordTokenizer``).
@@ -176,6 +177,7 @@ def pack_documents(
     """
 
     def tokenise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_memory()
         words = WordTokenizer(tokenizer_path, end_id)
         for batch in batches:
             for lo in range(0, len(batch), 512):

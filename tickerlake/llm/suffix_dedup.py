@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import NO_ID, block_bytes, carried, known_ids, make_blocks
-from .common import stored
+from .common import release_memory, stored
 from .text import mixed
 
 LENGTH = 50
@@ -327,6 +327,7 @@ def removed_strings(blocks: DataFrame, repeats: DataFrame, copies: DataFrame, bu
         return pd.DataFrame(out, columns=["range", "suffixes"])
 
     def compare(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        release_memory()
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
