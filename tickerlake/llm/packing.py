@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .common import mapped_texts, release_memory, stored
 
 #: Distinct runs whose ids a worker process remembers, from task to task; others are tokenised each time.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 PIECES = (
     "start long, length long, ids_crc32 long, doc_tokens long, "
@@ -69,7 +69,7 @@ class WordTokenizer:
         self.end = np.uint32(end_id).astype("<u4").tobytes()
 
     def part(self, part: str) -> bytes:
-        known, room = self.known.get, REMEMBERED // 2
+        known, room = self.known.get, REMEMBERED // 4
         letters = part.rstrip(string.punctuation)
         if len(letters) < len(part) and letters.isalpha() and (letters.isascii() or unicodedata.normalize("NFC", letters).lower().isalpha()):
             marks = part[len(letters) :]
