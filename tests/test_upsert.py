@@ -216,3 +216,20 @@ def test_default_order_carries_each_value_once(spark):
     df = spark.createDataFrame([("A", D1, 1.0, "x")], "ticker_id string, ingestion_date date, px double, tag string")
     text = plan_text(dedup_by_key(df), "simple")
     assert "_row" not in text and text.count("struct(px") <= 2
+
+
+def test_keys_that_occur_once_are_not_shuffled(spark, monkeypatch):
+    from tickerlake.operators import dedup
+
+    keyed = [("A", D1, 2.0, "late"), ("A", D1, 1.0, "first"), (None, D1, 4.0, "b"), (None, D1, 3.0, "a"), ("B", None, 5.0, "n")]
+    df = spark.createDataFrame(keyed + [("C", D2, 6.0, "c")], "ticker_id string, ingestion_date date, px double, tag string")
+    expected = {("A", D1, 1.0, "first"), (None, D1, 3.0, "a"), ("B", None, 5.0, "n"), ("C", D2, 6.0, "c")}
+    alone = dedup_by_key(df.where("ticker_id = 'C'"))
+    assert "Exchange" not in plan_text(alone, "simple")
+    found = dedup_by_key(df)
+    assert plan_text(found, "simple").count("LeftAnti") == 1
+    assert sorted(map(str, found.collect())) == sorted(map(str, spark.createDataFrame(list(expected), df.schema).collect()))
+    monkeypatch.setattr(dedup, "REPEATED_KEYS", 1)  # two keys repeat: all rows meet by key
+    found = dedup_by_key(df)
+    assert "LeftAnti" not in plan_text(found, "simple")
+    assert {tuple(r) for r in found.collect()} == expected
