@@ -280,3 +280,15 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(monkeypatch):
                            sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_root(fake)
+
+
+def test_latest_rows_shuffles_matching_facts_only(spark):
+    import datetime as dt
+
+    from tickerlake.operators.latest import latest_rows
+
+    d1, d2 = dt.date(2026, 1, 1), dt.date(2026, 1, 2)
+    rows = [("A", d1, 1.0), ("A", d2, 2.0), ("A", d2, 3.0), ("B", d1, 4.0), (None, d2, 5.0), ("C", None, 6.0)]
+    found = latest_rows(spark.createDataFrame(rows, "ticker_id string, ingestion_date date, px double"))
+    assert sorted(r.px for r in found.collect()) == [2.0, 3.0, 4.0]
+    assert "xxhash64" in plan_text(found, "simple")  # hashes of the latest dates are held against facts first
