@@ -233,3 +233,25 @@ def test_keys_that_occur_once_are_not_shuffled(spark, monkeypatch):
     found = dedup_by_key(df)
     assert "LeftAnti" not in plan_text(found, "simple")
     assert {tuple(r) for r in found.collect()} == expected
+
+
+def test_rows_are_widened_after_the_shuffle(spark, tmp_uri):
+    """The sinks shuffle the narrow rows; what they write is what the wide rows give."""
+    narrow = spark.createDataFrame(
+        [("B", D1, 2.0), ("A", D1, 1.0), ("A", D2, 3.0)], "ticker_id string, ingestion_date date, px double")
+    seen = []
+
+    def widen(rows):
+        seen.append(plan_text(rows, "simple"))
+        wide = rows.select("ticker_id", "ingestion_date", F.col("px").alias("currentPrice"), (F.col("px") * 2).alias("trailingPE"))
+        return spark.createDataFrame([], FLAT_SCHEMA).unionByName(wide, allowMissingColumns=True)
+
+    write_flat(narrow, f"{tmp_uri}/narrow", widen=widen)
+    write_flat(widen(narrow), f"{tmp_uri}/wide")
+    assert "Exchange" in seen[0] and "trailingPE" not in seen[0]
+    tables = [sorted(map(str, read_flat(spark, f"{tmp_uri}/{n}").collect())) for n in ("narrow", "wide")]
+    assert tables[0] == tables[1] and len(tables[0]) == 3
+    upsert_fact(spark, narrow, f"{tmp_uri}/fact", widen=widen)  # inserts
+    assert "Exchange" in seen[2]
+    upsert_fact(spark, narrow.withColumn("px", F.col("px") + 1), f"{tmp_uri}/fact", widen=widen)  # updates
+    assert facts(spark, f"{tmp_uri}/fact") == {("A", D1): (2.0, None, 4.0), ("A", D2): (4.0, None, 8.0), ("B", D1): (3.0, None, 6.0)}
