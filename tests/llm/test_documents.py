@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -12,11 +13,12 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from tickerlake.llm.ann import Graph, nearest
 from tickerlake.llm.components import components
-from tickerlake.llm.fingerprints import changed_paragraphs, edited_fingerprints, fingerprint, likeness, root
+from tickerlake.llm.fingerprints import changed_paragraphs, edited_fingerprints, fingerprint, likeness, root, with_next
 from tickerlake.llm.mixing import mix_sources, take_copies
 from tickerlake.llm.packing import WordTokenizer, pack_documents
 from tickerlake.llm.queries import QUERIES, tokenizer_path
 
+from ..helpers import plan_text
 from .helpers import ODD, Union, by_id, frame, near_components, prose, targets, without_repeats
 
 SF = "/root/testdata/sf0.001"
@@ -47,6 +49,14 @@ def test_fingerprints_equal_brute_force(spark):
     assert all(len(p) == 1 for p in prints.values()) and len({min(p) for p in prints.values()}) == len(prints)
 
 
+def test_texts_are_shuffled_without_their_fingerprints(spark):
+    rows = with_next(frame(spark, [(i, f"text {i}") for i in range(40)]).select("doc_id", "text"), 4)
+    moved = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plan_text(rows))
+    assert any("text#" in columns for columns in moved)
+    assert not [columns for columns in moved if "fp#" in columns]
+    assert {r.doc_id: r.next_text for r in rows.collect()} == {i: f"text {(i - 1) % 40}" for i in range(40)}
+
+
 def test_fingerprints_edges(spark):
     one = edited_fingerprints(frame(spark, [(1, "abcdef")])).first()
     assert one.edited_text == "abcdab" and one.near_next == 1

@@ -95,7 +95,8 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
     ranged = docs.withColumn("_range", F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0))
     firsts = ranged.groupBy("_range").agg(F.max("doc_id").alias("_first")).withColumnRenamed("_range", "_r")
     heads = (
-        ranged.join(firsts, (F.col("_range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
+        # A row a range: left to a size estimate, all texts would be shuffled to meet these few.
+        ranged.join(F.broadcast(firsts), (F.col("_range") == F.col("_r")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
         .groupBy("_range").agg(F.min("text").alias("text"))
         .withColumn("head", F.struct("text", fingerprint(F.col("text")).alias("fp")))
     )
@@ -105,8 +106,11 @@ def with_next(docs: DataFrame, parts: int) -> DataFrame:
         F.col("_range").alias("_r"),
         F.coalesce(F.lead("head").over(down), F.first("head").over(everything)).alias("_head"),
     ), "fingerprint-heads")
-    within = Window.partitionBy("_range").orderBy(F.col("doc_id").desc_nulls_last(), "text")
-    rows = ranged.withColumn("fp", fingerprint(F.col("text"))).withColumn("_next", F.lead(F.struct("text", "fp")).over(within))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("text").asc()]
+    within = Window.partitionBy("_range").orderBy(*order)
+    # Texts are shuffled and sorted without their fingerprints, which the tasks make that put them in order.
+    laid = ranged.repartition("_range").sortWithinPartitions("_range", *order)
+    rows = laid.withColumn("fp", fingerprint(F.col("text"))).withColumn("_next", F.lead(F.struct("text", "fp")).over(within))
     return rows.join(heads, F.col("_range") == F.col("_r"), "left").withColumn(
         "_next", F.coalesce("_next", "_head")
     ).select("doc_id", "text", "fp", F.col("_next.text").alias("next_text"), F.col("_next.fp").alias("next_fp"))
