@@ -1,12 +1,14 @@
 """K2/K3 upsert properties, R5 dedup, K1 flat modes, K4 dimension."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickerlake.operators.dedup import dedup_by_key, duplicate_keys
 from tickerlake.operators.dimension import dimension_distinct, dimension_latest
+from tickerlake.operators.latest import latest_candidates
 from tickerlake.operators.upsert import merge_plan
 from tickerlake.schema import FACT_SCHEMA, UPDATE_COLUMNS_FULL
 from tickerlake.sinks.tables import read_fact, read_flat, upsert_fact, write_flat
@@ -255,3 +257,35 @@ def test_rows_are_widened_after_the_shuffle(spark, tmp_uri):
     assert "Exchange" in seen[2]
     upsert_fact(spark, narrow.withColumn("px", F.col("px") + 1), f"{tmp_uri}/fact", widen=widen)  # updates
     assert facts(spark, f"{tmp_uri}/fact") == {("A", D1): (2.0, None, 4.0), ("A", D2): (4.0, None, 8.0), ("B", D1): (3.0, None, 6.0)}
+
+
+def test_narrow_rows_meet_the_target_before_they_are_widened(spark, tmp_uri, monkeypatch):
+    def widen(rows):
+        named = rows.withColumn("currentPrice", F.col("px")).drop("px")
+        return named.select(
+            *[F.col(f"`{f.name}`") if f.name in named.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in FLAT_SCHEMA.fields]
+        )
+
+    plans = []
+
+    def planned(*args, **kwargs):
+        rows = merge_plan(*args, **kwargs)
+        plans.append(plan_text(rows, "formatted"))
+        return rows
+
+    monkeypatch.setattr("tickerlake.sinks.tables.merge_plan", planned)
+    for px in (1.0, 2.0):
+        narrow = spark.createDataFrame([("A", D1, px), (None, D1, px)], "ticker_id string, ingestion_date date, px double")
+        upsert_fact(spark, narrow, f"{tmp_uri}/fact", widen=widen)
+    moved = [line.count(",") + 1 for line in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", plans[0])]
+    assert sorted(moved) == [3, 67] or sorted(moved) == [3, 68]  # narrow source, whole target
+    got = [tuple(r) for r in read_fact(spark, f"{tmp_uri}/fact").select("ticker_id", "currentPrice").collect()]
+    assert sorted(got, key=str) == sorted([("A", 2.0), (None, 1.0), (None, 2.0)], key=str)
+
+
+def test_only_rows_at_the_last_date_are_latest_candidates(spark, monkeypatch):
+    rows = [("A", D1, 1), ("A", D2, 2), ("A", D2, 3), ("B", D1, 4), (None, D1, 5), (None, D3, 6), ("C", None, 7)]
+    fact = spark.createDataFrame(rows, "ticker_id string, ingestion_date date, n int")
+    assert sorted(r.n for r in latest_candidates(fact).collect()) == [2, 3, 4, 6, 7]
+    monkeypatch.setattr("tickerlake.operators.latest.SENT_TICKERS", 3)
+    assert latest_candidates(fact).count() == len(rows)
