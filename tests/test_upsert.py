@@ -289,3 +289,33 @@ def test_only_rows_at_the_last_date_are_latest_candidates(spark, monkeypatch):
     assert sorted(r.n for r in latest_candidates(fact).collect()) == [2, 3, 4, 6, 7]
     monkeypatch.setattr("tickerlake.operators.latest.SENT_TICKERS", 3)
     assert latest_candidates(fact).count() == len(rows)
+
+
+def test_rows_of_earlier_loads_are_dropped_before_any_shuffle_of_rows(spark, tmp_uri, monkeypatch):
+    from tickerlake.operators import dedup
+    from tickerlake.sinks.tables import located, read_flat_loads
+
+    path = f"{tmp_uri}/flat"
+    keys = [(f"T{i:03d}" if i else None, d) for i in range(90) for d in (D1, D2)]
+    write_flat(flat(spark, [(t, d, 1.0, 1.0, 1.0) for t, d in keys]), path)
+    again = [(t, d, 2.0 + i % 3, 1.0, 1.0) for i, (t, d) in enumerate(keys) if i % 5]
+    tied = [("T001", D1, 9.0, 0.5, 1.0), ("T001", D2, 7.0, None, None), ("T002", D1, None, None, None)]
+    write_flat(flat(spark, again + tied[2:]), path)
+    expected = {(t, d): 1.0 for t, d in keys} | {(t, d): px for t, d, px, *_ in again}
+    monkeypatch.setattr(dedup, "REPEATED_KEYS", 2)  # more repeat: all rows would meet by key
+    monkeypatch.setattr(dedup, "BITMAP_ROWS", 16)  # a file has several bitmaps
+
+    def found():
+        return dedup.latest_load(located(read_flat_loads(spark, path)))
+
+    def prices(rows):
+        return {(r.ticker_id, r.ingestion_date): r.currentPrice for r in rows.collect()}
+
+    assert "hashpartitioning" not in plan_text(found(), "simple")  # nothing ties, and no row is shuffled
+    assert found().columns == FLAT_SCHEMA.fieldNames() and found().count() == len(expected)
+    assert prices(found()) == expected
+    write_flat(flat(spark, tied + [tied[0]]), path)  # the last load has two equal rows of a key
+    expected |= {("T001", D1): 9.0, ("T001", D2): 7.0, ("T002", D1): None}
+    assert prices(found()) == expected and found().count() == len(expected)
+    monkeypatch.setattr(dedup, "SENT_BITMAPS", 1)  # too many bitmaps: all rows meet by key
+    assert prices(found()) == expected and "hashpartitioning" in plan_text(found(), "simple")
