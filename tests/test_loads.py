@@ -4,12 +4,14 @@ import datetime as dt
 import glob
 import os
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tickerlake.plans.daily_load import Warehouse, run_daily_load
 from tickerlake.sinks.landing import land_snapshots
 from tickerlake.sinks.ledger import read_ledger
-from tickerlake.sinks.tables import _clustered, read_fact
+from tickerlake.sinks.tables import _clustered, day_sizes, read_fact
 from tickerlake.streaming.incremental import start_incremental_load
 
 DAY = dt.date(2026, 4, 22)
@@ -66,3 +68,21 @@ def test_outdated_version_in_a_later_batch_changes_nothing(spark, tmp_uri):
         query.awaitTermination()
         assert query.exception() is None
     assert _prices(spark, wh) == [("AAA", DAY, 5.0), ("BBB", DAY, 3.0)]
+
+
+def test_small_files_are_dealt_to_bounded_tasks(spark, tmp_uri):
+    """Files of few rows: several a date, in several tasks, and not a task for each."""
+    start = dt.date(2026, 1, 1)
+    days = spark.range(60).select(F.expr(f"date_add(date'{start}', cast(id as int))").alias("ingestion_date"))
+    tickers = spark.range(40).select(F.concat(F.lit("T"), "id").alias("ticker_id"), F.col("id").alias("n"))
+    few = spark.createDataFrame([("T1", 1), (None, 2)], "ticker_id string, n long").withColumn("ingestion_date", F.lit(dt.date(2025, 1, 1)))
+    rows = days.crossJoin(tickers).select("ticker_id", "ingestion_date", "n").unionByName(few.select("ticker_id", "ingestion_date", "n"))
+    sizes = day_sizes(rows)
+    laid = _clustered(rows, sizes, rows_per_file=10)
+    parts = laid.select(F.spark_partition_id().alias("task"), "ingestion_date", "ticker_id", "n")
+    assert sorted(map(tuple, parts.select("ticker_id", "ingestion_date", "n").collect()), key=str) == sorted(map(tuple, rows.collect()), key=str)
+    assert laid.rdd.getNumPartitions() <= 8 + 8 + 4  # of 240 files, and the small date's
+    by_date = parts.groupBy("ingestion_date").agg(F.countDistinct("task").alias("files"), F.count("*").alias("rows")).collect()
+    assert all(r.files >= 3 for r in by_date if r.rows == 40)
+    for task, in_task in pd.DataFrame(parts.collect(), columns=parts.columns).groupby("task"):
+        assert list(in_task.ingestion_date) == sorted(in_task.ingestion_date)
