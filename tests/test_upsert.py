@@ -1,6 +1,7 @@
 """K2/K3 upsert properties, R5 dedup, K1 flat modes, K4 dimension."""
 
 import datetime as dt
+import glob
 import re
 
 import pytest
@@ -319,3 +320,35 @@ def test_rows_of_earlier_loads_are_dropped_before_any_shuffle_of_rows(spark, tmp
     assert prices(found()) == expected and found().count() == len(expected)
     monkeypatch.setattr(dedup, "SENT_BITMAPS", 1)  # too many bitmaps: all rows meet by key
     assert prices(found()) == expected and "hashpartitioning" in plan_text(found(), "simple")
+
+
+def test_merge_of_many_dates_shuffles_no_merged_rows(spark, tmp_uri, monkeypatch):
+    """Both sides are dealt by date, as the write needs them; the merge is the one by whole keys."""
+    from tickerlake.sinks import tables
+
+    days = [D1 + dt.timedelta(days=i) for i in range(30)]
+    old = [(t, d, 1.0, 1.0, 1.0) for d in days[:20] for t in ("A", "B", None)]
+    new = [(t, d, 2.0, None, 2.0) for d in days[5:] for t in ("B", "C", None)]
+    seen, write = [], tables._write_facts
+
+    def written(rows, path):
+        seen.append(plan_text(rows, "simple"))
+        write(rows, path)
+
+    got = []
+    for by_date in (True, False):
+        path = f"{tmp_uri}/fact{by_date}"
+        monkeypatch.setattr(tables, "ROWS_PER_FILE", 1_000_000 if by_date else -1)
+        upsert_fact(spark, flat(spark, old), path)
+        with monkeypatch.context() as m:
+            m.setattr(tables, "_write_facts", written)
+            upsert_fact(spark, flat(spark, new), path, dates=days)
+        got.append(sorted((str(tuple(r)) for r in read_fact(spark, path).collect())))
+        files = [f for d in days for f in glob.glob(f"{path}/ingestion_date={d}/part-*")]
+        assert len(files) == len(days)
+    assert got[0] == got[1] and len(got[0]) == 20 * 3 + 25 * 3 - 15
+    assert [text.count("Exchange hashpartitioning") for text in seen] == [2, 3]  # sides, and their merged rows
+    twice = [("A", days[0], 3.0, 3.0, 3.0), ("A", days[0], 4.0, 3.0, 3.0)]
+    monkeypatch.setattr(tables, "ROWS_PER_FILE", 1_000_000)
+    with pytest.raises(Exception, match="MERGE_CARDINALITY_VIOLATION"):
+        upsert_fact(spark, flat(spark, twice), f"{tmp_uri}/factTrue", dates=days)
