@@ -86,3 +86,25 @@ def test_small_files_are_dealt_to_bounded_tasks(spark, tmp_uri):
     assert all(r.files >= 3 for r in by_date if r.rows == 40)
     for task, in_task in pd.DataFrame(parts.collect(), columns=parts.columns).groupby("task"):
         assert list(in_task.ingestion_date) == sorted(in_task.ingestion_date)
+
+
+def test_large_buckets_are_written_without_shuffling_rows(spark, tmp_uri, monkeypatch):
+    from tests.helpers import plan_operators
+    from tickerlake.plans import views
+
+    rows = [(f"T{i % 50}" if i % 9 else None, DAY + dt.timedelta(days=i % 7), i) for i in range(700)]
+    df = spark.createDataFrame(rows, "ticker_id string, ingestion_date date, n int").repartition(5)
+    dim = spark.createDataFrame([(f"T{i}", f"s{i % 4}") for i in range(50)], "ticker_id string, sector string")
+    df.write.parquet(f"{tmp_uri}/rows")
+    df = spark.read.parquet(f"{tmp_uri}/rows")
+    seen = []
+    for most in (32 << 20, 0):
+        monkeypatch.setattr(views, "BUCKET_BYTES", most)
+        fact, dimension = (spark.table(t) for t in views.store_clustered(spark, df, dim, f"clustered_{DAY:%Y}_{bool(most)}".lower(), 4))
+        seen.append(sorted(map(str, fact.collect())))
+        assert fact.count() == 700 and dimension.count() == 50
+        joined = fact.hint("merge").join(dimension.hint("merge"), "ticker_id")
+        assert "Exchange" not in plan_operators(joined) and joined.count() == sum(r[0] is not None for r in rows)
+        files = len(fact.inputFiles())
+        assert files <= 4 if most else files > 4  # a file a bucket, or a file a task and bucket
+    assert seen[0] == seen[1]

@@ -352,3 +352,25 @@ def test_merge_of_many_dates_shuffles_no_merged_rows(spark, tmp_uri, monkeypatch
     monkeypatch.setattr(tables, "ROWS_PER_FILE", 1_000_000)
     with pytest.raises(Exception, match="MERGE_CARDINALITY_VIOLATION"):
         upsert_fact(spark, flat(spark, twice), f"{tmp_uri}/factTrue", dates=days)
+
+
+def test_a_write_leaves_no_shuffle_files(spark, tmp_uri):
+    import time
+
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        names = (files.apply(i).getName() for i in range(files.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = left(), spark.conf.get(setting)
+    rows = flat(spark, [(f"T{i}", d, 1.0, 1.0, 1.0) for i in range(50) for d in (D1, D2, D3)])
+    for _ in range(2):
+        write_flat(rows, f"{tmp_uri}/flat", "replace_dates")
+        upsert_fact(spark, rows, f"{tmp_uri}/fact", dates=[D1, D2, D3])
+    for _ in range(40):  # files are removed by another thread
+        if not (found := left() - before):
+            break
+        time.sleep(0.25)
+    assert not found and spark.conf.get(setting) == was
+    assert read_fact(spark, f"{tmp_uri}/fact").count() == 150
