@@ -100,11 +100,14 @@ def test_large_buckets_are_written_without_shuffling_rows(spark, tmp_uri, monkey
     seen = []
     for most in (32 << 20, 0):
         monkeypatch.setattr(views, "BUCKET_BYTES", most)
-        fact, dimension = (spark.table(t) for t in views.store_clustered(spark, df, dim, f"clustered_{DAY:%Y}_{bool(most)}".lower(), 4))
+        database = f"clustered_{bool(most)}".lower()
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{tmp_uri}/{database}'")
+        fact, dimension = (spark.table(t) for t in views.store_clustered(spark, df, dim, database, 4))
         seen.append(sorted(map(str, fact.collect())))
         assert fact.count() == 700 and dimension.count() == 50
         joined = fact.hint("merge").join(dimension.hint("merge"), "ticker_id")
         assert "Exchange" not in plan_operators(joined) and joined.count() == sum(r[0] is not None for r in rows)
         files = len(fact.inputFiles())
         assert files <= 4 if most else files > 4  # a file a bucket, or a file a task and bucket
+        spark.sql(f"DROP DATABASE {database} CASCADE")
     assert seen[0] == seen[1]
